@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from layerloom.operators.history import (
+    HotKeys,
     changes_only,
-    hot_keys,
+    find_hot_keys,
     latest_per_key,
     with_dimension_sk,
     with_validity,
@@ -118,8 +119,7 @@ def versioned_dimension(
     hashdiff: str,
     attributes: Sequence[str],
     *,
-    hot: DataFrame | None = None,
-    grain: str = "day",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """SCD2: every version of an entity with validity interval, version number, current flag and its own key.
 
@@ -127,9 +127,9 @@ def versioned_dimension(
     length. Versions join their hub last, when each is final.
     """
     history = satellite.select(hk, hashdiff, *attributes, "load_date")
-    hot = hot_keys(satellite, [hk]) if hot is None else hot
-    versions = changes_only(history, [hk], "load_date", hashdiff, hot=hot, grain=grain)
-    dated = with_validity(versions, [hk], "load_date", hot=hot, grain=grain)
+    hot = find_hot_keys(satellite, [hk]) if hot is None else hot
+    versions = changes_only(history, [hk], "load_date", hashdiff, hot=hot)
+    dated = with_validity(versions, [hk], "load_date", hot=hot)
     rows = dated.join(hub.select(hk, bk), hk)
     rows = with_dimension_sk(rows, sk, hk)
     return rows.select(sk, hk, bk, *attributes, "valid_from", "valid_to", "version_number", "is_current")

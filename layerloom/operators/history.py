@@ -1,58 +1,74 @@
 """Ordered history per key: versions, validity intervals, point-in-time lookup.
 
-The plain way is a window per key, which sends all rows of a key to one task. Here a key that holds more than its
-share of the rows (a hot key) is cut into chunks of time: the window runs inside each chunk, one summary row per
-chunk is carried across chunks, and both are joined back. The result is the same, no task sees more than one chunk of
-a hot key, and every other key has a single chunk, so it costs no more than the plain window plus a small summary.
+The plain way is a window per key, which sends all rows of a key to one task. That is right for all keys but hot ones:
+keys that hold a large share of the rows. Those are looked for first (one column, counted before the shuffle). If there
+are none, the plain window is all that runs. The rows of hot keys take another way to the same result: they are cut
+into chunks of time, the window runs inside each chunk, one summary row per chunk is lined up across chunks, and both
+are joined. No task then holds more than one chunk of a hot key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from layerloom.functions.keys import dimension_sk
 
 # A key with more than this share of all rows is hot. At most 1 / HOT_SHARE keys can be, which bounds the list of hot
-# keys that is broadcast. Below MIN_HOT_ROWS rows a key is never worth cutting.
+# keys. Below MIN_HOT_ROWS rows a key is never worth cutting.
 HOT_SHARE = 1e-4
 MIN_HOT_ROWS = 1_000_000
 
 CHUNK = "_chunk"
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], *, share: float = HOT_SHARE, min_rows: int = MIN_HOT_ROWS
-) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows and more than ``min_rows`` rows; at most 1/share of them.
+@dataclass(frozen=True)
+class HotKeys:
+    """The hot keys as a small local frame (None: there are none) and the unit of time their rows are cut by."""
+
+    frame: DataFrame | None = None
+    grain: str = "day"
+
 
-    Counts are combined before the shuffle, so a hot key costs one row per task here.
+def hot_key_counts(df: DataFrame, keys: Sequence[str], share: float, min_rows: int) -> DataFrame:
+    """Keys with more than ``share`` of the rows and more than ``min_rows`` rows; at most 1/share of them.
+
+    Rows are counted before the shuffle, so a hot key costs one row per task here.
     """
     counts = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
     total = counts.agg(F.sum("_rows").alias("_total")).scalar()
     return counts.where((F.col("_rows") > F.lit(share) * total) & (F.col("_rows") > min_rows)).select(*keys)
 
 
-def with_chunks(
+def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str],
-    order: str,
     *,
+    share: float = HOT_SHARE,
+    min_rows: int = MIN_HOT_ROWS,
     grain: str = "day",
-    hot: DataFrame | None = None,
-) -> DataFrame:
-    """Add the chunk column: the time grain of ``order`` for hot keys, one fixed chunk for all others.
+) -> HotKeys:
+    """Look for hot keys now. The list that comes back to the driver has at most 1/share rows, whatever the data.
 
-    ``hot`` is a result of hot_keys, best taken from the table that ``df`` was derived from: counting there reads one
-    column and does not run the derivation twice.
+    Ask the stored table that a frame was derived from, not the derived frame: this runs a job over its key columns.
     """
-    hot = hot_keys(df, keys) if hot is None else hot
-    # Broadcast is bounded: hot_keys returns at most 1/share rows, whatever the size of df.
-    marked = df.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), list(keys), "left")
-    chunk = F.when(F.col("_hot"), F.date_trunc(grain, F.col(order)).cast("timestamp_ntz"))
-    fixed = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return marked.withColumn(CHUNK, F.coalesce(chunk, fixed)).drop("_hot")
+    found = hot_key_counts(df.select(*keys), keys, share, min_rows)
+    rows = found.collect()
+    return HotKeys(df.sparkSession.createDataFrame(rows, found.schema) if rows else None, grain)
+
+
+def split_by_heat(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of ordinary keys, and rows of hot keys if there are any. The broadcast list is bounded, see HotKeys."""
+    if hot.frame is None:
+        return df, None
+    listed = F.broadcast(hot.frame)
+    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
+
+
+def chunked(df: DataFrame, order: str, grain: str) -> DataFrame:
+    return df.withColumn(CHUNK, F.date_trunc(grain, F.col(order)).cast("timestamp_ntz"))
 
 
 def neighbours(
@@ -63,60 +79,72 @@ def neighbours(
     previous: Mapping[str, str] | None = None,
     following: Mapping[str, str] | None = None,
     position: str | None = None,
-    grain: str = "day",
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """lag / lead / row_number per key in the order of a column, safe for hot keys.
 
     ``previous`` and ``following`` map new columns to the columns they take from the row before and after;
-    ``position`` names the row number. ``order`` must be unique within a key. Two rows per key and chunk travel in
-    the summary at most, all other rows are shuffled once.
+    ``position`` names the row number. ``order`` must be unique within a key.
     """
-    previous, following = dict(previous or {}), dict(following or {})
-    chunked = with_chunks(df, keys, order, grain=grain, hot=hot)
-    # One exchange serves the inner window and the summary.
-    chunked = chunked.repartition(*keys, CHUNK)
+    hot = find_hot_keys(df, keys) if hot is None else hot
+    wanted = (dict(previous or {}), dict(following or {}), position)
+    cold_rows, hot_rows = split_by_heat(df, keys, hot)
+    result = _in_one_window(cold_rows, keys, order, *wanted)
+    if hot_rows is None:
+        return result
+    return result.unionByName(_in_chunks(hot_rows, keys, order, hot.grain, *wanted))
+
+
+def _in_one_window(df, keys, order, previous, following, position) -> DataFrame:
+    window = Window.partitionBy(*keys).orderBy(order)
+    columns = {alias: F.lag(name).over(window) for alias, name in previous.items()}
+    columns |= {alias: F.lead(name).over(window) for alias, name in following.items()}
+    if position:
+        columns[position] = F.row_number().over(window)
+    return df.withColumns(columns)
+
+
+def _in_chunks(df, keys, order, grain, previous, following, position) -> DataFrame:
+    cut = chunked(df, order, grain)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
-    local = chunked.withColumns(
+    local = cut.withColumns(
         {
             **{f"_p_{alias}": F.lag(name).over(inside) for alias, name in previous.items()},
             **{f"_f_{alias}": F.lead(name).over(inside) for alias, name in following.items()},
             "_place": F.row_number().over(inside),
         }
     )
-
-    first = F.min_by(F.struct(*_distinct(following.values())), order) if following else F.lit(None)
-    last = F.max_by(F.struct(*_distinct(previous.values())), order) if previous else F.lit(None)
-    ends = chunked.groupBy(*keys, CHUNK).agg(
-        F.count("*").alias("_rows"), first.alias("_first"), last.alias("_last")
-    )
+    first = F.min_by(F.struct(order, *_distinct(following.values(), order)), order)
+    last = F.max_by(F.struct(order, *_distinct(previous.values(), order)), order)
+    ends = cut.groupBy(*keys, CHUNK).agg(F.count("*").alias("_rows"), first.alias("_first"), last.alias("_last"))
+    # One row per chunk: a key has as many rows here as its history has days (or whatever the grain is).
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select(
         *keys,
         CHUNK,
         "_rows",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).cast("int").alias("_before"),
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
         F.lag("_last").over(across).alias("_from_before"),
         F.lead("_first").over(across).alias("_from_after"),
     )
-
     joined = local.join(ends, [*keys, CHUNK])
-    result = {
-        alias: F.when(F.col("_place") == 1, F.col(f"_from_before.{name}")).otherwise(F.col(f"_p_{alias}"))
+    at_start, at_end = F.col("_place") == 1, F.col("_place") == F.col("_rows")
+    columns = {
+        alias: F.when(at_start, F.col(f"_from_before.{name}")).otherwise(F.col(f"_p_{alias}"))
         for alias, name in previous.items()
     }
-    result |= {
-        alias: F.when(F.col("_place") == F.col("_rows"), F.col(f"_from_after.{name}")).otherwise(F.col(f"_f_{alias}"))
+    columns |= {
+        alias: F.when(at_end, F.col(f"_from_after.{name}")).otherwise(F.col(f"_f_{alias}"))
         for alias, name in following.items()
     }
     if position:
-        result[position] = (F.col("_before") + F.col("_place")).cast("int")
-    return joined.select(*df.columns, *[column.alias(alias) for alias, column in result.items()])
+        columns[position] = (F.col("_before") + F.col("_place")).cast("int")
+    return joined.select(*df.columns, *[column.alias(alias) for alias, column in columns.items()])
 
 
-def _distinct(names) -> list[str]:
-    return list(dict.fromkeys(names))
+def _distinct(names, but: str) -> list[str]:
+    return [name for name in dict.fromkeys(names) if name != but]
 
 
 def one_per(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str | Column]) -> DataFrame:
@@ -134,22 +162,16 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], load: str, tiebreak: Sequ
 
 
 def changes_only(
-    df: DataFrame,
-    keys: Sequence[str],
-    load: str,
-    hashdiff: str,
-    *,
-    hot: DataFrame | None = None,
-    grain: str = "day",
+    df: DataFrame, keys: Sequence[str], load: str, hashdiff: str, *, hot: HotKeys | None = None
 ) -> DataFrame:
     """Rows whose hashdiff differs from the row before of the same key.
 
     Snapshots A, A, B, A give A, B, A: a value that returns is a new version. Rows of one key with the same load time
     are reduced to one first (highest hashdiff), because versions need distinct start times.
     """
-    hot = hot_keys(df, keys) if hot is None else hot
+    hot = find_hot_keys(df, keys) if hot is None else hot
     single = one_per(df, [*keys, load], [F.desc(hashdiff)])
-    compared = neighbours(single, keys, load, previous={"_before_hash": hashdiff}, hot=hot, grain=grain)
+    compared = neighbours(single, keys, load, previous={"_before_hash": hashdiff}, hot=hot)
     return compared.where(~F.col("_before_hash").eqNullSafe(F.col(hashdiff))).drop("_before_hash")
 
 
@@ -162,13 +184,11 @@ def with_validity(
     valid_to: str = "valid_to",
     version_number: str = "version_number",
     is_current: str = "is_current",
-    **chunking,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """valid_from, valid_to (start of the next version), running version number and the current flag."""
-    dated = neighbours(
-        versions, keys, load, following={valid_to: load}, position=version_number, **chunking
-    ).withColumnRenamed(load, valid_from)
-    return dated.withColumn(is_current, F.col(valid_to).isNull())
+    dated = neighbours(versions, keys, load, following={valid_to: load}, position=version_number, hot=hot)
+    return dated.withColumnRenamed(load, valid_from).withColumn(is_current, F.col(valid_to).isNull())
 
 
 def with_dimension_sk(df: DataFrame, sk: str, hk: str, valid_from: str = "valid_from") -> DataFrame:
@@ -195,7 +215,7 @@ def point_in_time_join(
     attributes: Sequence[str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    **chunking,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Each fact with the attributes of the version that was valid at its time; facts without one are dropped.
 
@@ -204,13 +224,25 @@ def point_in_time_join(
     and the last version before each fact is carried forward, which compares no pairs and cuts hot keys into chunks.
     """
     if planned_bytes(versions) <= broadcast_limit(versions):
-        return _interval_join(facts, versions, keys, at, attributes, valid_from, valid_to)
+        return interval_join(
+            facts, versions, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to
+        )
     return carry_forward_join(
-        facts, versions, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to, **chunking
+        facts, versions, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to, hot=hot
     )
 
 
-def _interval_join(facts, versions, keys, at, attributes, valid_from, valid_to) -> DataFrame:
+def interval_join(
+    facts: DataFrame,
+    versions: DataFrame,
+    keys: Sequence[str],
+    at: str,
+    *,
+    attributes: Sequence[str],
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+) -> DataFrame:
+    """The small-versions plan of point_in_time_join."""
     side = versions.select(
         *[F.col(key).alias(f"_v_{key}") for key in keys],
         *attributes,
@@ -232,11 +264,11 @@ def carry_forward_join(
     attributes: Sequence[str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
-    grain: str = "day",
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """The large-versions plan of point_in_time_join: linear in facts plus versions."""
     keys = list(keys)
+    hot = find_hot_keys(facts, keys) if hot is None else hot
     version = F.struct(*attributes, F.col(valid_to).alias("_v_to"))
     lined_up = facts.select(
         *keys, F.col(at).alias("_at"), F.struct(*facts.columns).alias("_fact"), F.lit(None).alias("_version")
@@ -245,33 +277,37 @@ def carry_forward_join(
             *keys, F.col(valid_from).alias("_at"), F.lit(None).alias("_fact"), version.alias("_version")
         )
     )
-    chunked = with_chunks(lined_up, keys, "_at", grain=grain, hot=hot)
-    chunked = chunked.repartition(*keys, CHUNK)
-    # A version comes before the facts of its own instant: it is valid from then on.
-    inside = (
-        Window.partitionBy(*keys, CHUNK)
-        .orderBy("_at", F.col("_version").isNull())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    local = chunked.withColumn("_here", F.last("_version", ignorenulls=True).over(inside))
-    ends = chunked.groupBy(*keys, CHUNK).agg(
-        F.max_by("_version", F.when(F.col("_version").isNotNull(), F.col("_at"))).alias("_last")
-    )
-    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*keys, CHUNK, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    found = (
-        local.where(F.col("_fact").isNotNull())
-        .join(ends, [*keys, CHUNK])
-        .select("_at", "_fact", F.coalesce("_here", "_carried").alias("_version"))
-        .where(F.col("_version").isNotNull())
-        .where(F.col("_version._v_to").isNull() | (F.col("_at") < F.col("_version._v_to")))
-    )
+    cold_rows, hot_rows = split_by_heat(lined_up, keys, hot)
+    found = cold_rows.withColumn("_version", F.last("_version", ignorenulls=True).over(_up_to_here(keys)))
+    if hot_rows is not None:
+        found = found.unionByName(_carried_in_chunks(hot_rows, keys, hot.grain))
+    valid = F.col("_version._v_to").isNull() | (F.col("_at") < F.col("_version._v_to"))
+    found = found.where(F.col("_fact").isNotNull() & F.col("_version").isNotNull()).where(valid)
     return found.select(
         *[F.col(f"_fact.{name}").alias(name) for name in facts.columns],
         *[F.col(f"_version.{name}").alias(name) for name in attributes],
     )
 
 
+def _up_to_here(keys: Sequence[str]):
+    # A version comes before the facts of its own instant: it is valid from then on.
+    window = Window.partitionBy(*keys).orderBy("_at", F.col("_version").isNull())
+    return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+
+def _carried_in_chunks(lined_up: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
+    cut = chunked(lined_up, "_at", grain)
+    here = F.last("_version", ignorenulls=True).over(_up_to_here([*keys, CHUNK]))
+    local = cut.where(F.col(CHUNK).isNotNull()).withColumn("_here", here)
+    versioned = F.when(F.col("_version").isNotNull(), F.col("_at"))
+    ends = cut.groupBy(*keys, CHUNK).agg(F.max_by("_version", versioned).alias("_last"))
+    earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*keys, CHUNK, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
+    return local.join(ends, [*keys, CHUNK]).select(
+        *keys, "_at", "_fact", F.coalesce("_here", "_carried").alias("_version")
+    )
+
+
 def current_join(
     facts: DataFrame, versions: DataFrame, keys: Sequence[str], *, attributes: Sequence[str], is_current: str = "is_current"
 ) -> DataFrame:

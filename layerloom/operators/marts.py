@@ -11,7 +11,6 @@ from layerloom.functions import calendar as cal
 from layerloom.functions.values import stable_round
 
 DAILY, WEEKLY, MONTHLY = "daily", "weekly", "monthly"
-CALENDAR_COLUMNS = ["date_id", "year", "iso_year", "month", "month_name", "week"]
 
 
 @dataclass(frozen=True)
@@ -22,9 +21,12 @@ class Measure:
     combine: str  # avg, min, max, sum
     digits: int | None = None
 
-    def combined(self) -> Column:
-        value = getattr(F, self.combine)(self.source)
-        return value if self.digits is None else stable_round(value, self.digits)
+    def aggregate(self) -> Column:
+        return getattr(F, self.combine)(self.source)
+
+    def shown(self, value: Column, is_day: Column) -> Column:
+        """Days show the fact's own value, longer periods the rounded aggregate."""
+        return value if self.digits is None else F.when(is_day, value).otherwise(stable_round(value, self.digits))
 
 
 @dataclass(frozen=True)
@@ -48,58 +50,69 @@ def _year_of_week(iso_weeks: bool) -> str:
     return "iso_year" if iso_weeks else "year"
 
 
+def _period(granularity: str, year: str, month: str | None, week: str | None, day: str | None) -> Column:
+    def part(name: str | None, data_type: str) -> Column:
+        return F.col(name) if name else F.lit(None).cast(data_type)
+
+    return F.struct(
+        F.lit(granularity).alias("granularity"),
+        F.col(year).alias("year"),
+        part(month, "int").alias("month"),
+        part(week, "int").alias("week"),
+        part(day, "date").alias("day"),
+    )
+
+
 def trend_mart(
     fact: DataFrame, calendar: DataFrame, entity: DataFrame, as_of: str, config: TrendMart
 ) -> DataFrame:
     """The days up to ``recent_days`` before the as-of day, all weeks and all months of a daily fact.
 
-    Weeks and months come out of one pass over the fact (grouping sets, one shuffle). The recent days are a range of
-    two literal dates on the fact's own column, which the scan uses to skip files and row groups. The entity's display name joins the aggregated rows, not the fact.
+    One pass over the fact and one shuffle: each row goes into its week, its month and, if recent, its day. The fact
+    holds one row per entity and day, so a day's aggregate is that row. The entity's display name joins the
+    aggregated rows, not the fact.
     """
     # The calendar has a fixed size (a row per day of a few years), so broadcasting it is bounded.
-    days = F.broadcast(calendar.select(*CALENDAR_COLUMNS))
-    names = entity.select(config.entity_sk, config.entity_name)
-    dated = fact.join(days, "date_id")
-
+    days = F.broadcast(calendar.select("date_id", "year", "iso_year", "month", "month_name", "week"))
+    sk, date = config.entity_sk, config.date
     today = F.lit(as_of).cast("date")
-    recent = dated.where(F.col(config.date).between(F.date_sub(today, config.recent_days), today)).select(
-        config.entity_sk,
-        F.lit(DAILY).alias("granularity"),
-        F.col(config.date).cast("string").alias("period_label"),
-        "year",
-        "month",
-        "week",
-        *[F.col(measure.source).alias(name) for name, measure in config.measures.items()],
+    recent = F.col(date).between(F.date_sub(today, config.recent_days), today)
+    periods = F.array(
+        F.when(recent, _period(DAILY, "year", "month", "week", date)),
+        _period(WEEKLY, _year_of_week(config.iso_weeks), None, "week", None),
+        _period(MONTHLY, "year", "month", None, None),
     )
-
-    rows = dated.withColumn("_week_year", F.col(_year_of_week(config.iso_weeks)))
-    sk = config.entity_sk
-    grouped = rows.groupingSets(
-        [[sk, "_week_year", "week"], [sk, "year", "month", "month_name"]],
-        sk, "_week_year", "week", "year", "month", "month_name",
-    ).agg(
-        F.grouping("week").alias("_no_week"),
-        F.min(config.date).alias("_first_day"),
-        *[measure.combined().alias(name) for name, measure in config.measures.items()],
-    )
-    monthly = F.col("_no_week") == 1
+    rows = fact.join(days, "date_id").select(
+        sk,
+        date,
+        "month_name",
+        *dict.fromkeys(measure.source for measure in config.measures.values()),
+        F.explode(periods).alias("period"),
+    )
+    grouped = (
+        rows.where(F.col("period").isNotNull())
+        .groupBy(sk, "period.granularity", "period.year", "period.month", "period.week", "period.day")
+        .agg(
+            F.min(date).alias("_first_day"),
+            F.min("month_name").alias("_month_name"),
+            *[measure.aggregate().alias(name) for name, measure in config.measures.items()],
+        )
+    )
+    year, month = F.col("year"), F.col("month")
     if config.labels == "number":
-        month_text = cal.month_label(F.col("year"), F.col("month"))
-        week_text = cal.week_label(F.col("_week_year"), F.col("week"))
+        month_text, week_text = cal.month_label(year, month), cal.week_label(year, F.col("week"))
     else:
-        month_text = cal.month_title(F.col("month_name"), F.col("year"))
-        week_text = F.col("_first_day").cast("string")
-    periods = grouped.select(
-        sk,
-        F.when(monthly, MONTHLY).otherwise(WEEKLY).alias("granularity"),
-        F.when(monthly, month_text).otherwise(week_text).alias("period_label"),
-        F.coalesce("year", "_week_year").alias("year"),
-        "month",
-        "week",
-        *config.measures,
+        month_text, week_text = cal.month_title(F.col("_month_name"), year), F.col("_first_day").cast("string")
+    is_day = F.col("granularity") == DAILY
+    label = (
+        F.when(is_day, F.col("day").cast("string"))
+        .when(F.col("granularity") == WEEKLY, week_text)
+        .otherwise(month_text)
+    )
+    shown = [measure.shown(F.col(name), is_day).alias(name) for name, measure in config.measures.items()]
+    return grouped.join(entity.select(sk, config.entity_name), sk).select(
+        config.entity_name, "granularity", label.alias("period_label"), "year", "month", "week", *shown
     )
-    columns = [config.entity_name, "granularity", "period_label", "year", "month", "week", *config.measures]
-    return recent.unionByName(periods).join(names, sk).select(*columns)
 
 
 WEATHER_TRENDS = TrendMart(

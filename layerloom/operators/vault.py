@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from layerloom.functions.keys import with_keys
-from layerloom.operators.history import changes_only, hot_keys, one_per
+from layerloom.operators.history import HotKeys, changes_only, find_hot_keys, one_per
 from layerloom.operators.sinks import new_rows
 
 LOADED = "_loaded_at"
@@ -115,7 +115,7 @@ def load_version_satellite(
     hashdiff: str,
     target: DataFrame | None = None,
     *,
-    hot: DataFrame | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Versions of an entity: a row is inserted when its hashdiff differs from the version before it.
 
@@ -124,7 +124,7 @@ def load_version_satellite(
     rows are in the target already and are left out.
     """
     batch = _satellite_rows(staging, columns)
-    hot = hot_keys(batch, [hk]) if hot is None else hot
+    hot = find_hot_keys(batch, [hk]) if hot is None else hot
     if target is None:
         return changes_only(batch, [hk], "load_date", hashdiff, hot=hot)
     known = target.select(hk, "load_date").distinct()

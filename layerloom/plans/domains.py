@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from layerloom.operators import dims, facts, marts, staging, vault
+from layerloom.operators.history import HotKeys
 
 # --- hubs and link ----------------------------------------------------------------------------------------------------
 
@@ -68,7 +69,7 @@ PROFILE_COLUMNS = [
 
 
 def s_artist_profile(
-    stg: DataFrame, target: DataFrame | None = None, *, hot: DataFrame | None = None
+    stg: DataFrame, target: DataFrame | None = None, *, hot: HotKeys | None = None
 ) -> DataFrame:
     return vault.load_version_satellite(
         stg, "artist_hk", PROFILE_COLUMNS, "artist_profile_hashdiff", target, hot=hot
@@ -129,7 +130,7 @@ def dim_track(hub: DataFrame, details: DataFrame, features: DataFrame) -> DataFr
     )
 
 
-def dim_artist(hub: DataFrame, profile: DataFrame, *, hot: DataFrame | None = None) -> DataFrame:
+def dim_artist(hub: DataFrame, profile: DataFrame, *, hot: HotKeys | None = None) -> DataFrame:
     return dims.versioned_dimension(
         hub, profile, "artist_sk", "artist_hk", "artist_bk", "artist_profile_hashdiff",
         ["artist_name", "genres", "popularity", "followers"], hot=hot,

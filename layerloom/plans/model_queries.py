@@ -142,10 +142,10 @@ def s_track_audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.s_track_audio_features(stg_track(spark, sf_dir))
 
 
-def _hot_artists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _hot_artists(spark: SparkSession, sf_dir: str, **limits) -> history.HotKeys:
     """Artists with too many snapshots for one task, counted on the raw table's own column."""
     snapshots = b.raw_artist_snapshots(spark, sf_dir).select("artist_id")
-    return history.hot_keys(vault.with_keys(snapshots, {"artist_hk": ["artist_id"]}), ["artist_hk"])
+    return history.find_hot_keys(vault.with_keys(snapshots, {"artist_hk": ["artist_id"]}), ["artist_hk"], **limits)
 
 
 @model("V15 X8", "s_artist_profile")
@@ -279,24 +279,13 @@ def dim_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _chunked_keys(spark: SparkSession, sf_dir: str, rows: int) -> DataFrame:
-    """Artists with more than a few snapshots, so that the hot-key plan runs on small data too."""
-    snapshots = b.raw_artist_snapshots(spark, sf_dir).select("artist_id")
-    return history.hot_keys(
-        vault.with_keys(snapshots, {"artist_hk": ["artist_id"]}), ["artist_hk"], share=1e-4, min_rows=rows
-    )
-
-
 @query("D7 N1 N2 X8", "select * from dim_artist")
 def dim_artist_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """dim_artist with every busy artist's history cut into months; same result, other plan."""
-    hot = _chunked_keys(spark, sf_dir, rows=8)
-    staged = stg_artist_snapshot(spark, sf_dir)
-    versions = history.changes_only(
-        staged.withColumnRenamed("_loaded_at", "load_date"),
-        ["artist_hk"], "load_date", "artist_profile_hashdiff", hot=hot, grain="month",
-    )
-    return d.dim_artist(h_artist(spark, sf_dir), versions, hot=hot)
+    """dim_artist with the history of every busy artist cut into months, so that the plan for hot keys runs on small
+    data too; same result."""
+    hot = _hot_artists(spark, sf_dir, min_rows=8, grain="month")
+    profile = d.s_artist_profile(stg_artist_snapshot(spark, sf_dir), hot=hot)
+    return d.dim_artist(h_artist(spark, sf_dir), profile, hot=hot)
 
 
 @query("P10 N1 N2", "select * from dim_artist where not is_current and artist_bk like '%7%'")
@@ -336,10 +325,10 @@ def state_at_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_at_shipment_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for large version tables, with busy customers cut into months."""
     shipments = _shipments(spark, sf_dir)
-    hot = history.hot_keys(shipments, ["artist_bk"], share=1e-4, min_rows=30)
+    hot = history.find_hot_keys(shipments, ["artist_bk"], min_rows=30, grain="month")
     return history.carry_forward_join(
         shipments, dim_artist(spark, sf_dir), ["artist_bk"], "l_shipdate",
-        attributes=["genres", "popularity", "version_number"], hot=hot, grain="month",
+        attributes=["genres", "popularity", "version_number"], hot=hot,
     )
 
 
