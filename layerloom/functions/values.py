@@ -57,7 +57,7 @@ def split_names(text: Column) -> Column:
     """
 
     def parts(separator: str) -> Column:
-        return F.filter(F.transform(F.split(text, separator), F.trim), lambda part: part != "")
+        return F.filter(F.transform(F.split(text, separator), lambda part: F.trim(part)), lambda part: part != "")
 
     return (
         F.when(text.contains(";"), parts(";"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from layerloom.functions import calendar as cal
 from layerloom.functions.values import stable_round
+from layerloom.operators.sinks import only_values
 
 
 def since_watermark(
@@ -127,6 +128,8 @@ def energy_price_monthly(daily: DataFrame) -> DataFrame:
     )
 
 
-def touched_slices(rows: DataFrame, changed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All rows of the slices in which something changed, to aggregate them again as a whole."""
-    return rows.join(changed.select(*keys).distinct(), list(keys), "left_semi")
+def touched_slices(rows: DataFrame, changed: DataFrame, period: str) -> DataFrame:
+    """All rows of the periods in which something changed, to aggregate them again as a whole. ``period`` is a column
+    of both; its changed values are filtered on as literals, which prunes a table partitioned by the date it is from."""
+    periods = changed.select(period).distinct()
+    return only_values(rows, changed, period).join(periods, period, "left_semi")

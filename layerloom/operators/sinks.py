@@ -48,10 +48,8 @@ def check_schema(new: DataFrame, target: DataFrame) -> None:
 def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> None:
     """Write an empty table with a schema, unless the path already holds one."""
     if not table_exists(spark, path):
-        empty = spark.createDataFrame([], schema)
-        empty.write.mode("ignore").parquet(path) if not partition_by else empty.write.mode("ignore").partitionBy(
-            *partition_by
-        ).parquet(path)
+        writer = spark.createDataFrame([], schema).write.mode("ignore")
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -64,30 +62,51 @@ def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) ->
     _writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
+def only_between(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
+    """The part of a target within the batch's range of a column.
+
+    Exact for key lookups whenever the column is a function of the key: equal keys then mean equal values, and rows
+    outside the range cannot match. The two bounds are one small aggregate; as literals they prune partitions and row
+    groups of the target.
+    """
+    low, high = batch.agg(F.min(column), F.max(column)).first()
+    if low is None:
+        return target.limit(0)
+    return target.where(F.col(column).between(F.lit(low), F.lit(high)))
+
+
+def only_values(target: DataFrame, batch: DataFrame, column: str, limit: int = 1000) -> DataFrame:
+    """The part of a target that holds the batch's values of a column; beyond ``limit`` values, their range."""
+    found = batch.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(found) > limit:
+        return only_between(target, batch, column)
+    return target.where(F.col(column).isin(*[row[0] for row in found])) if found else target.limit(0)
+
+
 def replace_slices(
     spark: SparkSession, df: DataFrame, path: str, partition_by: Sequence[str], slice_keys: Sequence[str]
 ) -> None:
     """Idempotent load: rows of the target that share a slice key with the new rows go, the new rows come.
 
     If the table is partitioned by all slice keys this is a plain partition overwrite. Otherwise the partitions that
-    are touched are read, their other slices kept and the result written to a shared staging folder, from which the
-    partitions are then overwritten: a table is never read and replaced in one plan. Only touched partitions are read.
+    are touched are read (by literal partition values, so no other one is), their other slices kept and the result
+    written to a shared staging folder, from which the partitions are then overwritten: a table is never read and
+    replaced in one plan.
     """
     if set(slice_keys) <= set(partition_by) or not table_exists(spark, path):
         replace_partitions(df, path, partition_by)
         return
     if not partition_by:
         raise ValueError("slice replace needs a partitioned table; partition it by a key of the slice")
-    target = spark.read.schema(df.schema).parquet(path)
-    check_schema(df, target)
+    check_schema(df, spark.read.schema(df.schema).parquet(path))
     staged = scratch_path(spark, "slice")
-    df.write.partitionBy(*partition_by).parquet(staged + "/new")
+    df.write.parquet(staged + "/new")
     new = spark.read.schema(df.schema).parquet(staged + "/new")
+    target = only_values(spark.read.schema(df.schema).parquet(path), new, partition_by[0])
     touched = new.select(*partition_by).distinct()
     slices = new.select(*slice_keys).distinct()
     kept = target.join(touched, list(partition_by), "left_semi").join(slices, list(slice_keys), "left_anti")
-    merged = kept.unionByName(new)
-    merged.write.partitionBy(*partition_by).parquet(staged + "/merged")
+    kept.unionByName(new).write.parquet(staged + "/merged")
     replace_partitions(spark.read.schema(df.schema).parquet(staged + "/merged"), path, partition_by)
 
 

@@ -140,15 +140,3 @@ def load_unseen_satellite(
 ) -> DataFrame:
     """The literal insert rule: every staging row whose hashdiff the target has never held, copies included."""
     return _not_loaded(_satellite_rows(staging, columns), target, [hashdiff])
-
-
-def only_between(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """The part of a target that can hold the batch's keys, when ``column`` is part of what the key hashes.
-
-    Equal keys then mean equal values in ``column``, so rows outside the batch's range cannot match. The two bounds are
-    one small aggregate; as literals they prune partitions and row groups of the target.
-    """
-    low, high = batch.agg(F.min(column), F.max(column)).first()
-    if low is None:
-        return target.limit(0)
-    return target.where(F.col(column).between(F.lit(low), F.lit(high)))

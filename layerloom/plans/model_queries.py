@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerloom.functions.values import stable_round
-from layerloom.operators import calendar, facts, history, marts, staging, vault
+from layerloom.operators import calendar, facts, history, marts, sinks, staging, vault
 from layerloom.plans import bindings as b, domains as d
 from layerloom.plans.catalog import model, query
 from layerloom.plans.oracle import hashed, rounded, trend_sql
@@ -244,7 +244,7 @@ def s_energy_price_hourly_increment(spark: SparkSession, sf_dir: str) -> DataFra
     """The target is read only between the batch's first and last reading: equal keys mean equal times."""
     staged = stg_energy_price(spark, sf_dir)
     target = d.s_energy_price_hourly(_before(staged, EVENT_CUT))
-    return d.s_energy_price_hourly(staged, vault.only_between(target, staged, "measured_at"))
+    return d.s_energy_price_hourly(staged, sinks.only_between(target, staged, "measured_at"))
 
 
 # --- dimensions -------------------------------------------------------------------------------------------------------

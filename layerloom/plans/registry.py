@@ -1,6 +1,6 @@
 """All registered queries: importing the query modules fills the catalog."""
 
-from layerloom.plans import model_queries  # noqa: F401
+from layerloom.plans import function_queries, ingest_queries, model_queries, quality_queries  # noqa: F401
 from layerloom.plans.catalog import ENTRIES
 
 __all__ = ["ENTRIES"]

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerloom.operators import facts, sinks, staging, vault
+from layerloom.operators import facts, sinks, staging
 from layerloom.operators.calendar import dim_date, dim_time
 from layerloom.plans import domains
 from layerloom.sources.tables import read_table, table_exists, table_path
@@ -112,7 +112,7 @@ def load_vault_table(run: Run, name: str) -> None:
     stages = [run.stage(source) for source in inputs]
     target = run.current(VAULT, name)
     if target is not None and bounded_by is not None:
-        target = vault.only_between(target, stages[0], bounded_by)
+        target = sinks.only_between(target, stages[0], bounded_by)
     rows = model(*stages, target=target)
     sinks.append_rows(
         run.spark, rows, run.path(VAULT, name), unique_key=key, partition_by=partition_by, check_target=False
@@ -147,7 +147,7 @@ def load_aggregate_fact(run: Run, name: str) -> None:
         changed = facts.since_watermark(rows, target, "load_date", lookback=OVERLAP)
         start = F.trunc("date_key", period) if period != "day" else F.col("date_key")
         dated = rows.withColumn("_period", start)
-        rows = facts.touched_slices(dated, changed.withColumn("_period", start), ["_period"]).drop("_period")
+        rows = facts.touched_slices(dated, changed.withColumn("_period", start), "_period").drop("_period")
     sinks.replace_partitions(aggregate(rows), path, ["date_key"])
 
 
