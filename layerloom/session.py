@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -44,16 +45,19 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, memory: st
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only a local master may fall back to a temporary folder of this machine.
+    Only a local master without that setting falls back to a temporary folder of this machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="layerloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="layerloom-")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
