@@ -165,6 +165,8 @@ def append_rows(
             known = df.select(*unique_key).join(present, list(unique_key), "left_semi")
             if known.limit(1).count():
                 raise DuplicateKeys(f"the target already holds a key of {list(unique_key)}")
+        if exists and df.isEmpty():
+            return
     _writer(df, partition_by).mode("append").parquet(path)
 
 

@@ -7,6 +7,7 @@ loaded in slices: the days that got new rows are replaced, so late rows and repe
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -168,19 +169,20 @@ def build_marts(run: Run) -> None:
         sinks.overwrite_table(mart, run.path(MARTS, "artist_chart_performance"))
 
 
-def build(spark: SparkSession, root: str, as_of: str) -> list[str]:
+def build(spark: SparkSession, root: str, as_of: str, threads: int = 4) -> list[str]:
     """Bring every table up to date with the raw layer, in dependency order; domains without raw data are skipped.
 
-    Returns the names of the tables that were built.
+    Tables of one step do not depend on each other and are loaded by a few threads, so small ones do not wait for
+    large ones. Returns the names of the tables that were built.
     """
     run = Run(spark, root, as_of)
     built: list[str] = []
 
     def step(names: Sequence[str], ready: Callable[[str], bool], load: Callable[[Run, str], None]) -> None:
-        for name in names:
-            if ready(name):
-                load(run, name)
-                built.append(name)
+        chosen = [name for name in names if ready(name)]
+        with ThreadPoolExecutor(threads) as pool:
+            list(pool.map(lambda name: load(run, name), chosen))
+        built.extend(chosen)
 
     step(
         list(VAULT_MODELS),
@@ -200,6 +202,8 @@ def build(spark: SparkSession, root: str, as_of: str) -> list[str]:
         lambda name: run.has(VAULT, DETAIL_FACTS[name][1]) and run.has(STAR, DETAIL_FACTS[name][2]),
         load_detail_fact,
     )
-    step(list(AGGREGATE_FACTS), lambda name: run.has(STAR, AGGREGATE_FACTS[name][1]), load_aggregate_fact)
+    # The monthly fact reads the daily one.
+    for name in AGGREGATE_FACTS:
+        step([name], lambda name: run.has(STAR, AGGREGATE_FACTS[name][1]), load_aggregate_fact)
     build_marts(run)
     return built
