@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -166,53 +166,50 @@ ARTIST_CHART_PERFORMANCE = PerformanceMart(
 def performance_mart(fact: DataFrame, calendar: DataFrame, config: PerformanceMart) -> DataFrame:
     """Entries, best position, total amount and distinct counts per entity, by week and by month.
 
-    The entries are first reduced to one row per entity, week, month and combination of the counted columns. That one
-    shuffle is spread over the combinations, so an entity with a third of all entries does not meet in one task, and
-    both grains read its result.
+    The entries are first reduced to one row per entity, week, month and combination of the counted columns. That
+    shuffle is spread over the combinations, so an entity with a third of all entries does not meet in one task. Each
+    reduced row then goes into its week and its month; both grains come out of one aggregation.
     """
     days = F.broadcast(calendar.select("date_id", "year", "iso_year", "month", "week"))
     kept = fact
     for name, value in config.filters.items():
         kept = kept.where(F.col(name) == value)
     entity, counted = config.entity, list(config.distinct.values())
+    week_year = _year_of_week(config.iso_weeks)
     reduced = (
         kept.select(entity, "date_id", config.position, config.amount, *counted)
         .join(days, "date_id")
-        .withColumn("_week_year", F.col(_year_of_week(config.iso_weeks)))
-        .groupBy(entity, "_week_year", "week", "year", "month", *counted)
+        .groupBy(entity, *dict.fromkeys([week_year, "week", "year", "month"]), *counted)
         .agg(
             F.count("*").alias("chart_entries"),
             F.min(config.position).alias("best_position"),
             F.sum(config.amount).alias("total_streams"),
         )
     )
-    sums = ["chart_entries", "best_position", "total_streams", *config.distinct]
-
-    def grain(keys: Sequence[str]) -> DataFrame:
-        return reduced.groupBy(entity, *keys).agg(
+    periods = F.array(
+        _period(WEEKLY, week_year, None, "week", None), _period(MONTHLY, "year", "month", None, None)
+    )
+    grouped = (
+        reduced.withColumn("period", F.explode(periods))
+        .groupBy(entity, "period.granularity", "period.year", "period.month", "period.week")
+        .agg(
             F.sum("chart_entries").alias("chart_entries"),
             F.min("best_position").alias("best_position"),
             F.sum("total_streams").alias("total_streams"),
             *[F.count_distinct(F.col(column)).alias(name) for name, column in config.distinct.items()],
         )
-
-    none = F.lit(None).cast("int")
-    weekly = grain(["_week_year", "week"]).select(
-        entity,
-        F.lit(WEEKLY).alias("granularity"),
-        cal.week_label(F.col("_week_year"), F.col("week")).alias("period_label"),
-        F.col("_week_year").alias("year"),
-        none.alias("month"),
-        "week",
-        *sums,
     )
-    monthly = grain(["year", "month"]).select(
+    year, is_week = F.col("year"), F.col("granularity") == WEEKLY
+    label = F.when(is_week, cal.week_label(year, F.col("week"))).otherwise(cal.month_label(year, F.col("month")))
+    return grouped.select(
         entity,
-        F.lit(MONTHLY).alias("granularity"),
-        cal.month_label(F.col("year"), F.col("month")).alias("period_label"),
+        "granularity",
+        label.alias("period_label"),
         "year",
         "month",
-        none.alias("week"),
-        *sums,
+        "week",
+        "chart_entries",
+        "best_position",
+        "total_streams",
+        *config.distinct,
     )
-    return weekly.unionByName(monthly)

@@ -88,36 +88,57 @@ def replace_slices(
 ) -> None:
     """Idempotent load: rows of the target that share a slice key with the new rows go, the new rows come.
 
-    If the table is partitioned by all slice keys this is a plain partition overwrite. Otherwise the partitions that
-    are touched are read (by literal partition values, so no other one is), their other slices kept and the result
-    written to a shared staging folder, from which the partitions are then overwritten: a table is never read and
-    replaced in one plan.
+    * Partitioned by exactly the slice keys: a plain partition overwrite.
+    * Partitioned by some of them: the partitions that are touched are read (by literal partition values, so no other
+      one is) and their other slices kept.
+    * Partitioned by something else, or not at all: a slice may lie anywhere, so the whole table is rewritten. Give a
+      large table a partition column that the slice determines (see with_file_key).
+
+    In the last two cases the result goes to a shared staging folder first, from which the target is overwritten: a
+    table is never read and replaced in one plan.
     """
-    if set(slice_keys) <= set(partition_by) or not table_exists(spark, path):
+    by_slice = bool(partition_by) and set(partition_by) <= set(slice_keys)
+    if not table_exists(spark, path):
+        overwrite_table(df, path, partition_by)
+        return
+    if by_slice and set(partition_by) == set(slice_keys):
         replace_partitions(df, path, partition_by)
         return
-    if not partition_by:
-        raise ValueError("slice replace needs a partitioned table; partition it by a key of the slice")
-    check_schema(df, spark.read.schema(df.schema).parquet(path))
+    target = spark.read.schema(df.schema).parquet(path)
+    check_schema(df, target)
     staged = scratch_path(spark, "slice")
     df.write.parquet(staged + "/new")
     new = spark.read.schema(df.schema).parquet(staged + "/new")
-    target = only_values(spark.read.schema(df.schema).parquet(path), new, partition_by[0])
-    touched = new.select(*partition_by).distinct()
-    slices = new.select(*slice_keys).distinct()
-    kept = target.join(touched, list(partition_by), "left_semi").join(slices, list(slice_keys), "left_anti")
+    if by_slice:
+        touched = new.select(*partition_by).distinct()
+        target = only_values(target, new, partition_by[0]).join(touched, list(partition_by), "left_semi")
+    kept = target.join(new.select(*slice_keys).distinct(), list(slice_keys), "left_anti")
     kept.unionByName(new).write.parquet(staged + "/merged")
-    replace_partitions(spark.read.schema(df.schema).parquet(staged + "/merged"), path, partition_by)
+    merged = spark.read.schema(df.schema).parquet(staged + "/merged")
+    if by_slice:
+        replace_partitions(merged, path, partition_by)
+    else:
+        overwrite_table(merged, path, partition_by)
 
 
 def with_file_key(df: DataFrame) -> DataFrame:
-    """A short partition key of the source file, for tables whose slices are whole files."""
+    """A short partition key of the source file, for large tables whose slices are whole files."""
     return df.withColumn("file_key", F.substring(F.md5("_source_file"), 1, 8))
 
 
 def replace_source_files(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Slice replace by source file; two files may share a file key, so the file itself is the slice."""
-    replace_slices(spark, with_file_key(df), path, ["file_key"], ["_source_file"])
+    """Slice replace by source file in a table partitioned by file key; two files may share a file key, so the file
+    itself is part of the slice."""
+    replace_slices(spark, with_file_key(df), path, ["file_key"], ["file_key", "_source_file"])
+
+
+def overwrite_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Full refresh of a catalog table that is bucketed and sorted by its keys.
+
+    Tables bucketed alike by a hash key (a hub and its satellites) join on it without a shuffle.
+    """
+    writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.mode("overwrite").option("path", path).saveAsTable(table)
 
 
 def slices_to_load(available: DataFrame, target: DataFrame, slice_keys: Sequence[str]) -> DataFrame:

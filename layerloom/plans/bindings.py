@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from layerloom.session import scratch_path
+
 # The day the relative columns refer to, and the calendar range for the tables with dates in the nineties.
 EVENTS_AS_OF = "2024-01-31"
 ORDERS_AS_OF = "2001-06-30"
@@ -18,6 +20,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """A dimension as the table it is in a warehouse: written once to the shared folder and read back.
+
+    Facts look keys up in tables. Spark then knows the dimension's size and broadcasts it, or does not, by that size;
+    of a derived frame it only has a guess, and would shuffle the fact.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _event_lineage() -> list[Column]:
     day = F.col("ts").cast("date")
     return [

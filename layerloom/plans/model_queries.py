@@ -7,9 +7,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from layerloom.functions.values import stable_round
 from layerloom.operators import calendar, facts, history, marts, sinks, staging, vault
 from layerloom.plans import bindings as b, domains as d
-from layerloom.plans.catalog import model, query
+from layerloom.plans.catalog import Query, model, query
 from layerloom.plans.oracle import hashed, rounded, trend_sql
 
+def _stored_dimension(spark: SparkSession, sf_dir: str, dimension: Query) -> DataFrame:
+    return b.stored(spark, dimension(spark, sf_dir), dimension.__name__)
+
+
 # --- staging ----------------------------------------------------------------------------------------------------------
 
 
@@ -316,7 +320,7 @@ asof join dim_artist v on l.artist_bk = v.artist_bk and l.l_shipdate >= v.valid_
 def state_at_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines with the state their customer had at shipment; the planner's size estimate picks the plan."""
     return history.point_in_time_join(
-        _shipments(spark, sf_dir), dim_artist(spark, sf_dir), ["artist_bk"], "l_shipdate",
+        _shipments(spark, sf_dir), _stored_dimension(spark, sf_dir, dim_artist), ["artist_bk"], "l_shipdate",
         attributes=["genres", "popularity", "version_number"],
     )
 
@@ -327,7 +331,7 @@ def state_at_shipment_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipments = _shipments(spark, sf_dir)
     hot = history.find_hot_keys(shipments, ["artist_bk"], min_rows=30, grain="month")
     return history.carry_forward_join(
-        shipments, dim_artist(spark, sf_dir), ["artist_bk"], "l_shipdate",
+        shipments, _stored_dimension(spark, sf_dir, dim_artist), ["artist_bk"], "l_shipdate",
         attributes=["genres", "popularity", "version_number"], hot=hot,
     )
 
@@ -340,7 +344,7 @@ def state_at_shipment_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def current_state_of_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history.current_join(
-        _shipments(spark, sf_dir), dim_artist(spark, sf_dir), ["artist_bk"],
+        _shipments(spark, sf_dir), _stored_dimension(spark, sf_dir, dim_artist), ["artist_bk"],
         attributes=["genres", "popularity", "version_number"],
     ).select("l_orderkey", "l_linenumber", "l_shipdate", "artist_bk", "genres", "popularity", "version_number")
 
@@ -350,17 +354,17 @@ def current_state_of_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @model("K1 J1 F13 F20 X2", "fact_weather_hourly")
 def fact_weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.fact_weather_hourly(s_weather_hourly(spark, sf_dir), dim_location(spark, sf_dir))
+    return d.fact_weather_hourly(s_weather_hourly(spark, sf_dir), _stored_dimension(spark, sf_dir, dim_location))
 
 
 @model("K2 J1 F19 F20", "fact_energy_price_hourly")
 def fact_energy_price_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.fact_energy_price_hourly(s_energy_price_hourly(spark, sf_dir), dim_price_zone(spark, sf_dir))
+    return d.fact_energy_price_hourly(s_energy_price_hourly(spark, sf_dir), _stored_dimension(spark, sf_dir, dim_price_zone))
 
 
 @model("K3 J1", "fact_chart_entry")
 def fact_chart_entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.fact_chart_entry(s_chart_entry(spark, sf_dir), dim_country(spark, sf_dir))
+    return d.fact_chart_entry(s_chart_entry(spark, sf_dir), _stored_dimension(spark, sf_dir, dim_country))
 
 
 _DAILY_AVERAGES = ["temperature_avg", "precipitation_sum", "windspeed_avg", "humidity_avg"]
@@ -397,7 +401,7 @@ def fact_energy_price_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"select * from fact_energy_price_hourly where load_date >= timestamp '{EVENT_CUT}'",
 )
 def fact_energy_price_hourly_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    satellite, zones = s_energy_price_hourly(spark, sf_dir), dim_price_zone(spark, sf_dir)
+    satellite, zones = s_energy_price_hourly(spark, sf_dir), _stored_dimension(spark, sf_dir, dim_price_zone)
     loaded = satellite.where(F.col("load_date") < F.lit(EVENT_CUT).cast("timestamp_ntz"))
     return d.fact_energy_price_hourly(satellite, zones, target=loaded)
 
@@ -425,21 +429,17 @@ _WEATHER_MEASURES = list(marts.WEATHER_TRENDS.measures)
         {', '.join(f'{rounded(name, 6)} as {name}' for name in _WEATHER_MEASURES)} from weather_trends""",
 )
 def weather_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = d.fact_weather_daily(fact_weather_hourly(spark, sf_dir))
-    mart = d.weather_trends(
-        daily, calendar.dim_date(spark, b.EVENTS_AS_OF), dim_location(spark, sf_dir), b.EVENTS_AS_OF
-    )
+    locations = _stored_dimension(spark, sf_dir, dim_location)
+    daily = d.fact_weather_daily(d.fact_weather_hourly(s_weather_hourly(spark, sf_dir), locations))
+    mart = d.weather_trends(daily, calendar.dim_date(spark, b.EVENTS_AS_OF), locations, b.EVENTS_AS_OF)
     return _rounded(mart, _WEATHER_MEASURES)
 
 
 @model("M2 M4 J4 A9 U2 P4 F3 F5 F6 X3 X5 X14", "energy_price_trends")
 def energy_price_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.energy_price_trends(
-        fact_energy_price_daily(spark, sf_dir),
-        calendar.dim_date(spark, b.EVENTS_AS_OF),
-        dim_price_zone(spark, sf_dir),
-        b.EVENTS_AS_OF,
-    )
+    zones = _stored_dimension(spark, sf_dir, dim_price_zone)
+    daily = d.fact_energy_price_daily(d.fact_energy_price_hourly(s_energy_price_hourly(spark, sf_dir), zones))
+    return d.energy_price_trends(daily, calendar.dim_date(spark, b.EVENTS_AS_OF), zones, b.EVENTS_AS_OF)
 
 
 def _orders_calendar(spark: SparkSession) -> DataFrame:

@@ -29,6 +29,41 @@ def test_slices_are_replaced_alone(spark, tmp_path, rows):
         assert read(spark, path, rows) == [(1, "a", 9), (1, "b", 3), (2, "a", 4), (3, "c", 5)]
 
 
+def test_slices_may_lie_across_partitions(spark, tmp_path, rows):
+    """A slice that is not tied to a partition, or a table without partitions: nothing of the old slice stays."""
+    for partition_by in (["zone"], []):
+        path = str(tmp_path / f"t{len(partition_by)}")
+        load = lambda df: sinks.replace_slices(spark, df, path, partition_by, ["day"])
+        load(frame(spark, (1, "a", 1), (1, "b", 2), (2, "a", 3)))
+        load(frame(spark, (1, "a", 9)))
+        assert read(spark, path, rows) == [(1, "a", 9), (2, "a", 3)]
+
+
+def test_file_slices(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    load = lambda *data: sinks.replace_source_files(spark, spark.createDataFrame(list(data), "_source_file string, v int"), path)
+    load(("a", 1), ("a", 2), ("b", 3))
+    load(("a", 7))
+    load(("c", 8))
+    assert rows(spark.read.parquet(path), "_source_file", "v") == [("a", 7), ("b", 3), ("c", 8)]
+
+
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    hub = spark.range(1000).select(F.md5(F.col("id").cast("string")).alias("hk"), "id")
+    satellite = hub.select("hk", (F.col("id") * 2).alias("v"))
+    sinks.overwrite_bucketed(hub, "hub_bucketed", str(tmp_path / "h"), ["hk"], 4)
+    sinks.overwrite_bucketed(satellite, "satellite_bucketed", str(tmp_path / "s"), ["hk"], 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = spark.table("hub_bucketed").join(spark.table("satellite_bucketed"), "hk")
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.where("v = id * 2").count() == 1000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_slice_replace_reads_touched_partitions_only(spark, tmp_path):
     target = frame(spark, *[(d, "a", d) for d in range(40)])
     target.write.partitionBy("day").parquet(str(tmp_path / "t"))

@@ -1,11 +1,14 @@
 """The whole warehouse on small raw tables: built, built again, and built after late rows."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
 
 from layerloom.operators import quality as q, sinks
+from layerloom.operators.calendar import dim_date, dim_time
+from layerloom.plans import raw_loads, rules
 from layerloom.plans.warehouse import build
 from layerloom.sources.schemas import RAW_PARTITIONS, RAW_SCHEMAS, RAW_SLICES
 from layerloom.sources.tables import read_table, table_path
@@ -50,14 +53,7 @@ def charts():
 
 def load(spark, root, name, data):
     df = spark.createDataFrame(data, RAW_SCHEMAS[name])
-    path = table_path(root, "raw", name)
-    if RAW_PARTITIONS[name]:
-        if set(RAW_SLICES[name]) == {"_source_file"}:
-            sinks.overwrite_table(df, path, RAW_PARTITIONS[name])
-        else:
-            sinks.replace_slices(spark, df, path, RAW_PARTITIONS[name], RAW_SLICES[name])
-    else:
-        sinks.append_rows(spark, df, path)
+    sinks.replace_slices(spark, df, table_path(root, "raw", name), RAW_PARTITIONS[name], RAW_SLICES[name])
 
 
 @pytest.fixture(scope="module")
@@ -119,54 +115,46 @@ def test_first_build(spark, root, rows):
 
 
 def test_rules_hold(spark, root):
+    report = rules.check(spark, root)
+    assert rules.failing(report).collect() == []
+    kinds = {row.rule: row.n for row in report.groupBy("rule").agg(F.count("*").alias("n")).collect()}
+    assert kinds["not_null"] > 88 and kinds["unique"] > 14 and kinds["relationships"] > 15 and kinds["complete"] == 2
+
+
+def test_totals_are_kept(spark, root):
     star = lambda name: read_table(spark, root, "business_vault", name)
-    weather_fact, price_fact = star("fact_weather_hourly"), star("fact_energy_price_hourly")
-    daily = star("fact_weather_daily")
-    rules = {
-        "fact_weather_hourly": (
-            weather_fact,
-            [
-                *[q.not_null(c) for c in ("location_sk", "location_hk", "date_id", "time_id", "measured_at", "date_key", "load_date")],
-                q.relationship(weather_fact, "location_sk", star("dim_location")),
-                q.relationship(weather_fact, "date_id", star("dim_date")),
-                q.relationship(weather_fact, "time_id", star("dim_time")),
-                q.complete(weather_fact, ["location_hk", "date_key"], q.HOURS_PER_DAY),
-                q.in_range("temperature_2m", *q.TEMPERATURE_RANGE),
-                q.in_range("relative_humidity_2m", *q.HUMIDITY_RANGE),
-            ],
-        ),
-        "fact_energy_price_hourly": (
-            price_fact,
-            [
-                q.relationship(price_fact, "price_zone_sk", star("dim_price_zone")),
-                q.relationship(price_fact, "date_id", star("dim_date")),
-                q.relationship(price_fact, "time_id", star("dim_time")),
-                q.complete(price_fact, ["price_zone_hk", "date_key"], q.PRICE_INTERVALS_PER_DAY),
-                q.in_range("price_eur_mwh", *q.PRICE_RANGE),
-            ],
-        ),
-        "fact_weather_daily": (
-            daily,
-            [
-                q.holds("min_not_above_max", "temperature_min", F.col("temperature_min") <= F.col("temperature_max")),
-                q.holds("not_negative", "precipitation_sum", F.col("precipitation_sum") >= 0),
-                q.relationship(daily, "location_sk", star("dim_location")),
-            ],
-        ),
-        "dim_date": (star("dim_date"), [q.unique(star("dim_date"), "date_id"), q.unique(star("dim_date"), "full_date")]),
-        "dim_time": (star("dim_time"), [q.accepted_values("period", ["Nacht", "Morgen", "Tag", "Abend"])]),
-        "dim_artist": (star("dim_artist"), [q.unique(star("dim_artist"), "artist_sk")]),
-    }
-    assert [row for row in q.report(rules).collect() if row.failures] == []
     assert q.missing_days(star("dim_date"), "full_date").count() == 0
-    sums = q.unequal_sums(weather_fact, daily, ["location_hk", "date_key"], "precipitation", "precipitation_sum", 1e-9)
+    keys = ["location_hk", "date_key"]
+    sums = q.unequal_sums(
+        star("fact_weather_hourly"), star("fact_weather_daily"), keys, "precipitation", "precipitation_sum", 1e-9
+    )
     assert sums.count() == 0
     mart = read_table(spark, root, "marts", "energy_price_trends")
-    assert q.report({"m": (mart, [q.accepted_values("granularity", ["daily", "weekly", "monthly"]), q.not_null("period_label")])}).agg(F.sum("failures")).first()[0] == 0
-    totals = {r.granularity: r.n for r in mart.groupBy("granularity").agg(F.sum("negative_price_hours").alias("n")).collect()}
+    by_grain = mart.groupBy("granularity").agg(F.sum("negative_price_hours").alias("n"))
+    totals = {row.granularity: row.n for row in by_grain.collect()}
     assert totals["weekly"] == totals["monthly"] == 2 * 40 * 3
 
 
+def test_rules_find_defects(spark, tmp_path):
+    root = str(tmp_path)
+    bad = spark.sql(
+        "select 'x' as location_sk, 'h' as location_hk, 20240101 as date_id, 500 as time_id, "
+        "timestamp_ntz'2024-01-01' as measured_at, date'2024-01-01' as date_key, 60.0D as temperature_2m, "
+        "10.0D as apparent_temperature, 101.0D as relative_humidity_2m, cast(null as timestamp_ntz) as load_date"
+    )
+    write = lambda df, name: sinks.overwrite_table(df, table_path(root, "business_vault", name))
+    write(bad, "fact_weather_hourly")
+    write(dim_date(spark, AS_OF), "dim_date")
+    write(dim_time(spark), "dim_time")
+    write(spark.sql("select 'y' as location_sk, 'h' as location_hk, 'k' as location_key, 1.0D as latitude, 1.0D as longitude, timestamp_ntz'2024-01-01' as valid_from"), "dim_location")
+    found = {(row.rule, row.column_name) for row in rules.failing(rules.check(spark, root)).collect()}
+    assert found == {
+        ("not_null", "load_date"), ("relationships", "location_sk"), ("relationships", "time_id"),
+        ("in_range", "temperature_2m"), ("in_range", "relative_humidity_2m"), ("near_temperature", "apparent_temperature"),
+        ("complete", "location_hk, date_key"),
+    }
+
+
 def test_marts(spark, root, rows):
     mart = read_table(spark, root, "marts", "artist_chart_performance")
     assert rows(mart, "granularity", "period_label", "chart_entries", "best_position", "total_streams", "distinct_tracks", "distinct_regions") == [
@@ -181,6 +169,60 @@ def test_marts(spark, root, rows):
     assert weather_mart.where("granularity = 'daily'").agg(F.min("period_label"), F.count("*")).first()[1] == 80
 
 
+def landed_prices(folder, day, zone, prices):
+    seconds = [1704067200 + 86400 * (day - 1) + 3600 * i for i in range(len(prices))]
+    meta = {"bidding_zone": zone, "fetch_date": f"2024-01-{day:02d}"}
+    body = {"unix_seconds": seconds, "price": prices, "_meta": meta}
+    (folder / f"{zone}-2024-01-{day:02d}.json").write_text(json.dumps(body, indent=1))
+
+
+def test_raw_loads(spark, tmp_path, rows):
+    """From landed files to raw tables; each load twice, then a backfill that skips what is loaded per zone."""
+    root, prices, charts = str(tmp_path / "root"), tmp_path / "prices", tmp_path / "charts.csv"
+    prices.mkdir()
+    landed_prices(prices, 1, "AT", [1.0, 2.0])
+    charts.write_text(
+        "title,rank,date,artist,url,region,chart,trend,streams\n"
+        "A,1,2024-01-01,X,u,Germany,top200,SAME,5\nB,2,2024-01-01,Y,u,Peru,top200,SAME,NULL\n"
+    )
+    raw = lambda name: read_table(spark, root, "raw", name)
+    for _ in range(2):
+        raw_loads.load_prices(spark, root, str(prices), "2024-02-01 00:00:00")
+        raw_loads.load_charts_of_regions(spark, root, str(charts), "2024-02-01 00:00:00")
+    assert raw("energy_price_hourly").count() == 2
+    assert rows(raw("spotify_charts"), "region", "streams") == [("Germany", 5)]
+    raw_loads.load_all_charts(spark, root, str(charts), "2024-02-01 00:00:00")
+    assert rows(raw("spotify_charts"), "region", "streams") == [("Germany", 5), ("Peru", None)]
+    landed_prices(prices, 1, "AT", [9.0, 9.0])
+    landed_prices(prices, 1, "DE-LU", [3.0])
+    landed_prices(prices, 2, "AT", [4.0])
+    raw_loads.load_missing_prices(spark, root, str(prices), "2024-02-02 00:00:00")
+    assert rows(raw("energy_price_hourly"), "date_key", "bidding_zone", "price_eur_mwh") == [
+        (dt.date(2024, 1, 1), "AT", 1.0),
+        (dt.date(2024, 1, 1), "AT", 2.0),
+        (dt.date(2024, 1, 1), "DE-LU", 3.0),
+        (dt.date(2024, 1, 2), "AT", 4.0),
+    ]
+
+
+def test_query_result_loads(spark, tmp_path, rows):
+    root, landed = str(tmp_path / "root"), str(tmp_path / "landed")
+    report = spark.sql("select 'A' as SCHEMA_NAME, 'T' as TABLE_NAME, 'T' as TABLE_TYPE, 0L as ESTIMATED_ROWS, cast(null as int) as DATA_PAGES, '' as REMARKS")
+
+    class Reader:
+        def option(self, *_):
+            return self
+
+        def load(self):
+            return report
+
+    raw_loads.land_query_result(spark, Reader(), "select ...", landed, "2024-01-01", "db2_jdbc")
+    for _ in range(2):
+        raw_loads.load_query_result(spark, root, "db2_tables", landed)
+    found = rows(read_table(spark, root, "raw", "db2_tables"), *RAW_SCHEMAS["db2_tables"].names)
+    assert found == [(dt.date(2024, 1, 1), "A", "T", "T", 0, None, "")]
+
+
 def test_second_build_changes_nothing(spark, root):
     before = content(spark, root)
     build(spark, root, AS_OF)
