@@ -74,7 +74,7 @@ def main(sf_dir: str, names: list[str]) -> int:
             ours = queries[name](spark, sf_dir).toArrow()
             spent = time.time() - start
             start = time.time()
-            problems = differences(ours, con.execute(sqls[name]).to_arrow_table()) if name in sqls else []
+            problems = differences(ours, con.sql(sqls[name]).to_arrow_table()) if name in sqls else []
             note = f"{len(ours)} rows, spark {spent:.2f}s, sql {time.time() - start:.2f}s"
         except Exception as error:  # the report goes on with the other queries
             problems, note = [f"{type(error).__name__}: {str(error)[:1500]}"], ""
