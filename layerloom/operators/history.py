@@ -17,10 +17,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from layerloom.functions.keys import dimension_sk
 
 # A key with more than this share of all rows is hot. At most 1 / HOT_SHARE keys can be, which bounds the list of hot
-# keys. Below MIN_HOT_ROWS rows a key is never worth cutting.
-HOT_SHARE = 1e-4
+# keys (100,000 hash keys, a few MB). Below MIN_HOT_ROWS rows a key is never worth cutting.
+HOT_SHARE = 1e-5
 MIN_HOT_ROWS = 1_000_000
 
+# The hash join of point_in_time_join compares a fact with all versions of its key, so it is for keys with few.
+MAX_COMPARED_VERSIONS = 200
+
 CHUNK = "_chunk"
 
 
@@ -219,11 +222,12 @@ def point_in_time_join(
 ) -> DataFrame:
     """Each fact with the attributes of the version that was valid at its time; facts without one are dropped.
 
-    Two plans for one meaning. Versions below the broadcast threshold: a hash join on the key with the interval as a
-    residual condition, the facts are not shuffled. Larger ones: facts and versions are lined up per key in time order
-    and the last version before each fact is carried forward, which compares no pairs and cuts hot keys into chunks.
+    Two plans for one meaning. Versions below the broadcast threshold, few per key: a hash join on the key with the
+    interval as a residual condition, the facts are not shuffled. Otherwise facts and versions are lined up per key in
+    time order and the last version before each fact is carried forward, which compares no pairs and cuts hot keys
+    into chunks.
     """
-    if planned_bytes(versions) <= broadcast_limit(versions):
+    if planned_bytes(versions) <= broadcast_limit(versions) and _few_per_key(versions, keys):
         return interval_join(
             facts, versions, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to
         )
@@ -232,6 +236,12 @@ def point_in_time_join(
     )
 
 
+def _few_per_key(versions: DataFrame, keys: Sequence[str]) -> bool:
+    """Only asked of tables small enough to broadcast."""
+    counts = versions.groupBy(*keys).agg(F.count("*").alias("n"))
+    return counts.where(F.col("n") > MAX_COMPARED_VERSIONS).isEmpty()
+
+
 def interval_join(
     facts: DataFrame,
     versions: DataFrame,

@@ -1,8 +1,9 @@
 """Writes: slice replace, appends with guards, full refresh.
 
 Tables are partitioned Parquet. A slice is replaced by dynamic partition overwrite, so a load can be repeated and a
-late correction replaces exactly its own slice. Every write rebalances by the partition columns first: small
-partitions share a task and a hot partition (a day or region that holds a third of the rows) is split over many.
+late correction replaces exactly its own slice. Writes to partitioned tables are rebalanced by the partition columns
+first: small partitions share a task and a hot partition (a day or region that holds a third of the rows) is split
+over many.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ class DuplicateKeys(ValueError):
 
 def balanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     """Bring the rows of a partition together without putting a hot one into a single task (AQE splits it)."""
-    return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
+    return df.hint("rebalance", *partition_by)
 
 
 def _writer(df: DataFrame, partition_by: Sequence[str]):
-    writer = balanced(df, partition_by).write
-    return writer.partitionBy(*partition_by) if partition_by else writer
+    """Tables without partitions are written as they come: a shuffle would buy them nothing."""
+    return balanced(df, partition_by).write.partitionBy(*partition_by) if partition_by else df.write
 
 
 def check_schema(new: DataFrame, target: DataFrame) -> None:
@@ -135,7 +136,8 @@ def replace_source_files(spark: SparkSession, df: DataFrame, path: str) -> None:
 def overwrite_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> None:
     """Full refresh of a catalog table that is bucketed and sorted by its keys.
 
-    Tables bucketed alike by a hash key (a hub and its satellites) join on it without a shuffle.
+    Tables bucketed alike by a hash key (a hub and its satellites) join on it without a shuffle. A key's rows lie in
+    one bucket, so this is for tables without hot keys: hubs, links, state satellites.
     """
     writer = df.repartition(buckets, *keys).write.bucketBy(buckets, *keys).sortBy(*keys)
     writer.mode("overwrite").option("path", path).saveAsTable(table)

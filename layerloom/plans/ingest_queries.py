@@ -8,7 +8,7 @@ from layerloom.operators import quality, sinks
 from layerloom.plans import bindings as b, documents as docs
 from layerloom.plans.catalog import query
 from layerloom.session import scratch_path
-from layerloom.sources import delimited, landing, schemas
+from layerloom.sources import delimited, landing, schemas, tables
 from layerloom.sources.schemas import RAW_SCHEMAS
 from layerloom.streaming.ingest import document_stream, ingest_available
 
@@ -190,13 +190,13 @@ def price_slices_within_partition(spark: SparkSession, sf_dir: str) -> DataFrame
 def days_that_grew_on_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows per day of a table that was loaded once and of one that was loaded twice: nothing may grow."""
     rows = _price_rows(spark, sf_dir)
-    tables = []
+    loaded = []
     for loads in (1, 2):
         path = scratch_path(spark, "price-days")
         for _ in range(loads):
             sinks.replace_partitions(rows, path, ["date_key"])
-        tables.append(spark.read.schema(rows.schema).parquet(path))
-    return quality.slices_that_grew(*tables, ["date_key"])
+        loaded.append(spark.read.schema(rows.schema).parquet(path))
+    return quality.slices_that_grew(*loaded, ["date_key"])
 
 
 @query(
@@ -245,6 +245,35 @@ def orders_appended_in_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@query("W12 W8 S13", "select o_orderkey, o_custkey, o_totalprice from orders where o_orderstatus = 'F'")
+def orders_by_layer_and_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table written to its layer's folder and read back by layer and name."""
+    root = scratch_path(spark, "lake")
+    orders = b.table(spark, sf_dir, "orders").where("o_orderstatus = 'F'")
+    rows = orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    sinks.overwrite_table(rows, tables.table_path(root, " marts ", "finished_orders"))
+    return tables.read_table(spark, root, "marts", "finished_orders")
+
+
+@query(
+    "J10",
+    """select c_mktsegment, count(*) as orders, max(o_totalprice) as largest
+    from orders join customer on o_custkey = c_custkey group by 1""",
+)
+def orders_by_segment_across_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lake table joined with a table of another kind of source (delimited text), each read with its own reader."""
+    path = scratch_path(spark, "customer-csv")
+    b.table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment").write.option("header", True).csv(path)
+    text = delimited.read_text_columns(spark, path, columns=["c_custkey", "c_mktsegment"])
+    customers = text.select(F.col("c_custkey").cast("bigint").alias("o_custkey"), "c_mktsegment")
+    orders = b.table(spark, sf_dir, "orders").select("o_custkey", "o_totalprice")
+    return (
+        orders.join(customers, "o_custkey")
+        .groupBy("c_mktsegment")
+        .agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("largest"))
+    )
+
+
 # --- stream -----------------------------------------------------------------------------------------------------------
 
 

@@ -132,6 +132,20 @@ def test_plan_follows_the_size_of_the_versions(spark, tmp_path):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_many_versions_of_one_key_are_not_compared_pairwise(spark):
+    facts = spark.createDataFrame([(1, "a", at(0, 5))], "id int, hk string, t timestamp_ntz")
+    versions = spark.range(history.MAX_COMPARED_VERSIONS + 1).select(
+        F.lit("a").alias("hk"),
+        F.timestamp_add("HOUR", "id", F.lit(START).cast("timestamp_ntz")).alias("valid_from"),
+        F.timestamp_add("HOUR", F.col("id") + 1, F.lit(START).cast("timestamp_ntz")).alias("valid_to"),
+        "id",
+    )
+    versions = versions.select("hk", "valid_from", "valid_to", F.col("id").alias("version"))
+    joined = history.point_in_time_join(facts, versions, ["hk"], "t", attributes=["version"], hot=NONE)
+    assert "Window" in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.first().version == 5
+
+
 def test_latest_row_with_a_tie(spark, rows):
     df = snapshots(spark, [("x", at(1), "A"), ("x", at(1), "B"), ("x", at(0), "C")])
     assert rows(history.latest_per_key(df, ["hk"], "load_date", ["hashdiff"])) == [("x", at(1), "B")]
