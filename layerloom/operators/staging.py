@@ -21,24 +21,19 @@ def stage(
     renames: Mapping[str, str] | None = None,
     derive: Mapping[str, Column] | None = None,
 ) -> DataFrame:
-    """Filter, derive, hash, cast and tag.
+    """Filter, derive, cast, hash and tag.
 
-    ``keys`` hash the raw values (before the casts); ``columns`` are the raw or derived columns to carry, ``renames``
-    give some of them another name.
+    ``keys`` hash the typed values under their raw names, so a load that hashes grouped staging rows gets the same
+    keys; ``columns`` are the raw or derived columns to carry, ``renames`` give some of them another name.
     """
     rows = raw.dropna(subset=list(required))
-    if derive:
-        rows = rows.withColumns(dict(derive))
-    rows = with_keys(rows, keys)
-    casts, renames = casts or {}, renames or {}
-
-    def carried(name: str) -> Column:
-        column = F.col(name).cast(casts[name]) if name in casts else F.col(name)
-        return column.alias(renames.get(name, name))
-
-    return rows.select(
+    computed = {**(derive or {}), **{name: F.col(name).cast(data_type) for name, data_type in (casts or {}).items()}}
+    if computed:
+        rows = rows.withColumns(computed)
+    renames = renames or {}
+    return with_keys(rows, keys).select(
         *keys,
-        *[carried(name) for name in columns],
+        *[F.col(name).alias(renames.get(name, name)) for name in columns],
         "_source_file",
         "_loaded_at",
         F.lit(record_source).alias("record_source"),
@@ -96,21 +91,23 @@ def energy_price(raw: DataFrame) -> DataFrame:
     )
 
 
-def track(raw: DataFrame, *, full_hashdiff: bool = True) -> DataFrame:
+def track_keys(*, full_hashdiff: bool = True) -> dict[str, list[str]]:
     """``full_hashdiff``: the hashdiffs cover every attribute their satellite holds, so one hashdiff is one state.
     False leaves popularity, genre and time signature out, as existing keys may have been built."""
-    details = [*DETAIL_INPUTS, "popularity", "track_genre"] if full_hashdiff else DETAIL_INPUTS
-    audio = ["track_id", *(AUDIO_COLUMNS if full_hashdiff else AUDIO_INPUTS)]
+    return {
+        "track_hk": ["track_id"],
+        "artist_hk": ["artist_bk"],
+        "track_hashdiff": [*DETAIL_INPUTS, "popularity", "track_genre"] if full_hashdiff else DETAIL_INPUTS,
+        "audio_hashdiff": ["track_id", *(AUDIO_COLUMNS if full_hashdiff else AUDIO_INPUTS)],
+    }
+
+
+def track(raw: DataFrame, *, full_hashdiff: bool = True) -> DataFrame:
     casts = {name: "int" if name in INTEGER_AUDIO else "double" for name in AUDIO_COLUMNS}
     return stage(
         raw,
         derive={"artist_bk": business_name(F.col("artist_name"))},
-        keys={
-            "track_hk": ["track_id"],
-            "artist_hk": ["artist_bk"],
-            "track_hashdiff": details,
-            "audio_hashdiff": audio,
-        },
+        keys=track_keys(full_hashdiff=full_hashdiff),
         columns=[
             "track_id", "artist_bk", "track_name", "artist_name", "album_name", "popularity", "duration_ms",
             "explicit", "track_genre", *AUDIO_COLUMNS,

@@ -7,7 +7,7 @@ task that read them) and leaves one row per key, so the anti join that follows s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -25,12 +25,12 @@ def _not_loaded(rows: DataFrame, target: DataFrame | None, keys: Sequence[str])
 def load_hub(
     staging: DataFrame, hk: str, bk: str, alias: str, record_source: str, target: DataFrame | None = None
 ) -> DataFrame:
-    """One row per business key with its first load time, if the hub does not know the key yet."""
-    rows = (
-        staging.groupBy(hk, F.col(bk).alias(alias))
-        .agg(F.min(LOADED).alias("load_date"))
-        .withColumn("record_source", F.lit(record_source))
-    )
+    """One row per business key with its first load time, if the hub does not know the key yet.
+
+    The hash key is a function of the business key, so it is taken of the grouped keys, not of every staging row.
+    """
+    rows = staging.groupBy(F.col(bk).alias(alias)).agg(F.min(LOADED).alias("load_date"))
+    rows = with_keys(rows, {hk: [alias]}).select(hk, alias, "load_date", F.lit(record_source).alias("record_source"))
     return _not_loaded(rows, target, [hk])
 
 
@@ -59,16 +59,15 @@ def load_link(
     staging: DataFrame,
     link_hk: str,
     parts: Sequence[str],
-    hks: Sequence[str],
+    hks: Mapping[str, Sequence[str]],
     record_source: str,
     target: DataFrame | None = None,
 ) -> DataFrame:
-    """One row per combination of hub keys, hashed over the business keys in ``parts``."""
-    rows = (
-        with_keys(staging, {link_hk: parts})
-        .groupBy(link_hk, *hks)
-        .agg(F.min(LOADED).alias("load_date"))
-        .withColumn("record_source", F.lit(record_source))
+    """One row per combination of business keys: the link's key over all ``parts``, and the hub keys in ``hks`` over
+    the parts they are made of. Hashed after grouping, as in load_hub."""
+    rows = staging.groupBy(*parts).agg(F.min(LOADED).alias("load_date"))
+    rows = with_keys(rows, {link_hk: parts, **hks}).select(
+        link_hk, *hks, "load_date", F.lit(record_source).alias("record_source")
     )
     return _not_loaded(rows, target, [link_hk])
 
@@ -77,15 +76,19 @@ def load_state_satellite(
     staging: DataFrame,
     hk: str,
     hashdiff: str,
+    keys: Mapping[str, Sequence[str]],
     attributes: Sequence[str],
     record_source: str,
     target: DataFrame | None = None,
 ) -> DataFrame:
-    """Distinct states of an entity with their first load time, if the hashdiff is not known yet."""
-    rows = (
-        staging.groupBy(hk, hashdiff, *attributes)
-        .agg(F.min(LOADED).alias("load_date"))
-        .withColumn("record_source", F.lit(record_source))
+    """Distinct states of an entity with their first load time, if the hashdiff is not known yet.
+
+    ``keys`` says which columns ``hk`` and ``hashdiff`` are made of. Hashed after grouping, as in load_hub.
+    """
+    grain = dict.fromkeys([*keys[hk], *keys[hashdiff], *attributes])
+    rows = staging.groupBy(*grain).agg(F.min(LOADED).alias("load_date"))
+    rows = with_keys(rows, {hk: keys[hk], hashdiff: keys[hashdiff]}).select(
+        hk, hashdiff, *attributes, "load_date", F.lit(record_source).alias("record_source")
     )
     return _not_loaded(rows, target, [hashdiff])
 

@@ -38,7 +38,12 @@ def h_artist(stg_track: DataFrame, stg_snapshot: DataFrame, target: DataFrame |
 
 def l_track_artist(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
     return vault.load_link(
-        stg, "track_artist_hk", ["track_id", "artist_bk"], ["track_hk", "artist_hk"], "spotify-kaggle", target
+        stg,
+        "track_artist_hk",
+        ["track_id", "artist_bk"],
+        {"track_hk": ["track_id"], "artist_hk": ["artist_bk"]},
+        "spotify-kaggle",
+        target,
     )
 
 
@@ -46,20 +51,27 @@ def l_track_artist(stg: DataFrame, target: DataFrame | None = None) -> DataFrame
 
 
 def s_location_details(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
+    attributes = ["location_key", "latitude", "longitude"]
     return vault.load_state_satellite(
-        stg, "location_hk", "location_hashdiff", ["location_key", "latitude", "longitude"], "open-meteo", target
+        stg, "location_hk", "location_hashdiff", staging.WEATHER_KEYS, attributes, "open-meteo", target
     )
 
 
-def s_track_details(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def s_track_details(
+    stg: DataFrame, target: DataFrame | None = None, *, full_hashdiff: bool = True
+) -> DataFrame:
+    keys = staging.track_keys(full_hashdiff=full_hashdiff)
     return vault.load_state_satellite(
-        stg, "track_hk", "track_hashdiff", staging.DETAIL_COLUMNS, "spotify-kaggle", target
+        stg, "track_hk", "track_hashdiff", keys, staging.DETAIL_COLUMNS, "spotify-kaggle", target
     )
 
 
-def s_track_audio_features(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def s_track_audio_features(
+    stg: DataFrame, target: DataFrame | None = None, *, full_hashdiff: bool = True
+) -> DataFrame:
+    keys = staging.track_keys(full_hashdiff=full_hashdiff)
     return vault.load_state_satellite(
-        stg, "track_hk", "audio_hashdiff", staging.AUDIO_COLUMNS, "spotify-kaggle", target
+        stg, "track_hk", "audio_hashdiff", keys, staging.AUDIO_COLUMNS, "spotify-kaggle", target
     )
 
 

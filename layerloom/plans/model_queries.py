@@ -56,6 +56,19 @@ def track_hashdiff_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "V13 X7",
+    f"""select {hashed('track_id')} as track_hk,
+        {hashed('track_id', 'track_name', 'album_name', 'duration_ms', 'explicit')} as track_hashdiff, track_name,
+        album_name, duration_ms, explicit, popularity, track_genre, min(_loaded_at) as load_date,
+        'spotify-kaggle' as record_source
+    from raw_tracks group by all""",
+)
+def s_track_details_literal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The satellite with the narrow hashdiff: one row per state, several per hashdiff."""
+    return d.s_track_details(staging.track(b.raw_tracks(spark, sf_dir), full_hashdiff=False), full_hashdiff=False)
+
+
 # --- hubs, link, satellites -------------------------------------------------------------------------------------------
 
 
@@ -125,10 +138,8 @@ def link_part_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = b.table(spark, sf_dir, "lineitem").select(
         "l_partkey", "l_suppkey", F.col("l_shipdate").alias("_loaded_at")
     )
-    lines = vault.with_keys(lines, {"part_hk": ["l_partkey"], "supplier_hk": ["l_suppkey"]})
-    return vault.load_link(
-        lines, "part_supplier_hk", ["l_partkey", "l_suppkey"], ["part_hk", "supplier_hk"], "lineitem"
-    )
+    hubs = {"part_hk": ["l_partkey"], "supplier_hk": ["l_suppkey"]}
+    return vault.load_link(lines, "part_supplier_hk", ["l_partkey", "l_suppkey"], hubs, "lineitem")
 
 
 @model("V12 A1", "s_location_details")
@@ -278,9 +289,9 @@ def dim_track(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @model("D7 J2 N1 N2 F1 F23 X16", "dim_artist")
 def dim_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return d.dim_artist(
-        h_artist(spark, sf_dir), s_artist_profile(spark, sf_dir), hot=_hot_artists(spark, sf_dir)
-    )
+    hot = _hot_artists(spark, sf_dir)
+    profile = d.s_artist_profile(stg_artist_snapshot(spark, sf_dir), hot=hot)
+    return d.dim_artist(h_artist(spark, sf_dir), profile, hot=hot)
 
 
 @query("D7 N1 N2 X8", "select * from dim_artist")
