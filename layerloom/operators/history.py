@@ -173,8 +173,16 @@ def changes_only(
     are reduced to one first (highest hashdiff), because versions need distinct start times.
     """
     hot = find_hot_keys(df, keys) if hot is None else hot
-    single = one_per(df, [*keys, load], [F.desc(hashdiff)])
-    compared = neighbours(single, keys, load, previous={"_before_hash": hashdiff}, hot=hot)
+    wanted = ({"_before_hash": hashdiff}, {}, None)
+
+    def reduced(rows: DataFrame) -> DataFrame:
+        return one_per(rows, [*keys, load], [F.desc(hashdiff)])
+
+    cold_rows, hot_rows = split_by_heat(df, keys, hot)
+    # Brought together by key at once, both steps (and a with_validity that follows) share one shuffle and one sort.
+    compared = _in_one_window(reduced(cold_rows.repartition(*keys)), keys, load, *wanted)
+    if hot_rows is not None:
+        compared = compared.unionByName(_in_chunks(reduced(hot_rows), keys, load, hot.grain, *wanted))
     return compared.where(~F.col("_before_hash").eqNullSafe(F.col(hashdiff))).drop("_before_hash")
 
 

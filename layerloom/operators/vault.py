@@ -35,21 +35,28 @@ def load_hub(
 
 
 def load_shared_hub(
-    sources: Sequence[tuple[DataFrame, str, str]], hk: str, alias: str, preferred: str, target: DataFrame | None = None
+    sources: Sequence[tuple[DataFrame, Sequence[str], str, str]],
+    hk: str,
+    alias: str,
+    preferred: str,
+    target: DataFrame | None = None,
 ) -> DataFrame:
-    """A hub fed by several sources ``(staging, business key column, record source)``.
+    """A hub fed by several sources ``(staging, key inputs, business key column, record source)``.
 
     Per hash key: the preferred source's business key (the greatest), else the smallest of the others; the first load;
-    the greatest source name. All of it is one aggregation over the union, without grouping each source first.
+    the greatest source name. Each source is grouped and hashed first, so text is only compared between distinct keys.
     """
     combined = None
-    for staging, bk, record_source in sources:
-        rows = staging.select(hk, F.col(bk).alias(alias), LOADED, F.lit(record_source).alias("record_source"))
+    for staging, inputs, bk, record_source in sources:
+        rows = staging.groupBy(*dict.fromkeys([*inputs, bk])).agg(F.min(LOADED).alias("load_date"))
+        rows = with_keys(rows, {hk: inputs}).select(
+            hk, F.col(bk).alias(alias), "load_date", F.lit(record_source).alias("record_source")
+        )
         combined = rows if combined is None else combined.unionByName(rows)
     from_preferred = F.when(F.col("record_source") == preferred, F.col(alias))
     merged = combined.groupBy(hk).agg(
         F.coalesce(F.max(from_preferred), F.min(alias)).alias(alias),
-        F.min(LOADED).alias("load_date"),
+        F.min("load_date").alias("load_date"),
         F.max("record_source").alias("record_source"),
     )
     return _not_loaded(merged, target, [hk])

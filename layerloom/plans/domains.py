@@ -32,7 +32,10 @@ def h_country(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
 
 def h_artist(stg_track: DataFrame, stg_snapshot: DataFrame, target: DataFrame | None = None) -> DataFrame:
     """Two key domains in one hub: the normalised name in the track files, the service's id in the snapshots."""
-    sources = [(stg_track, "artist_bk", "spotify-kaggle"), (stg_snapshot, "artist_id", "spotify-api")]
+    sources = [
+        (stg_track, ["artist_bk"], "artist_bk", "spotify-kaggle"),
+        (stg_snapshot, ["artist_id"], "artist_id", "spotify-api"),
+    ]
     return vault.load_shared_hub(sources, "artist_hk", "artist_bk", "spotify-api", target)
 
 

@@ -112,13 +112,15 @@ def shared_hub_of_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def source(name: str, key: str, bk: str, loaded: str) -> DataFrame:
         rows = b.table(spark, sf_dir, name).select(key, bk)
-        rows = vault.with_keys(rows, {"nation_hk": [key]})
         return rows.withColumn("_loaded_at", F.lit(loaded).cast("timestamp_ntz"))
 
     customers = source("customer", "c_nationkey", "c_mktsegment", "2024-01-02 00:00:00")
     suppliers = source("supplier", "s_nationkey", "s_name", "2024-01-01 00:00:00")
     return vault.load_shared_hub(
-        [(customers, "c_mktsegment", "customers"), (suppliers, "s_name", "suppliers")],
+        [
+            (customers, ["c_nationkey"], "c_mktsegment", "customers"),
+            (suppliers, ["s_nationkey"], "s_name", "suppliers"),
+        ],
         "nation_hk", "nation_bk", preferred="customers",
     )
 

@@ -72,6 +72,13 @@ def test_chunks_give_the_same_history(spark, rows, seed, grain):
     assert rows(in_chunks, *plain.columns) == rows(plain)
 
 
+def test_versions_take_one_shuffle_and_one_sort(spark):
+    df = snapshots(spark, random_history(5))
+    versions = history.changes_only(df, ["hk"], "load_date", "hashdiff", hot=NONE)
+    plan = history.with_validity(versions, ["hk"], "load_date", hot=NONE)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count(" Sort ") == 1
+
+
 def test_intervals_do_not_overlap_and_one_version_is_current(spark):
     df = snapshots(spark, random_history(7))
     found = {}

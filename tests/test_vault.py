@@ -1,4 +1,5 @@
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -56,19 +57,22 @@ def test_rows_without_a_required_column_are_dropped(spark):
 
 def test_shared_hub_prefers_the_service_id(spark, rows):
     def source(data):
-        return spark.createDataFrame(data, "hk string, bk string, _loaded_at timestamp_ntz")
+        return spark.createDataFrame(data, "k string, bk string, _loaded_at timestamp_ntz")
 
-    first = source([("k1", "b", day(1)), ("k1", "a", day(2)), ("k2", "z", day(3))])
+    first = source([("k1", "b", day(1)), ("k1", "a", day(2)), ("k2", "z", day(3)), ("k2", "z", day(1))])
     second = source([("k1", "id1", day(5)), ("k3", "id3", day(4))])
-    hub = vault.load_shared_hub([(first, "bk", "files"), (second, "bk", "api")], "hk", "key", preferred="api")
-    assert rows(hub) == [
-        ("k1", "id1", day(1), "files"),
-        ("k2", "z", day(3), "files"),
-        ("k3", "id3", day(4), "api"),
-    ]
-    target = hub.where("hk = 'k1'")
-    again = vault.load_shared_hub([(first, "bk", "files"), (second, "bk", "api")], "hk", "key", preferred="api", target=target)
-    assert {row.hk for row in again.collect()} == {"k2", "k3"}
+    sources = [(first, ["k"], "bk", "files"), (second, ["k"], "bk", "api")]
+    hub = vault.load_shared_hub(sources, "hk", "key", preferred="api")
+    key = {name: hashlib.md5(name.encode()).hexdigest() for name in ("k1", "k2", "k3")}
+    assert rows(hub) == sorted(
+        [
+            (key["k1"], "id1", day(1), "files"),
+            (key["k2"], "z", day(1), "files"),
+            (key["k3"], "id3", day(4), "api"),
+        ]
+    )
+    again = vault.load_shared_hub(sources, "hk", "key", preferred="api", target=hub.where("key = 'id1'"))
+    assert {row.hk for row in again.collect()} == {key["k2"], key["k3"]}
 
 
 def versions(df):

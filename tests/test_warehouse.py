@@ -14,6 +14,7 @@ from layerloom.sources.schemas import RAW_PARTITIONS, RAW_SCHEMAS, RAW_SLICES
 from layerloom.sources.tables import read_table, table_path
 
 AS_OF = "2024-03-31"
+DAYS = range(28, 36)  # 29 January to 5 February
 
 
 def ts(day, hour=0, minute=0):
@@ -59,8 +60,8 @@ def load(spark, root, name, data):
 @pytest.fixture(scope="module")
 def root(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("warehouse"))
-    load(spark, root, "weather_hourly", weather(range(40), 41))
-    load(spark, root, "energy_price_hourly", prices(range(40), 41))
+    load(spark, root, "weather_hourly", weather(DAYS, 41))
+    load(spark, root, "energy_price_hourly", prices(DAYS, 41))
     load(spark, root, "spotify_artist_snapshots", snapshots([("x", 1, 0), ("y", 5, 0)]))
     load(spark, root, "spotify_artist_snapshots", snapshots([("x", 2, 7), ("y", 5, 7)]))
     load(spark, root, "spotify_tracks", tracks(1))
@@ -99,8 +100,8 @@ def counts(spark, root):
 
 def test_first_build(spark, root, rows):
     found = counts(spark, root)
-    assert found["h_location"] == 2 and found["s_weather_hourly"] == found["fact_weather_hourly"] == 40 * 48
-    assert found["fact_weather_daily"] == found["fact_energy_price_daily"] == 80
+    assert found["h_location"] == 2 and found["s_weather_hourly"] == found["fact_weather_hourly"] == 8 * 48
+    assert found["fact_weather_daily"] == found["fact_energy_price_daily"] == 16
     assert found["fact_energy_price_monthly"] == 4
     assert found["h_artist"] == 3 and found["dim_artist"] == 3 and found["dim_track"] == 3
     assert found["fact_chart_entry"] == 16  # the key has no chart type, so the two charts share entries
@@ -111,7 +112,7 @@ def test_first_build(spark, root, rows):
         ("y", 5, 1, True),
     ]
     january = star("fact_energy_price_monthly").where("date_id = 20240101").first()
-    assert (january.price_min, january.price_max, january.negative_price_hours) == (-3.0, 20.0, 3 * 31)
+    assert (january.price_min, january.price_max, january.negative_price_hours) == (-3.0, 20.0, 3 * 3)
 
 
 def test_rules_hold(spark, root):
@@ -132,7 +133,7 @@ def test_totals_are_kept(spark, root):
     mart = read_table(spark, root, "marts", "energy_price_trends")
     by_grain = mart.groupBy("granularity").agg(F.sum("negative_price_hours").alias("n"))
     totals = {row.granularity: row.n for row in by_grain.collect()}
-    assert totals["weekly"] == totals["monthly"] == 2 * 40 * 3
+    assert totals["weekly"] == totals["monthly"] == 2 * 8 * 3
 
 
 def test_rules_find_defects(spark, tmp_path):
@@ -165,8 +166,8 @@ def test_marts(spark, root, rows):
     ]
     weather_mart = read_table(spark, root, "marts", "weather_trends")
     labels = {row.granularity: row.l for row in weather_mart.groupBy("granularity").agg(F.min("period_label").alias("l")).collect()}
-    assert labels == {"daily": "2024-01-01", "weekly": "2024-01-01", "monthly": "February 2024"}
-    assert weather_mart.where("granularity = 'daily'").agg(F.min("period_label"), F.count("*")).first()[1] == 80
+    assert labels == {"daily": "2024-01-29", "weekly": "2024-01-29", "monthly": "February 2024"}
+    assert weather_mart.where("granularity = 'daily'").agg(F.min("period_label"), F.count("*")).first()[1] == 16
 
 
 def landed_prices(folder, day, zone, prices):
@@ -232,8 +233,8 @@ def test_second_build_changes_nothing(spark, root):
 def test_late_rows(spark, root):
     """A missing price slice arrives, weather goes on, an artist returns to an old state, a track changes."""
     before = counts(spark, root)
-    load(spark, root, "weather_hourly", weather(range(40, 42), 43))
-    load(spark, root, "energy_price_hourly", [row for row in prices([3], 44, minutes=(0, 15, 30, 45)) if row[3] == "AT"])
+    load(spark, root, "weather_hourly", weather(range(36, 38), 43))
+    load(spark, root, "energy_price_hourly", [row for row in prices([30], 44, minutes=(0, 15, 30, 45)) if row[3] == "AT"])
     load(spark, root, "spotify_artist_snapshots", snapshots([("x", 1, 14), ("y", 5, 14)]))
     load(spark, root, "spotify_tracks", tracks(2))
     build(spark, root, AS_OF)
@@ -246,10 +247,10 @@ def test_late_rows(spark, root):
     assert grown["s_track_details"] == 3 and "dim_track" not in grown
     assert "fact_energy_price_daily" not in grown and "fact_energy_price_monthly" not in grown
     star = lambda name: read_table(spark, root, "business_vault", name)
-    touched = star("fact_energy_price_daily").where("date_id = 20240104").orderBy("negative_price_hours").collect()
+    touched = star("fact_energy_price_daily").where("date_id = 20240131").orderBy("negative_price_hours").collect()
     assert [row.negative_price_hours for row in touched] == [3, 12]
     january = star("fact_energy_price_monthly").where("date_id = 20240101").agg(F.sum("negative_price_hours")).first()[0]
-    assert january == 2 * 31 * 3 + 9
+    assert january == 2 * 3 * 3 + 9
     again = content(spark, root)
     build(spark, root, AS_OF)
     assert content(spark, root) == again
