@@ -22,11 +22,12 @@ VAULT, STAR, MARTS = "data_vault", "business_vault", "marts"
 
 @dataclass(frozen=True)
 class Run:
-    """One build: where the tables are and the day the relative columns refer to."""
+    """One build: where the tables are, the day the relative columns refer to, and whether all is built anew."""
 
     spark: SparkSession
     root: str
     as_of: str
+    full_refresh: bool = False
 
     def path(self, layer: str, name: str) -> str:
         return table_path(self.root, layer, name)
@@ -38,7 +39,8 @@ class Run:
         return read_table(self.spark, self.root, layer, name)
 
     def current(self, layer: str, name: str) -> DataFrame | None:
-        return self.read(layer, name) if self.has(layer, name) else None
+        """The table to add to, if there is one."""
+        return None if self.full_refresh or not self.has(layer, name) else self.read(layer, name)
 
     def stage(self, name: str) -> DataFrame:
         raw, stage = STAGING[name]
@@ -112,13 +114,19 @@ def load_vault_table(run: Run, name: str) -> None:
     model, inputs, key, partition_by, bounded_by = VAULT_MODELS[name]
     stages = [run.stage(source) for source in inputs]
     target = run.current(VAULT, name)
-    if target is not None and bounded_by is not None:
+    if target is None:
+        sinks.overwrite_table(model(*stages), run.path(VAULT, name), partition_by)
+        return
+    if bounded_by is not None:
         target = sinks.only_between(target, stages[0], bounded_by)
-    rows = model(*stages, target=target)
     # Rows of the partitioned (large) tables are unique by construction and not staged for another check.
-    key = [] if partition_by else key
     sinks.append_rows(
-        run.spark, rows, run.path(VAULT, name), unique_key=key, partition_by=partition_by, check_target=False
+        run.spark,
+        model(*stages, target=target),
+        run.path(VAULT, name),
+        unique_key=[] if partition_by else key,
+        partition_by=partition_by,
+        check_target=False,
     )
 
 
@@ -134,9 +142,11 @@ def load_detail_fact(run: Run, name: str) -> None:
     target = run.current(STAR, name)
     source = facts.since_watermark(run.read(VAULT, satellite), target, "load_date", lookback=OVERLAP)
     rows = model(source, run.read(STAR, dimension))
-    if target is not None:
-        overlap = facts.since_watermark(target, target, "load_date", lookback=OVERLAP)
-        rows = sinks.new_rows(rows, overlap, key)
+    if target is None:
+        sinks.overwrite_table(rows, run.path(STAR, name), [partition])
+        return
+    overlap = facts.since_watermark(target, target, "load_date", lookback=OVERLAP)
+    rows = sinks.new_rows(rows, overlap, key)
     sinks.append_rows(run.spark, rows, run.path(STAR, name), partition_by=[partition])
 
 
@@ -145,11 +155,13 @@ def load_aggregate_fact(run: Run, name: str) -> None:
     aggregate, source, period = AGGREGATE_FACTS[name]
     rows, target = run.read(STAR, source), run.current(STAR, name)
     path = run.path(STAR, name)
-    if target is not None:
-        changed = facts.since_watermark(rows, target, "load_date", lookback=OVERLAP)
-        start = F.trunc("date_key", period) if period != "day" else F.col("date_key")
-        dated = rows.withColumn("_period", start)
-        rows = facts.touched_slices(dated, changed.withColumn("_period", start), "_period").drop("_period")
+    if target is None:
+        sinks.overwrite_table(aggregate(rows), path, ["date_key"])
+        return
+    changed = facts.since_watermark(rows, target, "load_date", lookback=OVERLAP)
+    start = F.trunc("date_key", period) if period != "day" else F.col("date_key")
+    dated = rows.withColumn("_period", start)
+    rows = facts.touched_slices(dated, changed.withColumn("_period", start), "_period").drop("_period")
     sinks.replace_partitions(aggregate(rows), path, ["date_key"])
 
 
@@ -170,13 +182,16 @@ def build_marts(run: Run) -> None:
         sinks.overwrite_table(mart, run.path(MARTS, "artist_chart_performance"))
 
 
-def build(spark: SparkSession, root: str, as_of: str, threads: int = 4) -> list[str]:
+def build(
+    spark: SparkSession, root: str, as_of: str, *, full_refresh: bool = False, threads: int = 4
+) -> list[str]:
     """Bring every table up to date with the raw layer, in dependency order; domains without raw data are skipped.
 
     Tables of one step do not depend on each other and are loaded by a few threads, so small ones do not wait for
-    large ones. Returns the names of the tables that were built.
+    large ones. ``full_refresh`` builds every table from the raw layer, as if none were there. Returns the names of the
+    tables that were built.
     """
-    run = Run(spark, root, as_of)
+    run = Run(spark, root, as_of, full_refresh)
     built: list[str] = []
 
     def step(names: Sequence[str], ready: Callable[[str], bool], load: Callable[[Run, str], None]) -> None:
