@@ -54,4 +54,32 @@ f as (
 select page_id, host, path, rule_host || rule_path as rule, coalesce(verdict, 'allow') as verdict from f where n = 1
 """
 
-ORACLE = {"op3_license_scan": _license_sql(), "op8_url_filters": URLS}
+# All pairs; the operator needs none of them.
+TOP_K = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as x from embeddings
+  where embedding is not null and vec_id is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+s as (
+  select q.vec_id as query_id, c.vec_id, list_inner_product(q.x, c.x)::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
+
+COSINES = """
+with recursive v as (
+  select vec_id, embedding::double[] as x from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l as (
+  select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.x, b.x) >= 0.9),
+r(a, b) as (select vec_id, vec_id from embeddings union select r.a, l.b from r join l on r.b = l.a),
+m as (select a as vec_id, min(b) as component_id from r group by a),
+n as (select a as vec_id, count(*) as n_links from l group by a)
+select e.vec_id, coalesce(n.n_links, 0)::bigint as n_links, m.component_id, e.vec_id = m.component_id as kept
+from embeddings e join m using (vec_id) left join n using (vec_id)
+"""
+
+ORACLE = {"op5_exact_top_k": TOP_K, "op6_lattice_near_dedup": COSINES, "op3_license_scan": _license_sql(), "op8_url_filters": URLS}
