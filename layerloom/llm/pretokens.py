@@ -18,7 +18,7 @@ _KNOWN = r"\x00-\x1B\x20-\x7E\xA0-\xB1\xB4-\xB8\xBA\xBB\xBF-ɏ‐-―‘-„…"
 _UNKNOWN = re.compile(f"[^{_KNOWN}]")
 
 SPECIAL = "<|endoftext|>"
-MEMORY = 800_000
+MEMORY = 300_000
 
 
 @cache
