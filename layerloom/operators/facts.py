@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from layerloom.functions import calendar as cal
 from layerloom.functions.values import stable_round
+from layerloom.operators.matching import null_safe_join
 from layerloom.operators.sinks import only_values
 
 
@@ -76,11 +77,18 @@ def aggregate_fact(rows: DataFrame, grain: Sequence[str], measures: Mapping[str,
     )
 
 
+def newest(sk: str) -> Column:
+    """The surrogate key of the newest reading. It is an attribute: an entity that changes gets another one, and must not fall apart
+    into two rows on that day."""
+    return F.max_by(sk, F.struct("load_date", sk))
+
+
 def weather_daily(hourly: DataFrame) -> DataFrame:
     return aggregate_fact(
         hourly,
-        ["location_sk", "location_hk", "date_id", "date_key"],
+        ["location_hk", "date_id", "date_key"],
         {
+            "location_sk": newest("location_sk"),
             "temperature_min": F.min("temperature_2m"),
             "temperature_max": F.max("temperature_2m"),
             "temperature_avg": F.avg("temperature_2m"),
@@ -98,8 +106,9 @@ def weather_daily(hourly: DataFrame) -> DataFrame:
 def energy_price_daily(hourly: DataFrame) -> DataFrame:
     return aggregate_fact(
         hourly,
-        ["price_zone_sk", "price_zone_hk", "date_id", "date_key"],
+        ["price_zone_hk", "date_id", "date_key"],
         {
+            "price_zone_sk": newest("price_zone_sk"),
             "price_min": F.min("price_eur_mwh"),
             "price_max": F.max("price_eur_mwh"),
             "price_avg": stable_round(F.avg("price_eur_mwh"), 4),
@@ -117,8 +126,9 @@ def energy_price_monthly(daily: DataFrame) -> DataFrame:
     )
     return aggregate_fact(
         month,
-        ["price_zone_sk", "price_zone_hk", "date_id", "date_key"],
+        ["price_zone_hk", "date_id", "date_key"],
         {
+            "price_zone_sk": newest("price_zone_sk"),
             "price_min": F.min("price_min"),
             "price_max": F.max("price_max"),
             "price_avg": stable_round(F.avg("price_avg"), 4),
@@ -132,4 +142,4 @@ def touched_slices(rows: DataFrame, changed: DataFrame, period: str) -> DataFram
     """All rows of the periods in which something changed, to aggregate them again as a whole. ``period`` is a column
     of both; its changed values are filtered on as literals, which prunes a table partitioned by the date it is from."""
     periods = changed.select(period).distinct()
-    return only_values(rows, changed, period).join(periods, period, "left_semi")
+    return null_safe_join(only_values(rows, changed, period), periods, [period], "left_semi")

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from layerloom.functions.keys import dimension_sk
+from layerloom.operators.matching import null_safe_join
 
 # A key with more than this share of all rows is hot. At most 1 / HOT_SHARE keys can be, which bounds the list of hot
 # keys (100,000 hash keys, a few MB). Below MIN_HOT_ROWS rows a key is never worth cutting.
@@ -23,6 +24,8 @@ MIN_HOT_ROWS = 1_000_000
 
 # The hash join of point_in_time_join compares a fact with all versions of its key, so it is for keys with few.
 MAX_COMPARED_VERSIONS = 200
+# Versions that are sent to every task, at most.
+MAX_SENT_VERSIONS = 100_000
 
 CHUNK = "_chunk"
 
@@ -66,12 +69,14 @@ def split_by_heat(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[Dat
     """Rows of ordinary keys, and rows of hot keys if there are any. The broadcast list is bounded, see HotKeys."""
     if hot.frame is None:
         return df, None
-    listed = F.broadcast(hot.frame)
-    return df.join(listed, list(keys), "left_anti"), df.join(listed, list(keys), "left_semi")
+    # NULL is a key like any other here, as it is in a window
+    return tuple(null_safe_join(df, hot.frame, keys, how, few=True) for how in ("left_anti", "left_semi"))
 
 
 def chunked(df: DataFrame, order: str, grain: str) -> DataFrame:
-    return df.withColumn(CHUNK, F.date_trunc(grain, F.col(order)).cast("timestamp_ntz"))
+    """Rows with a NULL order are a chunk of their own before all others, as a window sorts them."""
+    start = F.date_trunc(grain, F.col(order)).cast("timestamp_ntz")
+    return df.withColumn(CHUNK, F.coalesce(start, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
 
 
 def neighbours(
@@ -117,8 +122,9 @@ def _in_chunks(df, keys, order, grain, previous, following, position) -> DataFra
             "_place": F.row_number().over(inside),
         }
     )
-    first = F.min_by(F.struct(order, *_distinct(following.values(), order)), order)
-    last = F.max_by(F.struct(order, *_distinct(previous.values(), order)), order)
+    # in a struct, because min_by and max_by pass over rows whose order is NULL
+    first = F.min_by(F.struct(order, *_distinct(following.values(), order)), F.struct(order))
+    last = F.max_by(F.struct(order, *_distinct(previous.values(), order)), F.struct(order))
     ends = cut.groupBy(*keys, CHUNK).agg(F.count("*").alias("_rows"), first.alias("_first"), last.alias("_last"))
     # One row per chunk: a key has as many rows here as its history has days (or whatever the grain is).
     across = Window.partitionBy(*keys).orderBy(CHUNK)
@@ -131,7 +137,7 @@ def _in_chunks(df, keys, order, grain, previous, following, position) -> DataFra
         F.lag("_last").over(across).alias("_from_before"),
         F.lead("_first").over(across).alias("_from_after"),
     )
-    joined = local.join(ends, [*keys, CHUNK])
+    joined = null_safe_join(local, ends, [*keys, CHUNK], "inner")
     at_start, at_end = F.col("_place") == 1, F.col("_place") == F.col("_rows")
     columns = {
         alias: F.when(at_start, F.col(f"_from_before.{name}")).otherwise(F.col(f"_p_{alias}"))
@@ -159,6 +165,14 @@ def one_per(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str | Column
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def one_per_repeated(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str | Column], same: Sequence[str] | None = None) -> DataFrame:
+    """As one_per, for keys that hardly ever repeat: keys are counted first, on their own, and only the rows of those that repeat are ranked,
+    so the rows as such are neither sorted nor shuffled. ``same``: columns in which copies agree, if these are more than the keys."""
+    repeated = df.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(*keys)
+    several = one_per(null_safe_join(df, repeated, keys, "left_semi"), list(same or keys), newest_by)
+    return null_safe_join(df, repeated, keys, "left_anti").unionByName(several)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], load: str, tiebreak: Sequence[str]) -> DataFrame:
     """The most recently loaded row of each key; equal load times are decided by the tiebreak columns."""
     return one_per(df, keys, [F.desc(load), *[F.desc(name) for name in tiebreak]])
@@ -207,14 +221,17 @@ def with_dimension_sk(df: DataFrame, sk: str, hk: str, valid_from: str = "valid_
     return df.select(dimension_sk(df, [hk, valid_from]).alias(sk), "*")
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """Size of a frame as Spark's planner estimates it; exact for written tables, an upper guess for derived ones."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def clipped(versions: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str, *, hot: HotKeys | None = None) -> DataFrame:
+    """Versions that follow one another: each ends, at the latest, where the next of its key begins. Versions without a key or a beginning are
+    no versions; of those that begin together the one that ends last counts (an open end is the last)."""
+    known = versions.where(F.col(valid_from).isNotNull()).dropna(subset=list(keys))
+    single = one_per(known, [*keys, valid_from], [F.col(valid_to).desc_nulls_first(), *_others(known, keys, valid_from, valid_to)])
+    cut = neighbours(single, keys, valid_from, following={"_next_from": valid_from}, hot=hot)
+    return cut.withColumn(valid_to, F.least(valid_to, "_next_from")).drop("_next_from")
 
 
-def broadcast_limit(df: DataFrame) -> int:
-    """spark.sql.autoBroadcastJoinThreshold in bytes; -1 turns broadcasting off."""
-    return df._jdf.sparkSession().sessionState().conf().autoBroadcastJoinThreshold()
+def _others(df: DataFrame, keys: Sequence[str], *but: str) -> list[str]:
+    return [name for name in df.columns if name not in (*keys, *but)]
 
 
 def point_in_time_join(
@@ -228,24 +245,23 @@ def point_in_time_join(
     valid_to: str = "valid_to",
     hot: HotKeys | None = None,
 ) -> DataFrame:
-    """Each fact with the attributes of the version that was valid at its time; facts without one are dropped.
+    """Each fact with the attributes of the version that was valid at its time, the last one begun if several were; facts without one, or without a key
+    or a time, are dropped.
 
-    Two plans for one meaning. Versions below the broadcast threshold, few per key: a hash join on the key with the
+    Two plans over the same clipped versions, so a fact meets one version in either. Few versions, and few per key: a hash join on the key with the
     interval as a residual condition, the facts are not shuffled. Otherwise facts and versions are lined up per key in
     time order and the last version before each fact is carried forward, which compares no pairs and cuts hot keys
     into chunks.
     """
-    if planned_bytes(versions) <= broadcast_limit(versions) and _few_per_key(versions, keys):
-        return interval_join(
-            facts, versions, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to
-        )
-    return carry_forward_join(
-        facts, versions, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to, hot=hot
-    )
+    wanted = versions.select(*dict.fromkeys([*keys, *attributes, valid_from, valid_to]))
+    join = interval_join if _few(wanted, keys) else carry_forward_join
+    return join(facts, wanted, keys, at, attributes=attributes, valid_from=valid_from, valid_to=valid_to, hot=hot)
 
 
-def _few_per_key(versions: DataFrame, keys: Sequence[str]) -> bool:
-    """Only asked of tables small enough to broadcast."""
+def _few(versions: DataFrame, keys: Sequence[str]) -> bool:
+    """Whether the versions can be sent to every task and a key's versions be compared one by one; counted, not estimated."""
+    if versions.limit(MAX_SENT_VERSIONS + 1).count() > MAX_SENT_VERSIONS:
+        return False
     counts = versions.groupBy(*keys).agg(F.count("*").alias("n"))
     return counts.where(F.col("n") > MAX_COMPARED_VERSIONS).isEmpty()
 
@@ -259,9 +275,10 @@ def interval_join(
     attributes: Sequence[str],
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
+    hot: HotKeys | None = None,
 ) -> DataFrame:
-    """The small-versions plan of point_in_time_join."""
-    side = versions.select(
+    """The few-versions plan of point_in_time_join."""
+    side = clipped(versions, keys, valid_from, valid_to, hot=hot).select(
         *[F.col(key).alias(f"_v_{key}") for key in keys],
         *attributes,
         F.col(valid_from).alias("_v_from"),
@@ -270,7 +287,7 @@ def interval_join(
     condition = (F.col(at) >= F.col("_v_from")) & (F.col("_v_to").isNull() | (F.col(at) < F.col("_v_to")))
     for key in keys:
         condition &= F.col(key) == F.col(f"_v_{key}")
-    return facts.join(side, condition).select(*facts.columns, *attributes)
+    return facts.join(F.broadcast(side), condition).select(*facts.columns, *attributes)
 
 
 def carry_forward_join(
@@ -286,7 +303,11 @@ def carry_forward_join(
 ) -> DataFrame:
     """The large-versions plan of point_in_time_join: linear in facts plus versions."""
     keys = list(keys)
-    hot = find_hot_keys(facts, keys) if hot is None else hot
+    # a key is hot by its facts and versions together
+    every = facts.select(*keys).unionByName(versions.select(*keys))
+    hot = find_hot_keys(every, keys) if hot is None else hot
+    facts = facts.where(F.col(at).isNotNull()).dropna(subset=keys)
+    versions = clipped(versions, keys, valid_from, valid_to, hot=hot)
     version = F.struct(*attributes, F.col(valid_to).alias("_v_to"))
     lined_up = facts.select(
         *keys, F.col(at).alias("_at"), F.struct(*facts.columns).alias("_fact"), F.lit(None).alias("_version")
@@ -316,12 +337,12 @@ def _up_to_here(keys: Sequence[str]):
 def _carried_in_chunks(lined_up: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
     cut = chunked(lined_up, "_at", grain)
     here = F.last("_version", ignorenulls=True).over(_up_to_here([*keys, CHUNK]))
-    local = cut.where(F.col(CHUNK).isNotNull()).withColumn("_here", here)
+    local = cut.withColumn("_here", here)
     versioned = F.when(F.col("_version").isNotNull(), F.col("_at"))
     ends = cut.groupBy(*keys, CHUNK).agg(F.max_by("_version", versioned).alias("_last"))
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select(*keys, CHUNK, F.last("_last", ignorenulls=True).over(earlier).alias("_carried"))
-    return local.join(ends, [*keys, CHUNK]).select(
+    return null_safe_join(local, ends, [*keys, CHUNK], "inner").select(
         *keys, "_at", "_fact", F.coalesce("_here", "_carried").alias("_version")
     )
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from layerloom.functions import calendar as cal
 from layerloom.functions.values import stable_round
+from layerloom.operators.matching import null_safe_join
 
 DAILY, WEEKLY, MONTHLY = "daily", "weekly", "monthly"
 
@@ -37,7 +38,7 @@ class TrendMart:
     weeks by their ISO year; False keeps the calendar year, which splits the week at the turn of the year.
     """
 
-    entity_sk: str
+    entity_hk: str
     entity_name: str
     date: str
     measures: Mapping[str, Measure]
@@ -70,11 +71,11 @@ def trend_mart(
 
     One pass over the fact and one shuffle: each row goes into its week, its month and, if recent, its day. The fact
     holds one row per entity and day, so a day's aggregate is that row. The entity's display name joins the
-    aggregated rows, not the fact.
+    aggregated rows, not the fact, by the hub key: it stays when the entity gets a new surrogate key.
     """
     # The calendar has a fixed size (a row per day of a few years), so broadcasting it is bounded.
     days = F.broadcast(calendar.select("date_id", "year", "iso_year", "month", "month_name", "week"))
-    sk, date = config.entity_sk, config.date
+    hk, date = config.entity_hk, config.date
     today = F.lit(as_of).cast("date")
     recent = F.col(date).between(F.date_sub(today, config.recent_days), today)
     periods = F.array(
@@ -83,7 +84,7 @@ def trend_mart(
         _period(MONTHLY, "year", "month", None, None),
     )
     rows = fact.join(days, "date_id").select(
-        sk,
+        hk,
         date,
         "month_name",
         *dict.fromkeys(measure.source for measure in config.measures.values()),
@@ -91,7 +92,7 @@ def trend_mart(
     )
     grouped = (
         rows.where(F.col("period").isNotNull())
-        .groupBy(sk, "period.granularity", "period.year", "period.month", "period.week", "period.day")
+        .groupBy(hk, "period.granularity", "period.year", "period.month", "period.week", "period.day")
         .agg(
             F.min(date).alias("_first_day"),
             F.min("month_name").alias("_month_name"),
@@ -110,13 +111,13 @@ def trend_mart(
         .otherwise(month_text)
     )
     shown = [measure.shown(F.col(name), is_day).alias(name) for name, measure in config.measures.items()]
-    return grouped.join(entity.select(sk, config.entity_name), sk).select(
+    return grouped.join(entity.select(hk, config.entity_name), hk).select(
         config.entity_name, "granularity", label.alias("period_label"), "year", "month", "week", *shown
     )
 
 
 WEATHER_TRENDS = TrendMart(
-    entity_sk="location_sk",
+    entity_hk="location_hk",
     entity_name="location_key",
     date="date_key",
     labels="name",
@@ -130,7 +131,7 @@ WEATHER_TRENDS = TrendMart(
 )
 
 ENERGY_PRICE_TRENDS = TrendMart(
-    entity_sk="price_zone_sk",
+    entity_hk="price_zone_hk",
     entity_name="bidding_zone",
     date="date_key",
     labels="number",
@@ -167,8 +168,8 @@ def performance_mart(fact: DataFrame, calendar: DataFrame, config: PerformanceMa
     """Entries, best position, total amount and distinct counts per entity, by week and by month.
 
     The entries are first reduced to one row per entity, week, month and combination of the counted columns. That
-    shuffle is spread over the combinations, so an entity with a third of all entries does not meet in one task. Each
-    reduced row then goes into its week and its month; both grains come out of one aggregation.
+    shuffle is spread over the combinations, so an entity with a third of all entries does not meet in one task. Per grain
+    and counted column the reduced rows (one exchange, used again) are grouped once more and the groups counted, so no row is multiplied.
     """
     days = F.broadcast(calendar.select("date_id", "year", "iso_year", "month", "week"))
     kept = fact
@@ -186,19 +187,23 @@ def performance_mart(fact: DataFrame, calendar: DataFrame, config: PerformanceMa
             F.sum(config.amount).alias("total_streams"),
         )
     )
-    periods = F.array(
-        _period(WEEKLY, week_year, None, "week", None), _period(MONTHLY, "year", "month", None, None)
-    )
-    grouped = (
-        reduced.withColumn("period", F.explode(periods))
-        .groupBy(entity, "period.granularity", "period.year", "period.month", "period.week")
-        .agg(
+    weekly = reduced.withColumn("period", _period(WEEKLY, week_year, None, "week", None))
+    monthly = reduced.withColumn("period", _period(MONTHLY, "year", "month", None, None))
+
+    def at_grain(rows: DataFrame) -> DataFrame:
+        rows = rows.select(entity, "period.*", *counted, "chart_entries", "best_position", "total_streams")
+        grain = [entity, "granularity", "year", "month", "week"]
+        result = rows.groupBy(*grain).agg(
             F.sum("chart_entries").alias("chart_entries"),
             F.min("best_position").alias("best_position"),
             F.sum("total_streams").alias("total_streams"),
-            *[F.count_distinct(F.col(column)).alias(name) for name, column in config.distinct.items()],
         )
-    )
+        for name, column in config.distinct.items():
+            groups = rows.groupBy(*grain, column).agg(F.lit(1).alias("_one")).groupBy(*grain).agg(F.count(column).alias(name))
+            result = null_safe_join(result, groups, grain, "inner")
+        return result
+
+    grouped = at_grain(weekly).unionByName(at_grain(monthly))
     year, is_week = F.col("year"), F.col("granularity") == WEEKLY
     label = F.when(is_week, cal.week_label(year, F.col("week"))).otherwise(cal.month_label(year, F.col("month")))
     return grouped.select(

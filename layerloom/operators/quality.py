@@ -66,12 +66,10 @@ def deviating_rows(df: DataFrame, left: str, right: str, limit: float, keep: Seq
 
 
 def slices_that_grew(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Slices whose row count a repeated load changed; none, if loading is idempotent."""
-
-    def counted(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.count("*").alias(name))
-
-    both = counted(before, "rows_before").join(counted(after, "rows_after"), list(keys), "full")
+    """Slices whose row count a repeated load changed; none, if loading is idempotent. NULL is a slice like any other."""
+    both = before.select(*keys, F.lit(True).alias("_old")).unionByName(after.select(*keys, F.lit(False).alias("_old")))
+    old, new = F.count_if("_old"), F.count_if(~F.col("_old"))
+    both = both.groupBy(*keys).agg(F.when(old > 0, old).alias("rows_before"), F.when(new > 0, new).alias("rows_after"))
     return both.where(~F.col("rows_before").eqNullSafe(F.col("rows_after")))
 
 
@@ -112,11 +110,12 @@ class RowRule:
 
 @dataclass(frozen=True)
 class GroupRule:
-    """A rule whose failures are the rows of a frame built from the table."""
+    """A rule whose failures are the rows of a frame built from the table, or the sum of one of its columns."""
 
     name: str
     column: str
     failures: DataFrame
+    counted: str | None = None
 
 
 def not_null(column: str) -> RowRule:
@@ -141,7 +140,8 @@ def unique(df: DataFrame, column: str) -> GroupRule:
 
 
 def relationship(child: DataFrame, fk: str, parent: DataFrame, key: str | None = None) -> GroupRule:
-    return GroupRule("relationships", fk, orphan_keys(child, fk, parent, key or fk))
+    """Failures are child rows without a parent, however few keys they share."""
+    return GroupRule("relationships", fk, orphan_keys(child, fk, parent, key or fk), "n_records")
 
 
 def complete(df: DataFrame, keys: Sequence[str], allowed: Sequence[int]) -> GroupRule:
@@ -189,8 +189,9 @@ def report(tables: Mapping[str, tuple[DataFrame, Sequence[RowRule | GroupRule]]]
             parts.append(counts.select(F.explode("counted").alias("c")).select("c.*", F.lit(name).alias("table_name")))
         for rule in rules:
             if isinstance(rule, GroupRule):
+                total = F.count("*") if rule.counted is None else F.coalesce(F.sum(rule.counted), F.lit(0))
                 parts.append(
-                    rule.failures.agg(F.count("*").alias("failures")).select(
+                    rule.failures.agg(total.alias("failures")).select(
                         F.lit(rule.name).alias("rule"),
                         F.lit(rule.column).alias("column_name"),
                         "failures",

@@ -95,6 +95,8 @@ def joined(star: Star, items: Sequence[Item]) -> DataFrame:
     for item in items:
         columns.setdefault(item.table, set()).add(item.column)
     for relation in path:
+        if not any(operator == "equalTo" for *_, operator in relation.links):
+            raise ValueError(f"{relation.left} and {relation.right} need a link with equalTo; without one every row meets every row")
         for left, right, _ in relation.links:
             columns.setdefault(relation.left, set()).add(left)
             columns.setdefault(relation.right, set()).add(right)
@@ -194,6 +196,9 @@ def cardinality_breaches(star: Star) -> DataFrame:
                     "n_records",
                 )
             )
+    if not parts:  # no side is declared as one
+        spark = next(iter(star.tables.values())).sparkSession
+        return spark.createDataFrame([], "relationship string, table_name string, key string, n_records long")
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from layerloom.operators.matching import null_safe_join
 from layerloom.session import scratch_path
 from layerloom.sources.tables import table_exists
 
@@ -77,11 +78,14 @@ def only_between(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
 
 
 def only_values(target: DataFrame, batch: DataFrame, column: str, limit: int = 1000) -> DataFrame:
-    """The part of a target that holds the batch's values of a column; beyond ``limit`` values, their range."""
-    found = batch.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
+    """The part of a target that holds the batch's values of a column, NULL among them; beyond ``limit`` values, their range."""
+    found = [row[0] for row in batch.select(column).distinct().limit(limit + 1).collect()]
+    values = [value for value in found if value is not None]
     if len(found) > limit:
-        return only_between(target, batch, column)
-    return target.where(F.col(column).isin(*[row[0] for row in found])) if found else target.limit(0)
+        low, high = batch.agg(F.min(column), F.max(column)).first()
+        return target.where(F.col(column).between(F.lit(low), F.lit(high)) | F.col(column).isNull())
+    wanted = F.col(column).isin(*values) if values else F.lit(False)
+    return target.where(wanted | F.col(column).isNull() if None in found else wanted) if found else target.limit(0)
 
 
 def replace_slices(
@@ -96,7 +100,8 @@ def replace_slices(
       large table a partition column that the slice determines (see with_file_key).
 
     In the last two cases the result goes to a shared staging folder first, from which the target is overwritten: a
-    table is never read and replaced in one plan.
+    table is never read and replaced in one plan. A NULL is a slice key like any other: rows without an entity or a
+    day replace rows without one.
     """
     by_slice = bool(partition_by) and set(partition_by) <= set(slice_keys)
     if not table_exists(spark, path):
@@ -112,14 +117,22 @@ def replace_slices(
     new = spark.read.schema(df.schema).parquet(staged + "/new")
     if by_slice:
         touched = new.select(*partition_by).distinct()
-        target = only_values(target, new, partition_by[0]).join(touched, list(partition_by), "left_semi")
-    kept = target.join(new.select(*slice_keys).distinct(), list(slice_keys), "left_anti")
+        target = null_safe_join(only_values(target, new, partition_by[0]), touched, partition_by, "left_semi")
+    kept = null_safe_join(target, new.select(*slice_keys).distinct(), slice_keys, "left_anti")
     kept.unionByName(new).write.parquet(staged + "/merged")
     merged = spark.read.schema(df.schema).parquet(staged + "/merged")
     if by_slice:
         replace_partitions(merged, path, partition_by)
     else:
         overwrite_table(merged, path, partition_by)
+    release(spark, staged + "/new", staged + "/merged")
+
+
+def release(spark: SparkSession, *paths: str) -> None:
+    """Free the space of staged copies whose rows have reached their table: each is replaced by an empty table."""
+    for path in paths:
+        schema = spark.read.parquet(path).schema
+        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def with_file_key(df: DataFrame) -> DataFrame:
@@ -174,7 +187,7 @@ def append_rows(
     The rows are staged in the shared folder first, so the check and the append see the same rows and the plan that
     made them runs once. Turn ``check_target`` off when the rows were just anti-joined with the target on that key.
     """
-    exists = table_exists(spark, path)
+    exists, staged = table_exists(spark, path), None
     if exists:
         check_schema(df, spark.read.parquet(path))
     if unique_key:
@@ -191,6 +204,8 @@ def append_rows(
         if exists and df.isEmpty():
             return
     _writer(df, partition_by).mode("append").parquet(path)
+    if staged:
+        release(spark, staged)
 
 
 def write_query_document(

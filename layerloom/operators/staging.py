@@ -47,7 +47,8 @@ WEATHER_KEYS = {
     "weather_hashdiff": ["location_key", "timestamp"],
 }
 PRICE_KEYS = {"price_zone_hk": ["bidding_zone"], "price_hashdiff": ["bidding_zone", "timestamp"]}
-CHART_KEYS = {"chart_hashdiff": ["track_name", "artist_name", "chart_date", "region"], "country_hk": ["region"]}
+NARROW_CHART_KEY = ["track_name", "artist_name", "chart_date", "region"]
+WIDE_CHART_KEY = [*NARROW_CHART_KEY, "chart_type", "position"]
 PROFILE_KEYS = {
     "artist_hk": ["artist_id"],
     "artist_profile_hashdiff": ["artist_id", "artist_name", "genres", "popularity", "followers"],
@@ -66,11 +67,12 @@ AUDIO_COLUMNS = [*AUDIO_INPUTS, "time_signature"]
 INTEGER_AUDIO = ("musical_key", "musical_mode", "time_signature")
 
 
-def weather(raw: DataFrame) -> DataFrame:
+def weather(raw: DataFrame, *, correctable: bool = False) -> DataFrame:
+    """``correctable``: the hashdiff covers the measures, so a corrected reading is a new row of the satellite."""
     doubles = ["latitude", "longitude", *[name for name in WEATHER_MEASURES if name != "weathercode"]]
     return stage(
         raw,
-        keys=WEATHER_KEYS,
+        keys={**WEATHER_KEYS, "weather_hashdiff": [*WEATHER_KEYS["weather_hashdiff"], *(WEATHER_MEASURES if correctable else [])]},
         columns=["timestamp", "date_key", "hour", "location_key", "latitude", "longitude", *WEATHER_MEASURES],
         casts={**{name: "double" for name in doubles}, "weathercode": "int"},
         renames={"timestamp": "measured_at"},
@@ -79,10 +81,11 @@ def weather(raw: DataFrame) -> DataFrame:
     )
 
 
-def energy_price(raw: DataFrame) -> DataFrame:
+def energy_price(raw: DataFrame, *, correctable: bool = False) -> DataFrame:
+    """``correctable``: as in weather."""
     return stage(
         raw,
-        keys=PRICE_KEYS,
+        keys={**PRICE_KEYS, "price_hashdiff": [*PRICE_KEYS["price_hashdiff"], *(["price_eur_mwh"] if correctable else [])]},
         columns=["timestamp", "date_key", "hour", "bidding_zone", "price_eur_mwh"],
         casts={"price_eur_mwh": "double"},
         renames={"timestamp": "measured_at"},
@@ -118,10 +121,12 @@ def track(raw: DataFrame, *, full_hashdiff: bool = True) -> DataFrame:
     )
 
 
-def chart(raw: DataFrame) -> DataFrame:
+def chart(raw: DataFrame, *, wide_key: bool = True) -> DataFrame:
+    """``wide_key``: one track may stand in several charts of a day, or several times in one, and each is an entry of its own.
+    False leaves chart type and position out of the key, as existing keys may have been built."""
     return stage(
         raw,
-        keys=CHART_KEYS,
+        keys={"chart_hashdiff": WIDE_CHART_KEY if wide_key else NARROW_CHART_KEY, "country_hk": ["region"]},
         columns=[
             "chart_date", "position", "track_name", "artist_name", "streams", "region", "chart_type", "trend", "url",
         ],

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from layerloom.functions.keys import with_keys
-from layerloom.operators.history import HotKeys, changes_only, find_hot_keys, one_per
+from layerloom.operators.history import HotKeys, changes_only, find_hot_keys, one_per_repeated
 from layerloom.operators.sinks import new_rows
 
 LOADED = "_loaded_at"
@@ -105,17 +105,21 @@ def _satellite_rows(staging: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def load_event_satellite(
-    staging: DataFrame, columns: Sequence[str], hashdiff: str, target: DataFrame | None = None
+    staging: DataFrame, columns: Sequence[str], hashdiff: str, target: DataFrame | None = None, *, whole_rows: bool = False
 ) -> DataFrame:
-    """Readings or entries, one row per hashdiff: of copies inside the batch the first loaded one is kept (ties by
-    source file), and rows the target holds are left out."""
-    rows = _satellite_rows(staging, columns)
-    single = one_per(rows, [hashdiff], ["load_date", "_source_file", *_tiebreak(rows, hashdiff)])
-    return _not_loaded(single, target, [hashdiff])
+    """Readings or entries; rows whose hashdiff the target holds are left out.
 
+    Of copies inside the batch the first loaded one is kept (ties by source file, then by the columns). Copies are rows of one hashdiff;
+    with ``whole_rows`` only rows equal in every column are, and entries that differ in any of them all stay.
 
-def _tiebreak(rows: DataFrame, hashdiff: str) -> list[str]:
-    return [name for name in rows.columns if name not in (hashdiff, "load_date", "_source_file")]
+    Hardly any row is a copy, so the rows are not sorted to find them: hashdiffs are counted first, on their own, and
+    only the rows of those that repeat are ranked.
+    """
+    rows = _satellite_rows(staging, columns)
+    same = [*columns, "record_source"] if whole_rows else [hashdiff]
+    rest = [name for name in rows.columns if name not in (*same, "load_date", "_source_file")]
+    kept = one_per_repeated(rows, [hashdiff], ["load_date", "_source_file", *rest], same)
+    return _not_loaded(kept, target, [hashdiff])
 
 
 def load_version_satellite(
@@ -134,7 +138,8 @@ def load_version_satellite(
     rows are in the target already and are left out.
     """
     batch = _satellite_rows(staging, columns)
-    hot = find_hot_keys(batch, [hk]) if hot is None else hot
+    if hot is None:  # a key is hot by its history, of which a batch shows little
+        hot = find_hot_keys(batch.select(hk) if target is None else batch.select(hk).unionByName(target.select(hk)), [hk])
     if target is None:
         return changes_only(batch, [hk], "load_date", hashdiff, hot=hot)
     known = target.select(hk, "load_date").distinct()

@@ -108,7 +108,7 @@ def s_energy_price_hourly(stg: DataFrame, target: DataFrame | None = None) -> Da
 
 
 def s_chart_entry(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
-    return vault.load_event_satellite(stg, CHART_COLUMNS, "chart_hashdiff", target)
+    return vault.load_event_satellite(stg, CHART_COLUMNS, "chart_hashdiff", target, whole_rows=True)
 
 
 # --- dimensions -------------------------------------------------------------------------------------------------------

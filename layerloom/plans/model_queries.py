@@ -521,7 +521,7 @@ def order_value_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     segments = customer.select("segment_sk", F.lower("segment_sk").alias("segment")).distinct()
     config = marts.TrendMart(
-        entity_sk="segment_sk",
+        entity_hk="segment_sk",
         entity_name="segment",
         date="date_key",
         measures={

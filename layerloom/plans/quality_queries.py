@@ -174,7 +174,7 @@ def _report_line(rule: str, table: str, column: str, failures: str) -> str:
             _report_line("unique", "orders", "o_orderkey", "select count(*) - count(distinct o_orderkey) from orders"),
             _report_line(
                 "relationships", "orders", "o_custkey",
-                "select count(distinct o_custkey) from orders "
+                "select count(*) from orders "
                 "where o_custkey not in (select c_custkey from customer where c_acctbal > 0)",
             ),
             _report_line("row_count_between", "orders", "*", "select cast(count(*) < 1 as integer) from orders"),

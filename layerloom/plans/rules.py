@@ -35,8 +35,8 @@ PARTS_OF_DAY = ["Nacht", "Morgen", "Tag", "Abend"]
 def _rules() -> dict[str, TableRules]:
     dates = {"date_id": "business_vault.dim_date"}
     times = {**dates, "time_id": "business_vault.dim_time"}
-    location = {"location_sk": "business_vault.dim_location"}
-    zone = {"price_zone_sk": "business_vault.dim_price_zone"}
+    location = {"location_hk": "business_vault.dim_location"}
+    zone = {"price_zone_hk": "business_vault.dim_price_zone"}
     near = F.abs(F.col("apparent_temperature") - F.col("temperature_2m")) <= q.MAX_APPARENT_DEVIATION
     price_summary = TableRules(
         not_null="price_zone_sk price_zone_hk date_id date_key load_date", parents={**zone, **dates}
@@ -132,7 +132,7 @@ def _rules() -> dict[str, TableRules]:
         "business_vault.fact_chart_entry": TableRules(
             not_null="chart_hashdiff country_sk date_id",
             unique="chart_hashdiff",
-            parents={"country_sk": "business_vault.dim_country", **dates},
+            parents={"country_hk": "business_vault.dim_country", **dates},
         ),
         "marts.artist_chart_performance": TableRules(
             not_null="granularity period_label year", accepted={"granularity": GRAINS}

@@ -1,7 +1,9 @@
 """The whole warehouse as an ordered list of models, each written to ``{root}/{layer}/{table}``.
 
-Staging is never stored. Hubs, links and satellites are appended to. Dimensions and marts are rebuilt. Facts are
-loaded in slices: the days that got new rows are replaced, so late rows and repeated runs end in the same table.
+Staging is never stored. Hubs, links and satellites are appended to, from the raw partitions that changed since they last read them. Dimensions
+and marts are rebuilt. Facts are loaded in slices: the days of which the satellite changed are written anew from it, the newest reading of each
+key, so late rows, corrections and repeated runs end in the same table as a build from scratch (a moved location's surrogate key aside: days that did not
+change keep the one they were loaded with; nothing is grouped or joined by it).
 """
 
 from __future__ import annotations
@@ -14,7 +16,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerloom.operators import facts, sinks, staging
 from layerloom.operators.calendar import dim_date, dim_time
+from layerloom.operators.deltas import Delta
+from layerloom.operators.history import one_per_repeated
 from layerloom.plans import domains
+from layerloom.sources.schemas import RAW_PARTITIONS
 from layerloom.sources.tables import read_table, table_exists, table_path
 
 VAULT, STAR, MARTS = "data_vault", "business_vault", "marts"
@@ -28,6 +33,7 @@ class Run:
     root: str
     as_of: str
     full_refresh: bool = False
+    correctable: bool = False
 
     def path(self, layer: str, name: str) -> str:
         return table_path(self.root, layer, name)
@@ -42,9 +48,17 @@ class Run:
         """The table to add to, if there is one."""
         return None if self.full_refresh or not self.has(layer, name) else self.read(layer, name)
 
-    def stage(self, name: str) -> DataFrame:
-        raw, stage = STAGING[name]
-        return stage(self.read("raw", raw))
+    def delta(self, reader: str, layer: str, name: str, partition: str | None, load: str) -> Delta:
+        """What changed in a table since ``reader`` last read it."""
+        book = f"{self.root}/_read/{reader}/{name}"
+        return Delta(self.spark, self.read(layer, name), partition, load, book, everything=self.current(*self.place(reader)) is None)
+
+    def place(self, name: str) -> tuple[str, str]:
+        return (VAULT if name in VAULT_MODELS else STAR), name
+
+    def stage(self, name: str, rows: DataFrame) -> DataFrame:
+        _, stage = STAGING[name]
+        return stage(rows, correctable=True) if self.correctable and name in CORRECTABLE else stage(rows)
 
 
 STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
@@ -55,6 +69,9 @@ STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
     "artist_snapshot": ("spotify_artist_snapshots", staging.artist_snapshot),
 }
 
+# Readings whose corrections can be let through to the facts.
+CORRECTABLE = ("weather", "energy_price")
+
 # name -> (model, staging inputs, unique key of the appended rows, partition columns, column that bounds the target)
 VAULT_MODELS: dict[str, tuple[Callable[..., DataFrame], list[str], list[str], list[str], str | None]] = {
     "h_location": (domains.h_location, ["weather"], ["location_hk"], [], None),
@@ -71,7 +88,7 @@ VAULT_MODELS: dict[str, tuple[Callable[..., DataFrame], list[str], list[str], li
     "s_energy_price_hourly": (
         domains.s_energy_price_hourly, ["energy_price"], ["price_hashdiff"], ["date_key"], "measured_at",
     ),
-    "s_chart_entry": (domains.s_chart_entry, ["chart"], ["chart_hashdiff"], ["chart_date"], "chart_date"),
+    "s_chart_entry": (domains.s_chart_entry, ["chart"], [], ["chart_date"], "chart_date"),
 }
 
 # name -> (model, input tables of the vault)
@@ -83,7 +100,7 @@ DIMENSIONS: dict[str, tuple[Callable[..., DataFrame], list[str]]] = {
     "dim_artist": (domains.dim_artist, ["h_artist", "s_artist_profile"]),
 }
 
-# name -> (model, satellite, dimension, unique key, partition column)
+# name -> (model, satellite, dimension, key of which the newest row counts (none: every row does), partition column)
 DETAIL_FACTS: dict[str, tuple[Callable[..., DataFrame], str, str, list[str], str]] = {
     "fact_weather_hourly": (
         domains.fact_weather_hourly, "s_weather_hourly", "dim_location", ["location_hk", "measured_at"], "date_key",
@@ -93,41 +110,42 @@ DETAIL_FACTS: dict[str, tuple[Callable[..., DataFrame], str, str, list[str], str
         ["price_zone_hk", "measured_at"], "date_key",
     ),
     "fact_chart_entry": (
-        domains.fact_chart_entry, "s_chart_entry", "dim_country", ["chart_hashdiff"], "chart_date",
+        domains.fact_chart_entry, "s_chart_entry", "dim_country", [], "chart_date",
     ),
 }
 
-# How far below the newest load time a fact load looks again. Several loads can carry one load time, so a strict
-# "newer than" would lose rows; the overlap is taken out again by key.
-OVERLAP = "1 day"
-
-# name -> (aggregate, source fact, period of a slice)
-AGGREGATE_FACTS: dict[str, tuple[Callable[[DataFrame], DataFrame], str, str]] = {
-    "fact_weather_daily": (facts.weather_daily, "fact_weather_hourly", "day"),
-    "fact_energy_price_daily": (facts.energy_price_daily, "fact_energy_price_hourly", "day"),
-    "fact_energy_price_monthly": (facts.energy_price_monthly, "fact_energy_price_daily", "month"),
+# name -> (aggregate, source fact, detail fact whose changes count, period of a slice)
+AGGREGATE_FACTS: dict[str, tuple[Callable[[DataFrame], DataFrame], str, str, str]] = {
+    "fact_weather_daily": (facts.weather_daily, "fact_weather_hourly", "fact_weather_hourly", "day"),
+    "fact_energy_price_daily": (facts.energy_price_daily, "fact_energy_price_hourly", "fact_energy_price_hourly", "day"),
+    "fact_energy_price_monthly": (facts.energy_price_monthly, "fact_energy_price_daily", "fact_energy_price_hourly", "month"),
 }
 
 
 def load_vault_table(run: Run, name: str) -> None:
     """Append what is new. The columns that bound the target are part of the hashed key, so pruning is exact."""
     model, inputs, key, partition_by, bounded_by = VAULT_MODELS[name]
-    stages = [run.stage(source) for source in inputs]
+    raws = [STAGING[source][0] for source in inputs]
+    deltas = [run.delta(name, "raw", raw, (RAW_PARTITIONS[raw] or [None])[0], "_loaded_at") for raw in raws]
     target = run.current(VAULT, name)
+    if target is not None and all(delta.empty for delta in deltas):
+        return
+    stages = [run.stage(source, delta.rows()) for source, delta in zip(inputs, deltas)]
     if target is None:
         sinks.overwrite_table(model(*stages), run.path(VAULT, name), partition_by)
-        return
-    if bounded_by is not None:
-        target = sinks.only_between(target, stages[0], bounded_by)
-    # Rows of the partitioned (large) tables are unique by construction and not staged for another check.
-    sinks.append_rows(
-        run.spark,
-        model(*stages, target=target),
-        run.path(VAULT, name),
-        unique_key=[] if partition_by else key,
-        partition_by=partition_by,
-        check_target=False,
-    )
+    else:
+        if bounded_by is not None:
+            target = sinks.only_between(target, stages[0], bounded_by)
+        sinks.append_rows(
+            run.spark,
+            model(*stages, target=target),
+            run.path(VAULT, name),
+            unique_key=key,
+            partition_by=partition_by,
+            check_target=False,  # just anti-joined with it
+        )
+    for delta in deltas:
+        delta.remember()
 
 
 def build_dimension(run: Run, name: str) -> None:
@@ -136,33 +154,41 @@ def build_dimension(run: Run, name: str) -> None:
 
 
 def load_detail_fact(run: Run, name: str) -> None:
-    """Satellite rows from the watermark on, less those the target holds, are appended. A satellite row meets one
-    dimension row, so they are unique."""
+    """The days of which the satellite changed, written anew: the newest row of each key, with the key of the dimension."""
     model, satellite, dimension, key, partition = DETAIL_FACTS[name]
-    target = run.current(STAR, name)
-    source = facts.since_watermark(run.read(VAULT, satellite), target, "load_date", lookback=OVERLAP)
-    rows = model(source, run.read(STAR, dimension))
-    if target is None:
-        sinks.overwrite_table(rows, run.path(STAR, name), [partition])
+    changed = run.delta(name, VAULT, satellite, partition, "load_date")
+    if changed.empty and not changed.first:
         return
-    overlap = facts.since_watermark(target, target, "load_date", lookback=OVERLAP)
-    rows = sinks.new_rows(rows, overlap, key)
-    sinks.append_rows(run.spark, rows, run.path(STAR, name), partition_by=[partition])
+    rows = changed.rows()
+    if key:
+        rest = [column for column in rows.columns if column not in (*key, "load_date")]
+        rows = one_per_repeated(rows, key, [F.desc("load_date"), *rest])
+    rows = model(rows, run.read(STAR, dimension))
+    if changed.first:
+        sinks.overwrite_table(rows, run.path(STAR, name), [partition])
+    else:
+        sinks.replace_partitions(rows, run.path(STAR, name), [partition])
+    changed.remember()
 
 
 def load_aggregate_fact(run: Run, name: str) -> None:
-    """Periods with rows loaded since the target was are aggregated again as a whole and replaced, late ones included."""
-    aggregate, source, period = AGGREGATE_FACTS[name]
-    rows, target = run.read(STAR, source), run.current(STAR, name)
-    path = run.path(STAR, name)
-    if target is None:
-        sinks.overwrite_table(aggregate(rows), path, ["date_key"])
+    """The periods in which the detail fact changed are aggregated again as a whole and replaced."""
+    aggregate, source, detail, period = AGGREGATE_FACTS[name]
+    changed = run.delta(name, STAR, detail, "date_key", "load_date")
+    if changed.empty and not changed.first:
         return
-    changed = facts.since_watermark(rows, target, "load_date", lookback=OVERLAP)
-    start = F.trunc("date_key", period) if period != "day" else F.col("date_key")
-    dated = rows.withColumn("_period", start)
-    rows = facts.touched_slices(dated, changed.withColumn("_period", start), "_period").drop("_period")
-    sinks.replace_partitions(aggregate(rows), path, ["date_key"])
+    rows = run.read(STAR, source)
+    if changed.first:
+        sinks.overwrite_table(aggregate(rows), run.path(STAR, name), ["date_key"])
+    else:
+        if period == "day":
+            rows = changed.rows(rows)
+        else:
+            dated = rows.withColumn("_period", F.trunc("date_key", period))
+            touched = changed.changed.select(F.trunc(F.col("part").cast("date"), period).alias("_period"))
+            rows = facts.touched_slices(dated, touched, "_period").drop("_period")
+        sinks.replace_partitions(aggregate(rows), run.path(STAR, name), ["date_key"])
+    changed.remember()
 
 
 def build_marts(run: Run) -> None:
@@ -183,15 +209,16 @@ def build_marts(run: Run) -> None:
 
 
 def build(
-    spark: SparkSession, root: str, as_of: str, *, full_refresh: bool = False, threads: int = 4
+    spark: SparkSession, root: str, as_of: str, *, full_refresh: bool = False, correctable: bool = False, threads: int = 4
 ) -> list[str]:
     """Bring every table up to date with the raw layer, in dependency order; domains without raw data are skipped.
 
     Tables of one step do not depend on each other and are loaded by a few threads, so small ones do not wait for
-    large ones. ``full_refresh`` builds every table from the raw layer, as if none were there. Returns the names of the
+    large ones. ``full_refresh`` builds every table from the raw layer, as if none were there. ``correctable``: a reading that is
+    loaded again with other measures replaces the old one in the facts; the satellite keeps both. Returns the names of the
     tables that were built.
     """
-    run = Run(spark, root, as_of, full_refresh)
+    run = Run(spark, root, as_of, full_refresh, correctable)
     built: list[str] = []
 
     def step(names: Sequence[str], ready: Callable[[str], bool], load: Callable[[Run, str], None]) -> None:

@@ -41,11 +41,14 @@ def ingest_available(
 ) -> StreamingQuery:
     """Load all files that have arrived since the last run, then stop.
 
-    ``to_rows`` is the batch function that turns documents into raw rows.
+    ``to_rows`` is the batch function that turns documents into raw rows, lineage included. The document is part of the
+    slice: two documents of one day and entity both stay, whether they arrive in one batch or in two, and a document
+    that is read again replaces itself.
     """
+    slices = list(dict.fromkeys([*slice_keys, "_source_file"]))
 
     def load(batch: DataFrame, _: int) -> None:
-        replace_slices(batch.sparkSession, to_rows(batch), path, partition_by, slice_keys)
+        replace_slices(batch.sparkSession, to_rows(batch), path, partition_by, slices)
 
     return (
         documents.writeStream.foreachBatch(load)

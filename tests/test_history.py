@@ -123,20 +123,33 @@ def test_point_in_time_plans_agree(spark, rows, seed):
     assert rows(in_chunks) == expected
 
 
-def test_plan_follows_the_size_of_the_versions(spark, tmp_path):
-    facts = spark.createDataFrame([(1, "a", at(1))], "id int, hk string, t timestamp_ntz")
-    versions = spark.createDataFrame([("a", at(0), None, "A")], "hk string, valid_from timestamp_ntz, valid_to timestamp_ntz, h string")
-    versions.write.parquet(str(tmp_path / "v"))
-    stored = spark.read.parquet(str(tmp_path / "v"))
-    join = lambda: history.point_in_time_join(facts, stored, ["hk"], "t", attributes=["h"], hot=NONE)
-    assert "Window" not in join()._jdf.queryExecution().executedPlan().toString()
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-    try:
-        assert "Window" in join()._jdf.queryExecution().executedPlan().toString()
-        assert [tuple(row) for row in join().collect()] == [(1, "a", at(1), "A")]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+def test_the_size_of_the_versions_does_not_show(spark, rows, monkeypatch):
+    """Overlapping versions, versions that begin together, and NULL keys, times and beginnings: one meaning on both plans and for hot keys."""
+    versions = [
+        ("a", at(0), at(5), "A0"), ("a", at(3), at(9), "A3"), ("a", at(3), at(4), "short"), ("a", None, at(9), "no start"), ("a", at(20), None, "A20"),
+        (None, at(0), None, "no key"), ("b", at(2), at(3), "B2"), ("b", at(6), None, "B6"),
+    ]
+    versions = spark.createDataFrame(versions, "hk string, valid_from timestamp_ntz, valid_to timestamp_ntz, h string")
+    facts = [(i, hk, at(day, 1)) for i, (hk, day) in enumerate((hk, day) for hk in ("a", "b", "c", None) for day in range(0, 24))]
+    facts = spark.createDataFrame([*facts, (900, "a", None), (901, None, None)], "id int, hk string, t timestamp_ntz")
+    join = lambda heat: rows(history.point_in_time_join(facts, versions, ["hk"], "t", attributes=["h"], hot=heat))
+    heat = history.find_hot_keys(facts, ["hk"], share=0.01, min_rows=2)
+    assert heat.frame.count() == 4  # NULL is one of them
+    expected = join(NONE)
+    assert [row[0] for row in expected if row[3] == "A0"] == [0, 1, 2] and {row[3] for row in expected if row[1] == "a"} == {"A0", "A3", "A20"}
+    monkeypatch.setattr(history, "MAX_SENT_VERSIONS", 1)
+    assert join(NONE) == expected and join(heat) == expected
+
+
+def test_null_orders_and_keys_stay_for_hot_keys(spark, rows):
+    data = [(hk, when, i) for i, (hk, when) in enumerate((hk, when) for hk in ("a", None) for when in (None, at(1), at(2), at(2, 5), at(9)))]
+    df = spark.createDataFrame(data, "hk string, t timestamp_ntz, id int")
+    heat = history.find_hot_keys(df, ["hk"], share=0.01, min_rows=1)
+    options = {"previous": {"before": "id"}, "following": {"after": "id"}, "position": "n"}
+    plain = rows(history.neighbours(df, ["hk"], "t", hot=NONE, **options))
+    assert len(plain) == 10
+    for grain in ("hour", "day", "month"):
+        assert rows(history.neighbours(df, ["hk"], "t", hot=history.HotKeys(heat.frame, grain), **options)) == plain
 
 
 def test_many_versions_of_one_key_are_not_compared_pairwise(spark):
