@@ -163,7 +163,8 @@ def find_signs(texts: DataFrame, window: int) -> DataFrame:
 def _verified(texts: DataFrame, left: DataFrame, window: int) -> DataFrame:
     """doc_id, text_key, low, high of the windows around open signs whose whole word sequence is met at another place too."""
     places = left.groupBy(*DOCUMENT).agg(F.collect_list(F.struct("low", "high", "alone")).alias("places"))
-    joined = restricted(texts, places).dropDuplicates(["text_key"]).join(places.drop("doc_id"), "text_key")
+    # equal rows come twice, which is harmless: their surroundings are not alone
+    joined = restricted(texts, places).join(places.drop("doc_id"), "text_key")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

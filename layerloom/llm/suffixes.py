@@ -199,8 +199,8 @@ def _surroundings(texts: DataFrame, left: DataFrame, length: int) -> DataFrame:
                 yield frame.astype({"doc_id": "Int64"})
 
     schema = "doc_id long, text_key long, position long, key long, alone boolean, before binary, after binary"
-    joined = joined.dropDuplicates(["text_key"]).select("doc_id", "text_key", "text", "places")
-    return joined.mapInPandas(cut, schema)
+    # equal rows come twice, which is harmless: their surroundings are not alone
+    return joined.select("doc_id", "text_key", "text", "places").mapInPandas(cut, schema)
 
 
 def _by_tree(around: DataFrame, length: int, parts: int) -> DataFrame:
