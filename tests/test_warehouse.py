@@ -147,10 +147,10 @@ def test_rules_find_defects(spark, tmp_path):
     write(bad, "fact_weather_hourly")
     write(dim_date(spark, AS_OF), "dim_date")
     write(dim_time(spark), "dim_time")
-    write(spark.sql("select 'y' as location_sk, 'h' as location_hk, 'k' as location_key, 1.0D as latitude, 1.0D as longitude, timestamp_ntz'2024-01-01' as valid_from"), "dim_location")
+    write(spark.sql("select 'y' as location_sk, 'g' as location_hk, 'k' as location_key, 1.0D as latitude, 1.0D as longitude, timestamp_ntz'2024-01-01' as valid_from"), "dim_location")
     found = {(row.rule, row.column_name) for row in rules.failing(rules.check(spark, root)).collect()}
     assert found == {
-        ("not_null", "load_date"), ("relationships", "location_sk"), ("relationships", "time_id"),
+        ("not_null", "load_date"), ("relationships", "location_hk"), ("relationships", "time_id"),
         ("in_range", "temperature_2m"), ("in_range", "relative_humidity_2m"), ("near_temperature", "apparent_temperature"),
         ("complete", "location_hk, date_key"),
     }
