@@ -82,8 +82,9 @@ def only_values(target: DataFrame, batch: DataFrame, column: str, limit: int = 1
     found = [row[0] for row in batch.select(column).distinct().limit(limit + 1).collect()]
     values = [value for value in found if value is not None]
     if len(found) > limit:
-        low, high = batch.agg(F.min(column), F.max(column)).first()
-        return target.where(F.col(column).between(F.lit(low), F.lit(high)) | F.col(column).isNull())
+        low, high, nulls = batch.agg(F.min(column), F.max(column), F.count_if(F.col(column).isNull())).first()
+        inside = F.col(column).between(F.lit(low), F.lit(high))
+        return target.where(inside | F.col(column).isNull() if nulls else inside)
     wanted = F.col(column).isin(*values) if values else F.lit(False)
     return target.where(wanted | F.col(column).isNull() if None in found else wanted) if found else target.limit(0)
 

@@ -1,4 +1,5 @@
 import json
+import os
 
 from layerloom.operators.sinks import replace_slices
 from layerloom.sources import landing, schemas
@@ -57,3 +58,28 @@ def test_a_corrected_document_replaces_its_slice(spark, tmp_path, rows):
         ).awaitTermination()
     stored = spark.read.schema(schemas.RAW_SCHEMAS["energy_price_hourly"]).parquet(table)
     assert rows(stored, "bidding_zone", "price_eur_mwh") == [("AT", 7.0), ("AT", 8.0), ("other1", 0.5), ("other2", 0.5)]
+
+
+def test_the_number_of_files_per_batch_does_not_show(spark, tmp_path, rows):
+    """Two documents of one slice, the second one newer: its readings count, in one batch or in two."""
+    folder = tmp_path / "landing"
+    folder.mkdir()
+    for number, prices in enumerate(([1.0, 2.0, 3.0], [7.0])):
+        document(folder, "2024-01-01", "AT", prices)
+        (written,) = [f for f in folder.iterdir() if not f.name.startswith("kept")]
+        written.rename(folder / f"kept-{1 - number}-2024-01-01.json")
+        os.utime(folder / f"kept-{1 - number}-2024-01-01.json", (1_700_000_000 + 100 * number,) * 2)
+    found = []
+    for files in (None, 1):
+        table = str(tmp_path / f"table{files}")
+        ingest_available(
+            document_stream(spark, str(folder), schemas.PRICE_DOCUMENT, files_per_batch=files),
+            lambda documents: landing.price_rows(documents, LOADED),
+            table,
+            partition_by=["date_key"],
+            slice_keys=["date_key", "bidding_zone"],
+            checkpoint=str(tmp_path / f"checkpoint{files}"),
+        ).awaitTermination()
+        stored = spark.read.schema(schemas.RAW_SCHEMAS["energy_price_hourly"]).parquet(table)
+        found.append(rows(stored, "bidding_zone", "price_eur_mwh"))
+    assert found == [[("AT", 7.0)]] * 2
