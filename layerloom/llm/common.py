@@ -2,18 +2,26 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from layerloom.session import scratch_path, tune
 
 # Arrow batches hold whole texts, so a batch is kept to few rows.
 ROWS_PER_BATCH = 1000
+PACKAGE_ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def prepared(spark: SparkSession) -> SparkSession:
     """Session options the operators rely on."""
     tune(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS_PER_BATCH))
+    context = spark.sparkContext
+    if context.master.startswith("local"):  # Python workers on this machine find the package, wherever the session was started
+        paths = [p for p in context.environment.get("PYTHONPATH", "").split(os.pathsep) if p and p != PACKAGE_ROOT]
+        context.environment["PYTHONPATH"] = os.pathsep.join([PACKAGE_ROOT, *paths])
     return spark
 
 
