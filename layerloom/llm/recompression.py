@@ -29,6 +29,7 @@ LEVELS = 7
 RUN_ROUNDS = (0, 3)  # rounds that also name runs
 SIGN_WORDS = 5  # least words of a sign that is not a whole window
 BATCH_WORDS = 400_000
+ROWS_AT_ONCE = 50_000
 
 
 def words_of(text: str) -> list[bytes]:
@@ -168,14 +169,21 @@ def _verified(texts: DataFrame, left: DataFrame, window: int) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows = []
             for doc_id, text_key, text, places in zip(batch.doc_id, batch.text_key, batch.text, batch.places):
                 words = words_of(text)
-                rows = [
+                rows += [
                     (doc_id, text_key, s, p["alone"], xxhash.xxh3_128_digest(b" ".join(words[s : s + window])))
                     for p in places for s in range(p["low"], p["high"] + 1)
                 ]
-                frame = pd.DataFrame(rows, columns=[*DOCUMENT, "low", "alone", "window"])
-                yield frame.astype({"doc_id": "Int64"})
+                if len(rows) > ROWS_AT_ONCE:
+                    yield frame_of(rows)
+                    rows = []
+            yield frame_of(rows)
+
+    def frame_of(rows: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=[*DOCUMENT, "low", "alone", "window"])
+        return frame.astype({"doc_id": "Int64", "text_key": "int64", "low": "int64", "alone": bool})
 
     schema = "doc_id long, text_key long, low long, alone boolean, window binary"
     found = written(joined.select("doc_id", "text_key", "text", "places").mapInPandas(run, schema), "sign-windows")
