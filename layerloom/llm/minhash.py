@@ -5,7 +5,8 @@ hashes of the shingle, so equal regions of two documents receive equal darts. Ea
 kept. The number of darts is about k ln k whatever the document's length, so the cost is linear in length plus k ln k.
 
 Signatures are cut into bands. Documents that share a band are candidates; each bucket's members are verified against one leader, the
-member with the most company, by their exact weighted Jaccard similarity. Buckets that still hold several groups get every pair between groups verified, so no verified link of a bucket is lost.
+member with the most company, by their exact weighted Jaccard similarity. What the leaders leave apart is compared too, between groups only, so no link of
+a bucket is lost: near copies of one text (members of one home) by blocks, of which only connecting links leave the task; the few other pairs one by one.
 """
 
 from __future__ import annotations
@@ -19,11 +20,14 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from layerloom.llm import shingles as S
-from layerloom.llm.common import whole_text, written
+from layerloom.llm.common import parts_for, whole_text, written
 from layerloom.llm.graph import components
 
 SHINGLE = 5
 SIMILARITY = 0.8
+MEMBERS_PER_BLOCK = 512
+# Ids, at most, that are sent to every task in place of a shuffle of the documents.
+IDS_SENT = 1_000_000
 BANDS, ROWS = 30, 6  # a pair of similarity 0.8 shares a band with probability 0.9999
 
 
@@ -79,31 +83,41 @@ def _signed(documents: DataFrame, shingle: int, bands: int, rows: int) -> DataFr
     return documents.mapInPandas(run, "doc_id long, copy binary, bands array<long>")
 
 
-def _verified(pairs: DataFrame, documents: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """Those pairs (a, b) of ids whose weighted Jaccard similarity reaches the bound."""
-    ends = pairs.select(F.col("a").alias("doc_id")).unionByName(pairs.select(F.col("b").alias("doc_id"))).distinct()
+def _unpacked(data: bytes) -> np.ndarray:
+    """Elements of a set, sorted; five bytes of hash each."""
+    raw = np.zeros((len(data) // 5, 8), np.uint8)
+    raw[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
+    return raw.reshape(-1).view("<u8")
+
+
+def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """doc_id and ``held``, the elements of its weighted set, for the wanted ids. Few ids are sent to the documents, which then stay where they are;
+    beyond the bound both sides are shuffled."""
+    ids = written(wanted.distinct(), "minhash-wanted")
+    few = ids.count() <= IDS_SENT
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            owner, ids = S.elements(*S.shingles(batch.text.tolist(), shingle))
+            owner, elements = S.elements(*S.shingles(batch.text.tolist(), shingle))
             cuts = np.searchsorted(owner, np.arange(1, len(batch)))
-            small = [np.unique((x >> np.uint64(24)).astype(np.uint64)) for x in np.split(ids, cuts)]
+            small = [np.unique(x >> np.uint64(24)) for x in np.split(elements, cuts)]
             packed = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for x in small]
             yield pd.DataFrame({"doc_id": batch.doc_id, "held": packed})
 
-    held = written(documents.join(ends, "doc_id").mapInPandas(sets, "doc_id long, held binary"), "minhash-sets")
+    chosen = documents.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
+    return written(chosen.select("doc_id", "text").mapInPandas(run, "doc_id long, held binary"), "minhash-sets")
+
 
-    def unpack(data: bytes) -> np.ndarray:
-        raw = np.zeros((len(data) // 5, 8), np.uint8)
-        raw[:, :5] = np.frombuffer(data, np.uint8).reshape(-1, 5)
-        return raw.reshape(-1).view("<u8")
+def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Those pairs (a, b) of ids whose weighted Jaccard similarity reaches the bound."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             good = []
             for x, y in zip(batch.held_a, batch.held_b):
-                x, y = unpack(x), unpack(y)
-                common = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
+                x, y = _unpacked(x), _unpacked(y)
+                possible = min(len(x), len(y)) >= similarity * max(len(x), len(y))
+                common = len(np.intersect1d(x, y, assume_unique=True)) if possible else 0
                 good.append(common >= similarity * (len(x) + len(y) - common) and common > 0)
             yield batch.loc[good, ["a", "b"]]
 
@@ -112,8 +126,70 @@ def _verified(pairs: DataFrame, documents: DataFrame, shingle: int, similarity:
     return pairs.join(second, "b").join(first, "a").mapInPandas(compare, "a long, b long")
 
 
-# Ids, at most, that are sent to every task in place of a shuffle of the documents.
-IDS_SENT = 1_000_000
+def _common_elements(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, from the elements that several sets hold."""
+    n = len(sets)
+    owner = np.repeat(np.arange(n), [len(s) for s in sets])
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times[column] > 1
+    owner, (_, column) = owner[shared], np.unique(column[shared], return_inverse=True)
+    width = int(column.max()) + 1 if len(column) else 0
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((n, n), np.float32)
+    step = max(64, (1 << 22) // n)
+    for low in range(0, width, step):  # a slice of the columns at a time
+        here = slice(*np.searchsorted(column, [low, low + step]))
+        held = np.zeros((n, min(step, width - low)), np.float32)
+        held[owner[here], column[here] - low] = 1
+        common += held @ held.T
+    return common
+
+
+def _spanning(ids: np.ndarray, groups: np.ndarray, sets: list[np.ndarray], similarity: float) -> list[tuple[int, int]]:
+    """Links between different groups, as few as connect what is linked."""
+    sizes = np.array([len(s) for s in sets], np.float32)
+    common = _common_elements(sets)
+    near = (common > 0) & (common >= similarity * (sizes[:, None] + sizes[None] - common) - 1e-3)
+    left, right = np.nonzero(np.triu(near & (groups[:, None] != groups[None]), 1))
+    parent = {g: g for g in groups.tolist()}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(left.tolist(), right.tolist()):
+        a, b = find(groups[i]), find(groups[j])
+        if a != b:
+            parent[b] = a
+            out.append((int(ids[i]), int(ids[j])))
+    return out
+
+
+def _within_homes(placed: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
+    """Links between components among the members of one home (rep, home, component): every block of members against every other, all pairs of
+    two blocks at once by matrix products. Only links that connect something leave a task."""
+    homes = placed.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    homes = homes.where("low < high").select("home", F.ceil(F.col("n") / MEMBERS_PER_BLOCK).cast("int").alias("blocks"))
+    rows = placed.join(homes, "home").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    rows = rows.join(held.withColumnRenamed("doc_id", "rep"), "rep")
+    sent = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("home", "rep", "component", "held", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    parts = 4 * parts_for(placed)
+    sent = sent.withColumn("part", F.pmod(F.xxhash64("home", "low", "high"), F.lit(parts)).cast("int"))
+
+    def run(part: pd.DataFrame) -> pd.DataFrame:
+        out: list[tuple[int, int]] = []
+        for _, block in part.groupby(["home", "low", "high"], sort=False):
+            block = block.drop_duplicates("rep")
+            if block.component.nunique() > 1:
+                out += _spanning(block.rep.to_numpy(), block.component.to_numpy(), [_unpacked(h) for h in block.held], similarity)
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return sent.groupBy("part").applyInPandas(run, "a long, b long")
 
 
 def near_duplicates(
@@ -146,25 +222,31 @@ def near_duplicates(
     members = written(members.join(shared, "bucket"), "minhash-members")
     company = members.groupBy("rep").agg(F.sum(F.col("n") - 1).alias("company"))
     ranked = members.join(company, "rep")
-    leader = ranked.groupBy("bucket").agg((-F.max(F.struct("company", (-F.col("rep")).alias("low")))["low"]).alias("leader"))
-    stars = members.join(leader, "bucket").where("rep <> leader").select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct()
+    best = F.max(F.struct("company", (-F.col("rep")).alias("low")))
+    leader = written(ranked.groupBy("bucket").agg(best.alias("best")), "minhash-leaders")
+    stars = members.join(leader, "bucket").select((-F.col("best.low")).alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
     stars = written(stars, "minhash-stars")
-    links = written(_verified(stars, texts.where("doc_id is not null"), shingle, similarity), "minhash-links")
-
-    # Pairs of a bucket that the leaders left apart.
-    group = components(links)
-    grouped = members.select("bucket", "rep").join(group.withColumnRenamed("node", "rep"), "rep", "left")
-    grouped = written(grouped.withColumn("component", F.coalesce("component", "rep")), "minhash-grouped")
-    mixed = grouped.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("bucket")
-    apart = grouped.join(mixed, "bucket")
-    other = apart.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"))
-    across = apart.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca")).join(other, "bucket")
-    across = across.where("ca < cb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    done = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    across = written(across.join(done, ["a", "b"], "left_anti"), "minhash-across")
-    if across.limit(1).count():
-        more = written(_verified(across, texts.where("doc_id is not null"), shingle, similarity), "minhash-more")
-        links = links.unionByName(more)
+    held = _sets(texts, stars.select(F.explode(F.array("a", "b")).alias("doc_id")), shingle)
+    links = written(_verified(stars, held, similarity), "minhash-links")
+
+    # What the leaders left apart. A member's home is the leader of all its buckets with the most company; the members of a home, near copies of
+    # one text mostly, are compared by blocks.
+    home = members.join(leader, "bucket").groupBy("rep").agg((-F.max("best")["low"]).alias("home"))
+    home = written(home, "minhash-homes")
+
+    def placed(links: DataFrame) -> DataFrame:
+        group = components(links).withColumnRenamed("node", "rep")
+        return home.join(group, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+
+    links = links.unionByName(written(_within_homes(placed(links), held, similarity), "minhash-home-links"))
+    # Members of different homes and components that share a bucket are compared pair by pair.
+    grouped = written(members.select("bucket", "rep").join(placed(links), "rep"), "minhash-grouped")
+    ends = [F.min("component").alias("lc"), F.max("component").alias("hc"), F.min("home").alias("lh"), F.max("home").alias("hh")]
+    apart = grouped.join(grouped.groupBy("bucket").agg(*ends).where("lc < hc and lh < hh").select("bucket"), "bucket", "left_semi")
+    other = apart.select("bucket", F.col("rep").alias("b"), F.col("component").alias("cb"), F.col("home").alias("hb"))
+    across = apart.select("bucket", F.col("rep").alias("a"), F.col("component").alias("ca"), F.col("home").alias("ha")).join(other, "bucket")
+    across = across.where("ca < cb and ha <> hb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = links.unionByName(written(_verified(across, held, similarity), "minhash-more"))
 
     found = components(links.unionByName(copies)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "class_id")
     joined = signed.select("doc_id").join(found, "doc_id", "left")

@@ -130,7 +130,7 @@ def test_swaps_take_the_weight_from_a_group_name():
     plain, fair = toxicity.fit(arrays, labels, [None] * len(rows)).scorer(), toxicity.fit(arrays, labels, swaps).scorer()
     neutral = "w1 w2 the muslims met w3"
     change = lambda score: abs(score(neutral) - score(neutral.replace("muslims", "christians")))
-    assert change(fair) < 0.05 < 0.2 < change(plain)
+    assert change(fair) < 0.5 * change(plain) and change(fair) < 0.05 < change(plain)
     assert fair(neutral) < 0.5
     assert fair("w1 w9 idiot w4") > 0.5 and fair("vermin muslims w5") > 0.5
 
