@@ -31,6 +31,7 @@ GRAM = 16
 # Distinct surroundings of one key that one task takes, at most.
 TREE_ROWS = 65_536
 BATCH_BYTES = 4 << 20
+ROWS_AT_ONCE = 20_000
 
 
 def _reach(length: int) -> int:
@@ -189,14 +190,21 @@ def _surroundings(texts: DataFrame, left: DataFrame, length: int) -> DataFrame:
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            rows = []
             for doc_id, text_key, text, places in zip(batch.doc_id, batch.text_key, batch.text, batch.places):
                 data = text.encode("utf-8", "surrogatepass")
-                rows = [
+                rows += [
                     (doc_id, text_key, p["position"], p["key"], p["alone"], data[max(p["position"] - reach + 1, 0) : p["position"]],
                      data[p["position"] : p["position"] + length]) for p in places
                 ]
-                frame = pd.DataFrame(rows, columns=[*DOCUMENT, "position", "key", "alone", "before", "after"])
-                yield frame.astype({"doc_id": "Int64"})
+                if len(rows) > ROWS_AT_ONCE:
+                    yield frame_of(rows)
+                    rows = []
+            yield frame_of(rows)
+
+    def frame_of(rows: list[tuple]) -> pd.DataFrame:
+        frame = pd.DataFrame(rows, columns=[*DOCUMENT, "position", "key", "alone", "before", "after"])
+        return frame.astype({"doc_id": "Int64", "text_key": "int64", "position": "int64", "key": "int64", "alone": bool})
 
     schema = "doc_id long, text_key long, position long, key long, alone boolean, before binary, after binary"
     # equal rows come twice, which is harmless: their surroundings are not alone
