@@ -46,24 +46,27 @@ def load_artist_snapshots(spark: SparkSession, root: str, landed: str, loaded_at
     _replace(spark, root, "spotify_artist_snapshots", landing.artist_rows(documents, loaded_at))
 
 
-def load_tracks(spark: SparkSession, root: str, landed: str, loaded_at: str) -> None:
-    text = delimited.read_text_columns(spark, landed, multiline=True)
-    _replace(spark, root, "spotify_tracks", delimited.track_rows(text, loaded_at))
+def load_tracks(spark: SparkSession, root: str, landed: str, loaded_at: str, *, multiline: bool = True) -> None:
+    """The rows of the source files are replaced; the table is partitioned by file, so no other file's rows are touched. ``multiline``: quoted
+    line breaks are allowed, which reads a file in one task; False lets Spark split large files."""
+    text = delimited.read_text_columns(spark, landed, multiline=multiline)
+    sinks.replace_source_files(spark, delimited.track_rows(text, loaded_at), table_path(root, "raw", "spotify_tracks"))
 
 
 def load_all_charts(spark: SparkSession, root: str, landed: str, loaded_at: str) -> None:
     """Bulk load: the whole table is replaced."""
     text = delimited.read_text_columns(spark, landed, columns=list(delimited.CHART_COLUMNS))
     path = table_path(root, "raw", "spotify_charts")
-    sinks.overwrite_table(delimited.chart_rows(text, loaded_at), path, schemas.RAW_PARTITIONS["spotify_charts"])
+    sinks.overwrite_table(sinks.with_file_key(delimited.chart_rows(text, loaded_at)), path, ["file_key"])
 
 
 def load_charts_of_regions(
     spark: SparkSession, root: str, landed: str, loaded_at: str, regions: Sequence[str] = delimited.CHART_REGIONS
 ) -> None:
-    """Filtered load: the rows of the source file are replaced."""
+    """Filtered load: the rows of the source files are replaced, in their own partitions."""
     text = delimited.read_text_columns(spark, landed, columns=list(delimited.CHART_COLUMNS))
-    _replace(spark, root, "spotify_charts", delimited.chart_rows_of_regions(text, loaded_at, regions))
+    rows = delimited.chart_rows_of_regions(text, loaded_at, regions)
+    sinks.replace_source_files(spark, rows, table_path(root, "raw", "spotify_charts"))
 
 
 def land_query_result(

@@ -53,6 +53,10 @@ class Run:
         book = f"{self.root}/_read/{reader}/{name}"
         return Delta(self.spark, self.read(layer, name), partition, load, book, everything=self.current(*self.place(reader)) is None)
 
+    def raw_partition(self, name: str) -> str | None:
+        """Tables loaded by file are partitioned by it."""
+        return "file_key" if "file_key" in self.read("raw", name).columns else next(iter(RAW_PARTITIONS[name]), None)
+
     def place(self, name: str) -> tuple[str, str]:
         return (VAULT if name in VAULT_MODELS else STAR), name
 
@@ -126,7 +130,7 @@ def load_vault_table(run: Run, name: str) -> None:
     """Append what is new. The columns that bound the target are part of the hashed key, so pruning is exact."""
     model, inputs, key, partition_by, bounded_by = VAULT_MODELS[name]
     raws = [STAGING[source][0] for source in inputs]
-    deltas = [run.delta(name, "raw", raw, (RAW_PARTITIONS[raw] or [None])[0], "_loaded_at") for raw in raws]
+    deltas = [run.delta(name, "raw", raw, run.raw_partition(raw), "_loaded_at") for raw in raws]
     target = run.current(VAULT, name)
     if target is not None and all(delta.empty for delta in deltas):
         return
