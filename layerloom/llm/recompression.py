@@ -25,7 +25,7 @@ from layerloom.llm.repeats import DOCUMENT, keyed_texts, merged, restricted, set
 from layerloom.llm.shingles import mixed
 
 WINDOW = 35
-LEVELS = 7
+LEVELS = 5
 RUN_ROUNDS = (0, 3)  # rounds that also name runs
 SIGN_WORDS = 5  # least words of a sign that is not a whole window
 BATCH_WORDS = 400_000
