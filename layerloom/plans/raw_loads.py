@@ -78,9 +78,13 @@ def land_query_result(
 
 
 def load_query_result(spark: SparkSession, root: str, name: str, landed: str) -> None:
-    """A landed report into its raw table, by query date. Names of other cases are matched, zeros stay zeros."""
+    """A landed report into its raw table, by query date. Names of other cases are matched, zeros stay zeros. A document that does not carry as
+    many rows as it says stops the load."""
     fields = [field for field in schemas.RAW_SCHEMAS[name].fields if field.name != "query_date"]
     row = schemas.struct(**{field.name: field.dataType for field in fields})
     documents = landing.read_documents(spark, landed, schemas.query_document(row), pretty=False)
+    torn = landing.miscounted_documents(documents).limit(5).collect()
+    if torn:
+        raise ValueError(f"documents with another number of rows than they say: {[row['_source_file'] for row in torn]}")
     rows = landing.query_rows(documents).select("query_date", *[F.col(field.name) for field in fields])
     _replace(spark, root, name, rows)

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerloom.operators import facts, sinks, staging
-from layerloom.operators.calendar import dim_date, dim_time
+from layerloom.operators.calendar import FIRST_DAY, LAST_DAY, dim_date, dim_time
 from layerloom.operators.deltas import Delta
 from layerloom.operators.history import one_per_repeated
 from layerloom.plans import domains
@@ -152,6 +152,16 @@ def load_vault_table(run: Run, name: str) -> None:
         delta.remember()
 
 
+def days_covered(run: Run) -> tuple[str, str]:
+    """The calendar's range, widened to the days of all readings and entries, so that no fact falls outside of it."""
+    first, last = FIRST_DAY, LAST_DAY
+    for _, satellite, _, _, partition in DETAIL_FACTS.values():
+        if run.has(VAULT, satellite):
+            low, high = run.read(VAULT, satellite).agg(F.min(partition).cast("string"), F.max(partition).cast("string")).first()
+            first, last = min(first, low or first), max(last, high or last)
+    return first, last
+
+
 def build_dimension(run: Run, name: str) -> None:
     model, inputs = DIMENSIONS[name]
     sinks.overwrite_table(model(*[run.read(VAULT, table) for table in inputs]), run.path(STAR, name))
@@ -236,7 +246,7 @@ def build(
         lambda name: all(run.has("raw", STAGING[source][0]) for source in VAULT_MODELS[name][1]),
         load_vault_table,
     )
-    sinks.overwrite_table(dim_date(spark, as_of), run.path(STAR, "dim_date"))
+    sinks.overwrite_table(dim_date(spark, as_of, *days_covered(run)), run.path(STAR, "dim_date"))
     sinks.overwrite_table(dim_time(spark), run.path(STAR, "dim_time"))
     built += ["dim_date", "dim_time"]
     step(

@@ -253,3 +253,20 @@ def test_late_rows(spark, root):
     assert january == 2 * 3 * 3 + 9
     build(spark, root, AS_OF, full_refresh=True)
     assert counts(spark, root) == after
+
+
+def test_days_outside_the_calendar_are_kept(spark, tmp_path):
+    root = str(tmp_path)
+    row = weather([0], 41)[0]
+    old = (dt.datetime(2001, 5, 1, 3), dt.date(2001, 5, 1), *row[2:])
+    load(spark, root, "weather_hourly", [row, old])
+    build(spark, root, AS_OF)
+    assert read_table(spark, root, "marts", "weather_trends").where("granularity = 'monthly'").count() == 2
+
+
+def test_a_torn_document_stops_the_load(spark, tmp_path):
+    landed = tmp_path / "landed"
+    landed.mkdir()
+    (landed / "a.json").write_text('{"query_date": "2024-01-01", "source": "db2", "row_count": 2, "data": [{"schema_name": "A"}]}')
+    with pytest.raises(ValueError, match="a.json"):
+        raw_loads.load_query_result(spark, str(tmp_path / "root"), "db2_tables", str(landed))
