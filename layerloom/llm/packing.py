@@ -8,6 +8,7 @@ helps. Full pieces are sequences at once. Every round's result is a written tabl
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -24,34 +25,41 @@ SEQUENCE = 1024
 SLACK = 4
 # Bins that one task of a merging round takes, about.
 BINS_PER_TASK = 200_000
+# Units that a worker remembers.
+UNITS_KNOWN = 800_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BINNED = PIECES + ", part long, bin long, offset long, done boolean"
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizer itself, which sees each distinct unit once per worker."""
+    """Ids of whole texts by the tokenizer itself, which sees each distinct unit once per worker (in a memory of bounded size)."""
 
-    def __init__(self, path: str, memory: int = pretokens.MEMORY):
-        self.tokenizer, self.memory, self.known = pretokens.load(path), memory, {}
+    def __init__(self, path: str, memory: int = UNITS_KNOWN):
+        self.tokenizer, self.memory = pretokens.load(path), memory
+        self.known: dict[str, bytes] = {}
+        self.shown = {b: c for c, b in pretokens.byte_characters().items()}
 
-    def _learn(self, units: set[str]) -> None:
+    def _learn(self, units: list[str]) -> None:
         if len(self.known) > self.memory:
             self.known.clear()
-        new = [u for u in units if u not in self.known]
-        for unit, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self.known[unit] = np.asarray(found.ids, "<u4").tobytes()
+        model, shown = self.tokenizer.model, self.shown
+        for unit in set(units):
+            if unit not in self.known:
+                # the splitter's work is done; the model wants a printable character for each byte
+                tokens = model.tokenize(unit.encode("utf-8", "surrogatepass").decode("latin-1").translate(shown))
+                self.known[unit] = array("I", [t.id for t in tokens]).tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if pretokens.SPECIAL in text:
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         out = []
         for part in pretokens.pieces(text):
             units = pretokens.units(part, self.tokenizer)
             try:
                 out.append(b"".join(map(self.known.__getitem__, units)))
             except KeyError:
-                self._learn(set(units))
+                self._learn(units)
                 out.append(b"".join(map(self.known.__getitem__, units)))
         return b"".join(out)
 

@@ -11,11 +11,13 @@ from functools import cache
 
 from tokenizers import Tokenizer
 
-# The splitter's pattern in the syntax of ``re``; equal for the characters below only.
-_UNITS = re.compile(r"'(?:s|t|re|ve|m|ll|d)| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+")
-# ASCII without the separators 1C-1F, Latin letters and signs without superscript and fraction digits, dashes, quotes, ellipsis.
+# Characters for which the splitter's classes are spelt out below: ASCII without the separators 1C-1F, Latin letters and signs without
+# superscript and fraction digits, dashes, quotes, ellipsis.
 _KNOWN = r"\x00-\x1B\x20-\x7E\xA0-\xB1\xB4-\xB8\xBA\xBB\xBF-ɏ‐-―‘-„…"
+_LETTERS = r"A-Za-z\xAA\xB5\xBA\xC0-\xD6\xD8-\xF6\xF8-ɏ"
 _UNKNOWN = re.compile(f"[^{_KNOWN}]")
+# Letters come first, as most units are words; nothing that begins with a letter could be anything else.
+_UNITS = re.compile(f" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+")
 
 SPECIAL = "<|endoftext|>"
 MEMORY = 300_000
