@@ -69,9 +69,16 @@ def band_hashes(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
+def _slices(batches: Iterator[pd.DataFrame], rows: int = 200) -> Iterator[pd.DataFrame]:
+    """Smaller batches: the arrays of darts are many times the size of the texts."""
+    for batch in batches:
+        for start in range(0, len(batch), rows):
+            yield batch.iloc[start : start + rows]
+
+
 def _signed(documents: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             texts = batch.text.tolist()
             owner, ids = S.elements(*S.shingles(texts, shingle))
             found = band_hashes(signatures(owner, ids, len(texts), bands * rows), bands, rows)
@@ -97,7 +104,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     few = ids.count() <= IDS_SENT
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
+        for batch in _slices(batches):
             owner, elements = S.elements(*S.shingles(batch.text.tolist(), shingle))
             cuts = np.searchsorted(owner, np.arange(1, len(batch)))
             small = [np.unique(x >> np.uint64(24)) for x in np.split(elements, cuts)]

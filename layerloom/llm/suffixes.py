@@ -30,7 +30,7 @@ LENGTH = 400
 GRAM = 16
 # Distinct surroundings of one key that one task takes, at most.
 TREE_ROWS = 65_536
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 ROWS_AT_ONCE = 20_000
 
 
@@ -79,7 +79,7 @@ def _batched(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
         begin = end
 
 
-def _pieces(text: bytes, length: int, size: int = 8 << 20) -> Iterator[tuple[int, bytes]]:
+def _pieces(text: bytes, length: int, size: int = BATCH_BYTES) -> Iterator[tuple[int, bytes]]:
     """A long text in overlapping pieces: every window of ``length`` lies in one whole."""
     step = size - length
     for start in range(0, max(len(text) - length, 0) + 1, step):

@@ -77,7 +77,7 @@ class Model:
         weight = self.weights.tolist()
 
         def learn(words: list[str]) -> None:
-            if len(known) > 500_000:
+            if len(known) > 200_000:
                 known.clear()
             names = [features_of(w) for w in words]
             found = hashed([f for n in names for f in n])
