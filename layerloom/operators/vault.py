@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from layerloom.functions.keys import with_keys
 from layerloom.operators.history import HotKeys, changes_only, find_hot_keys, one_per_repeated
+from layerloom.operators.matching import null_safe_join
 from layerloom.operators.sinks import new_rows
 
 LOADED = "_loaded_at"
@@ -107,7 +108,7 @@ def _satellite_rows(staging: DataFrame, columns: Sequence[str]) -> DataFrame:
 def load_event_satellite(
     staging: DataFrame, columns: Sequence[str], hashdiff: str, target: DataFrame | None = None, *, whole_rows: bool = False
 ) -> DataFrame:
-    """Readings or entries; rows whose hashdiff the target holds are left out.
+    """Readings or entries; rows whose hashdiff the target holds are left out, with ``whole_rows`` rows that it holds in every column.
 
     Of copies inside the batch the first loaded one is kept (ties by source file, then by the columns). Copies are rows of one hashdiff;
     with ``whole_rows`` only rows equal in every column are, and entries that differ in any of them all stay.
@@ -119,9 +120,52 @@ def load_event_satellite(
     same = [*columns, "record_source"] if whole_rows else [hashdiff]
     rest = [name for name in rows.columns if name not in (*same, "load_date", "_source_file")]
     kept = one_per_repeated(rows, [hashdiff], ["load_date", "_source_file", *rest], same)
+    if whole_rows and target is not None:
+        return null_safe_join(kept, target.select(*same), same, "left_anti")
     return _not_loaded(kept, target, [hashdiff])
 
 
+def load_correctable_satellite(
+    staging: DataFrame, key: Sequence[str], columns: Sequence[str], hashdiff: str, target: DataFrame | None = None
+) -> DataFrame:
+    """Readings of which every change is kept; ``hashdiff`` covers the key and the measures.
+
+    A key's rows of batch and target are lined up by load time (ties: the smallest hashdiff is the newest, as in the facts), and a row is
+    inserted if it differs from the one before, so a value that is corrected and corrected back (A, B, A) is three rows. The newest row of the
+    batch is what the raw layer says now. If the target's newest row says the same, nothing is inserted for it; if that row is not older (a
+    slice was loaded again with the same load time or an earlier one), the batch's row gets a load time one microsecond after it.
+
+    Copies collapse before the window; what is left of a key is one row per value and load time.
+    """
+    rows = _satellite_rows(staging, columns)
+    same = [hashdiff, "load_date"]
+    rest = [name for name in rows.columns if name not in (*same, "_source_file")]
+    lined_up = one_per_repeated(rows, same, ["_source_file", *rest]).withColumn("_new", F.lit(True))
+    if target is not None:
+        stored = target.join(lined_up.select(*key).distinct(), list(key), "left_semi")
+        lined_up = lined_up.unionByName(stored.select(*rows.columns).withColumn("_new", F.lit(False)))
+    repeated = lined_up.groupBy(*key).agg(F.count("*").alias("_rows")).where("_rows > 1").select(*key)
+    in_order = Window.partitionBy(*key).orderBy("load_date", F.desc(hashdiff), "_new")
+    whole = in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    place = F.struct("load_date", hashdiff)
+    compared = lined_up.join(repeated, list(key), "left_semi").select(
+        *rows.columns,
+        "_new",
+        F.lag(hashdiff).over(in_order).alias("_before"),
+        F.last("_new").over(whole).alias("_ahead"),  # the newest row of all is the batch's
+        F.last(F.when(F.col("_new"), place), ignorenulls=True).over(whole).alias("_wanted"),
+        F.last(F.when(~F.col("_new"), place), ignorenulls=True).over(whole).alias("_stored"),
+    )
+    is_wanted = F.col("_wanted") == place
+    agreed = F.coalesce(F.col(f"_wanted.{hashdiff}") == F.col(f"_stored.{hashdiff}"), F.lit(False))
+    behind = is_wanted & ~agreed & ~F.col("_ahead")
+    changed = ~F.col("_before").eqNullSafe(F.col(hashdiff)) & ~(is_wanted & agreed)
+    load_date = F.when(behind, F.col("_stored.load_date") + F.expr("interval 1 microsecond")).otherwise(F.col("load_date"))
+    several = compared.where(F.col("_new") & (behind | changed)).withColumn("load_date", load_date)
+    once = lined_up.join(repeated, list(key), "left_anti").where("_new")
+    return once.select(*rows.columns).unionByName(several.select(*rows.columns))
+
+
 def load_version_satellite(
     staging: DataFrame,
     hk: str,

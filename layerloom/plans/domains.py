@@ -99,11 +99,15 @@ CHART_COLUMNS = [
 ]
 
 
-def s_weather_hourly(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def s_weather_hourly(stg: DataFrame, target: DataFrame | None = None, *, correctable: bool = False) -> DataFrame:
+    if correctable:
+        return vault.load_correctable_satellite(stg, ["location_hk", "measured_at"], WEATHER_COLUMNS, "weather_hashdiff", target)
     return vault.load_event_satellite(stg, WEATHER_COLUMNS, "weather_hashdiff", target)
 
 
-def s_energy_price_hourly(stg: DataFrame, target: DataFrame | None = None) -> DataFrame:
+def s_energy_price_hourly(stg: DataFrame, target: DataFrame | None = None, *, correctable: bool = False) -> DataFrame:
+    if correctable:
+        return vault.load_correctable_satellite(stg, ["price_zone_hk", "measured_at"], PRICE_COLUMNS, "price_hashdiff", target)
     return vault.load_event_satellite(stg, PRICE_COLUMNS, "price_hashdiff", target)
 
 

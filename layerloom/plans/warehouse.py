@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -75,6 +76,7 @@ STAGING: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
 
 # Readings whose corrections can be let through to the facts.
 CORRECTABLE = ("weather", "energy_price")
+CORRECTABLE_SATELLITES = ("s_weather_hourly", "s_energy_price_hourly")
 
 # name -> (model, staging inputs, unique key of the appended rows, partition columns, column that bounds the target)
 VAULT_MODELS: dict[str, tuple[Callable[..., DataFrame], list[str], list[str], list[str], str | None]] = {
@@ -129,6 +131,8 @@ AGGREGATE_FACTS: dict[str, tuple[Callable[[DataFrame], DataFrame], str, str, str
 def load_vault_table(run: Run, name: str) -> None:
     """Append what is new. The columns that bound the target are part of the hashed key, so pruning is exact."""
     model, inputs, key, partition_by, bounded_by = VAULT_MODELS[name]
+    if run.correctable and name in CORRECTABLE_SATELLITES:  # a value that returns is a row of its own
+        model, key = partial(model, correctable=True), [*key, "load_date"]
     raws = [STAGING[source][0] for source in inputs]
     deltas = [run.delta(name, "raw", raw, run.raw_partition(raw), "_loaded_at") for raw in raws]
     target = run.current(VAULT, name)

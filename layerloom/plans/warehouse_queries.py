@@ -55,25 +55,19 @@ def weather_trends_in_three_builds(spark: SparkSession, sf_dir: str) -> DataFram
     return mart.select("location_key", "granularity", "period_label", "year", "month", "week", "temp_min", "temp_max")
 
 
-@query(
-    "W1 K2 K5 V17",
-    f"""select bidding_zone, date_key, min(price) as price_min, max(price) as price_max, {rounded('avg(price)', 4)} as price_avg
-    from (select bidding_zone, date_key, price_eur_mwh + case when day(date_key) = 12 then 1000 else 0 end as price,
-              row_number() over (partition by bidding_zone, "timestamp" order by price_eur_mwh) as copy
-          from raw_energy_price where bidding_zone is not null)
-    where copy = 1 group by bidding_zone, date_key""",
-)
-def corrected_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One day is loaded again with other prices: the satellite keeps both readings, the fact shows the new ones."""
+def _prices_of_builds(spark: SparkSession, sf_dir: str, label: str, added: list[int]) -> DataFrame:
+    """Daily prices after a build of all readings and one more for each number added to the readings of the 12th, 40 days apart."""
     raw = b.raw_energy_price(spark, sf_dir).where("bidding_zone is not null")
     raw = raw.groupBy("bidding_zone", "timestamp", "date_key", "hour", "_source_file", "_loaded_at").agg(
         F.min_by("price_eur_mwh", F.struct(F.col("price_eur_mwh").isNull(), "price_eur_mwh")).alias("price_eur_mwh")
     )
     raw = raw.select("timestamp", "date_key", "hour", "bidding_zone", "price_eur_mwh", "_source_file", "_loaded_at")
-    root = scratch_path(spark, "corrected")
-    corrected = raw.where(F.dayofmonth("date_key") == 12).withColumn("price_eur_mwh", F.col("price_eur_mwh") + 1000)
-    corrected = corrected.withColumn("_loaded_at", F.col("_loaded_at") + F.expr("interval 40 days"))
-    for rows in (raw, corrected):
+    root = scratch_path(spark, label)
+    loads = [raw]
+    for number, more in enumerate(added, 1):
+        corrected = raw.where(F.dayofmonth("date_key") == 12).withColumn("price_eur_mwh", F.col("price_eur_mwh") + more)
+        loads.append(corrected.withColumn("_loaded_at", F.col("_loaded_at") + F.expr(f"interval {40 * number} days")))
+    for rows in loads:
         path = table_path(root, "raw", "energy_price_hourly")
         sinks.replace_slices(spark, rows, path, RAW_PARTITIONS["energy_price_hourly"], RAW_SLICES["energy_price_hourly"])
         warehouse.build(spark, root, b.EVENTS_AS_OF, correctable=True)
@@ -82,6 +76,31 @@ def corrected_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.join(hub, "price_zone_hk").select("bidding_zone", "date_key", "price_min", "price_max", "price_avg")
 
 
+@query(
+    "W1 K2 K5 V17",
+    f"""select bidding_zone, date_key, min(price) as price_min, max(price) as price_max, {rounded('avg(price)', 4)} as price_avg
+    from (select bidding_zone, date_key, price_eur_mwh + case when day(date_key) = 12 then 1000 else 0 end as price,
+              row_number() over (partition by bidding_zone, "timestamp" order by price_eur_mwh) as copy
+          from raw_energy_price where bidding_zone is not null)
+    where copy = 1 group by bidding_zone, date_key""",
+)
+def corrected_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day is loaded again with other prices: the satellite keeps both readings, the fact shows the new ones."""
+    return _prices_of_builds(spark, sf_dir, "corrected", [1000])
+
+
+@query(
+    "W1 K2 K5 V17",
+    f"""select bidding_zone, date_key, min(price_eur_mwh) as price_min, max(price_eur_mwh) as price_max, {rounded('avg(price_eur_mwh)', 4)} as price_avg
+    from (select bidding_zone, date_key, price_eur_mwh, row_number() over (partition by bidding_zone, "timestamp" order by price_eur_mwh) as copy
+          from raw_energy_price where bidding_zone is not null)
+    where copy = 1 group by bidding_zone, date_key""",
+)
+def prices_corrected_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One day is loaded with other prices and then with the first ones again: the fact shows the first ones."""
+    return _prices_of_builds(spark, sf_dir, "corrected-back", [1000, 0])
+
+
 @query(
     "V18 K3",
     """select chart_type, count(*) as entries from (select distinct chart_date, position, track_name, artist_name, streams, region,
@@ -90,3 +109,24 @@ def corrected_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def entries_per_chart_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every different row of the raw charts is an entry of the fact."""
     return fact_chart_entry(spark, sf_dir).groupBy("chart_type").agg(F.count("*").alias("entries"))
+
+
+_ENTRY = "chart_date, position, track_name, artist_name, {} as streams, region, chart_type, trend, url from raw_charts where chart_date >= date '1995-03-01' and chart_date < date '1995-04-01'"
+
+
+@query(
+    "V18 K3",
+    f"""select chart_type, count(*) as entries from (select {_ENTRY.format('streams')} union select {_ENTRY.format('streams + 1')}) group by chart_type""",
+)
+def chart_entries_in_two_builds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second file brings a month's entries with other streams: every different row is an entry, whichever build it came in."""
+    root = scratch_path(spark, "two-chart-builds")
+    month = F.trunc("chart_date", "month") == F.lit("1995-03-01").cast("date")
+    first = b.raw_charts(spark, sf_dir).where(month).withColumn("_source_file", F.lit("first.csv"))
+    second = first.withColumns({"streams": F.col("streams") + 1, "_source_file": F.lit("second.csv")})
+    for rows in (first, second):
+        path = table_path(root, "raw", "spotify_charts")
+        sinks.replace_slices(spark, rows, path, RAW_PARTITIONS["spotify_charts"], RAW_SLICES["spotify_charts"])
+        warehouse.build(spark, root, b.EVENTS_AS_OF)
+    entries = read_table(spark, root, "business_vault", "fact_chart_entry")
+    return entries.groupBy("chart_type").agg(F.count("*").alias("entries"))

@@ -270,3 +270,32 @@ def test_a_torn_document_stops_the_load(spark, tmp_path):
     (landed / "a.json").write_text('{"query_date": "2024-01-01", "source": "db2", "row_count": 2, "data": [{"schema_name": "A"}]}')
     with pytest.raises(ValueError, match="a.json"):
         raw_loads.load_query_result(spark, str(tmp_path / "root"), "db2_tables", str(landed))
+
+
+def corrected(spark, root, loads):
+    """The price fact after each build of (price, load day), with the rows of the satellite at the end."""
+    found = []
+    for price, day in loads:
+        load(spark, root, "energy_price_hourly", [(ts(30), ts(30).date(), 0, "AT", price, "f.json", ts(day))])
+        build(spark, root, AS_OF, correctable=True)
+        hourly, daily = (read_table(spark, root, "business_vault", f"fact_energy_price_{name}").collect() for name in ("hourly", "daily"))
+        assert [row.price_eur_mwh for row in hourly] == [row.price_min for row in daily]
+        found += [row.price_eur_mwh for row in hourly]
+    return found, read_table(spark, root, "data_vault", "s_energy_price_hourly").count()
+
+
+def test_a_reading_that_is_corrected_back(spark, tmp_path):
+    """A, B, A, loaded twice at the end."""
+    loads = [(1.0, 41), (2.0, 42), (1.0, 43), (1.0, 43)]
+    assert corrected(spark, str(tmp_path), loads) == ([1.0, 2.0, 1.0, 1.0], 3)
+
+
+def test_chart_entries_of_a_later_build(spark, tmp_path):
+    """Equal in all but streams: an entry of its own, also when it comes later; a row that is there already is not."""
+    root, rows = str(tmp_path), charts()[:2]
+    load(spark, root, "spotify_charts", rows)
+    build(spark, root, AS_OF)
+    load(spark, root, "spotify_charts", [(*row[:4], 7, *row[5:9], "later.csv", ts(10)) for row in rows] + [(*row[:9], "later.csv", ts(10)) for row in rows])
+    build(spark, root, AS_OF)
+    assert read_table(spark, root, "data_vault", "s_chart_entry").count() == 4
+    assert read_table(spark, root, "business_vault", "fact_chart_entry").count() == 4
