@@ -1,15 +1,16 @@
 """Which partitions of a table have changed since a model last read it.
 
-The state of a table is one row per partition: its number of rows and its newest load time. A model remembers the state it has read
-in a small table of its own, written after its load has succeeded; a run that fails reads the same partitions again. There is no watermark, so rows that
-arrive late, with an old load time or for an old day, are found like any others.
+The state of a table is one row per partition: its number of rows, its newest load time and a hash of its content, in which the order of the
+rows does not show. A model remembers the state it has read in a small table of its own, written after its load has succeeded; a run that fails
+reads the same partitions again. There is no watermark, so rows that arrive late, with an old load time or for an old day, are found like any
+others, and so are other values under the same load time.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from layerloom.operators.matching import null_safe_join
 from layerloom.sources.tables import table_exists
@@ -19,9 +20,15 @@ NAMED = 1000
 
 
 def state_of(table: DataFrame, partition: str | None, load: str) -> DataFrame:
-    """part, rows, newest. Only the partition and load columns are read."""
+    """part, rows, newest, content. All columns are read; only one row per partition and task is shuffled."""
     part = F.col(partition).cast("string") if partition else F.lit("whole table")
-    return table.groupBy(part.alias("part")).agg(F.count("*").alias("rows"), F.max(load).alias("newest"))
+    return table.groupBy(part.alias("part")).agg(F.count("*").alias("rows"), F.max(load).alias("newest"), content_of(table).alias("content"))
+
+
+def content_of(table: DataFrame) -> Column:
+    """The sum of the rows' hashes. A hash skips NULLs, so which columns are NULL is hashed as well."""
+    columns = [F.col(name) for name in sorted(table.columns)]
+    return F.sum(F.xxhash64(*columns, *[column.isNull() for column in columns]).cast("decimal(20,0)"))
 
 
 @dataclass
@@ -43,7 +50,7 @@ class Delta:
         self.changed = self.state.select("part")
         if not self.first:
             known = self.spark.read.schema(self.state.schema).parquet(self.book)
-            self.changed = null_safe_join(self.state, known, ["part", "rows", "newest"], "left_anti").select("part")
+            self.changed = null_safe_join(self.state, known, ["part", "rows", "newest", "content"], "left_anti").select("part")
         self.parts = [row.part for row in self.changed.limit(NAMED + 1).collect()]
 
     @property

@@ -290,6 +290,24 @@ def test_a_reading_that_is_corrected_back(spark, tmp_path):
     assert corrected(spark, str(tmp_path), loads) == ([1.0, 2.0, 1.0, 1.0], 3)
 
 
+def test_a_slice_that_is_loaded_again_with_the_same_load_time(spark, tmp_path):
+    """Other values, as many rows, the same load time: the last ones count, as in a build from scratch. Loaded again, nothing is new."""
+    loads = [(1.0, 41), (2.0, 41), (2.0, 41), (1.0, 40)]
+    assert corrected(spark, str(tmp_path), loads) == ([1.0, 2.0, 2.0, 1.0], 3)
+
+
+def test_a_correction_older_than_another_zones_load(spark, tmp_path):
+    """Neither the number of rows nor the newest load time of the day changes."""
+    root = str(tmp_path)
+    row = (ts(30), ts(30).date(), 0)
+    load(spark, root, "energy_price_hourly", [(*row, "AT", 1.0, "a", ts(41)), (*row, "DE-LU", 5.0, "d", ts(45))])
+    build(spark, root, AS_OF, correctable=True)
+    load(spark, root, "energy_price_hourly", [(*row, "AT", 2.0, "a", ts(43))])
+    build(spark, root, AS_OF, correctable=True)
+    for name in ("fact_energy_price_daily", "fact_energy_price_monthly"):
+        assert sorted(r.price_min for r in read_table(spark, root, "business_vault", name).collect()) == [2.0, 5.0]
+
+
 def test_chart_entries_of_a_later_build(spark, tmp_path):
     """Equal in all but streams: an entry of its own, also when it comes later; a row that is there already is not."""
     root, rows = str(tmp_path), charts()[:2]
