@@ -171,7 +171,8 @@ def fit(
 def train(texts: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL, terms=IDENTITY_TERMS) -> Model:
     """Fit on at most ``per_label`` rows of each label. ``texts``: doc_id, text; ``labels``: doc_id, toxic.
 
-    A document labelled twice counts as toxic if any label says so. The sample's feature hashes, not its texts, reach the driver.
+    A document labelled twice counts as toxic if any label says so. Of an id with several rows one text is learnt from, that with the smallest
+    hash, chosen in the tasks that read them. The sample's feature hashes, not its texts, reach the driver.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     usable = usable.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -186,7 +187,9 @@ def train(texts: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
             yield pd.DataFrame({"doc_id": batch.doc_id, "toxic": batch.toxic, "features": [_feature_array(w).tobytes() for w in words],
                                 "swapped": [None if o is None else o.tobytes() for o in other]})
 
-    rows = texts.join(F.broadcast(sample), "doc_id").mapInPandas(extract, "doc_id long, toxic int, features binary, swapped binary")
+    chosen = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
+    sampled = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(chosen.alias("text"))
+    rows = sampled.mapInPandas(extract, "doc_id long, toxic int, features binary, swapped binary")
     found = rows.toPandas().sort_values(["doc_id", "features"], kind="stable")
     unpack = lambda data: None if data is None else np.frombuffer(data, np.int64)
     return fit([unpack(f) for f in found.features], found.toxic.to_numpy(), [unpack(s) for s in found.swapped])

@@ -156,6 +156,16 @@ def test_toxicity_rows(spark):
     assert kept.columns == df.columns and kept.count() == sum(1 - r.predicted for r in found)
 
 
+def test_toxicity_learns_from_one_row_per_id(spark, monkeypatch):
+    """An id with very many rows, copies and others, is one row of the sample."""
+    rows, hot = sentences(200, 3, 0.1), 1
+    texts = [(i, t) for i, t, _ in rows] + [(hot, rows[0][1])] * 500 + [(hot, f"text {k % 7}") for k in range(500)]
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda arrays, *_: seen.append(len(arrays)))
+    toxicity.train(spark.createDataFrame(texts, "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+    assert seen == [200]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     df = spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string")
     none = spark.createDataFrame([], "doc_id long, toxic int")
