@@ -25,8 +25,10 @@ SAMPLE = 2048
 ROWS_PER_TASK = 4096
 QUERIES_PER_BLOCK = 512
 FIRST_CELLS = 8  # cells per query in the first wave
-# Slack of float distances; a wider annulus only reads more.
+# Slack of float distances, at least; a wider annulus only reads more.
 MARGIN = 1e-6
+# Scores from here on do not fit their column.
+TOO_LARGE = 2.0**63 * (1 - 1e-9)
 CELL = ["pivot", "ring", "salt"]
 
 
@@ -47,6 +49,12 @@ def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return a.astype(np.int64) @ b.astype(np.int64).T
 
 
+def _margin(top: float, size: int) -> float:
+    """Slack of distances between vectors of square length ``top``. A square is off by a few roundings of ``top`` for each component, a
+    distance by the root of that at most; own distance, distance to the pivot and reach share two margins."""
+    return max(MARGIN, 2 * float(np.sqrt(8 * np.finfo(float).eps * (size + 16) * top)))
+
+
 def _choose_pivots(points: np.ndarray, n: int) -> np.ndarray:
     """Far-apart points: each next one is the farthest from those chosen."""
     chosen, far = [0], np.full(len(points), np.inf)
@@ -69,17 +77,22 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
 
     Defined results: vectors that are null or hold null or non-finite components, and null ids, take no part. Shorter vectors count as padded with zeros. Rows
     that repeat an id are candidates each, and are one query (of the smallest vector) each id. With fewer than k candidates all are returned; an
-    empty table gives no rows. Components beyond 2^31 / 256 are not supported. Other columns are not read.
+    empty table gives no rows. A vector whose score with itself does not fit a long is an error: its scores would not be exact. Other columns are
+    not read.
     """
     spark = table.sparkSession
     rows = table.where(V.usable(vector_column) & F.col(id_column).isNotNull()).withColumn("__query", F.coalesce(is_query, F.lit(False)))
     rows = rows.select(F.col(id_column).cast("long").alias("vec_id"), F.col(vector_column).cast("array<double>").alias("v"), "__query")
     size = V.longest(rows, "v")
-    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.floor(x * SCALE) * F.floor(x * SCALE))
+    square = F.aggregate("v", F.lit(0.0), lambda s, x: s + F.floor(x * SCALE).cast("double") * F.floor(x * SCALE).cast("double"))
     top = rows.agg(F.max(square)).first()[0]
     if top is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    if top >= TOO_LARGE:
+        raise ValueError(f"a vector has the square length {top:g}: integer scores of 2^63 or more do not fit a long")
     size = max(size, 1)
+    margin = _margin(top, size)
+    stored = np.dtype("<i4" if top < 2.0**61 else "<i8")  # no component is longer than its vector
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vec_id", "v").toPandas()
     points, sample_ids = _integers(sample.v, size), sample.vec_id.to_numpy()
 
@@ -95,12 +108,12 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
             far = _distances(x, height(x), pivots)
             near = far.argmin(1)
             distance = far[np.arange(len(x)), near]
-            packed = [r.tobytes() for r in x.astype("<i4")]
+            packed = [r.tobytes() for r in x.astype(stored)]
             ring = np.minimum(distance // width, RINGS - 1).astype(np.int32)  # the last ring is open
             yield pd.DataFrame({"pivot": near.astype(np.int32), "ring": ring, "distance": distance, "vec_id": batch.vec_id, "x": packed})
 
     def unpacked(data) -> np.ndarray:
-        return np.frombuffer(b"".join(data), "<i4").reshape(len(data), size).astype(float)
+        return np.frombuffer(b"".join(data), stored).reshape(len(data), size).astype(float)
 
     indexed = rows.mapInPandas(index, "pivot int, ring int, distance double, vec_id long, x binary")
     indexed = written(indexed.withColumn("place", F.monotonically_increasing_id()), "topk-index")
@@ -124,19 +137,19 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
         scores = _products(x, points).astype(float)
         scores[own[:, None] == sample_ids[None]] = -np.inf
         bound = np.sort(scores, axis=1)[:, -k] if len(points) >= k else np.full(len(x), -np.inf)
-        return pd.DataFrame({"block": part.block.iloc[:1], "own": [own.tolist()], "bounds": [bound.astype("<f8").tobytes()], "qs": [x.astype("<i4").tobytes()]})
+        return pd.DataFrame({"block": part.block.iloc[:1], "own": [own.tolist()], "bounds": [bound.astype("<f8").tobytes()], "qs": [x.astype(stored).tobytes()]})
 
     queries = rows.where("__query").groupBy("vec_id").agg(F.min("v").alias("v"))
     n_blocks = max(1, -(-queries.count() // QUERIES_PER_BLOCK))
     blocks = queries.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(7)), F.lit(n_blocks)).cast("int"))
     blocks = written(blocks.groupBy("block").applyInPandas(pack_block, "block int, own array<long>, bounds binary, qs binary"), "topk-queries")
 
-    low, high = cells.low.to_numpy() - MARGIN, cells.high.to_numpy() + MARGIN
+    low, high = cells.low.to_numpy() - margin, cells.high.to_numpy() + margin
     which = cells["pivot"].to_numpy()
 
     def reach(x: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         """Distance within which a vector of at least the bounding score lies."""
-        return np.sqrt(np.maximum((x**2).sum(1) + top - 2 * bounds, 0)) + MARGIN
+        return np.sqrt(np.maximum((x**2).sum(1) + top - 2 * bounds, 0)) + margin
 
     def gaps(x: np.ndarray) -> np.ndarray:
         """Least distance of any vector of a cell from a query (a query's last coordinate is 0)."""
@@ -146,7 +159,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
     def wanted(block: pd.DataFrame, first: bool) -> Iterator[pd.DataFrame]:
         """(cell, block, query places): the nearest cells in the first wave, else the others that the bound does not rule out."""
         for row in block.itertuples():
-            x, bounds = np.frombuffer(row.qs, "<i4").reshape(-1, size).astype(float), np.frombuffer(row.bounds, "<f8")
+            x, bounds = np.frombuffer(row.qs, stored).reshape(-1, size).astype(float), np.frombuffer(row.bounds, "<f8")
             gap = gaps(x)
             nearest = np.zeros(gap.shape, bool)
             order = np.argsort(gap, axis=1, kind="stable")[:, :FIRST_CELLS]
@@ -164,12 +177,12 @@ def top_k(table: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
         for batch in batches:
             for row in batch.itertuples():
                 places = np.frombuffer(row.places, "<i4")
-                x = np.frombuffer(row.qs, "<i4").reshape(-1, size)[places].astype(float)
+                x = np.frombuffer(row.qs, stored).reshape(-1, size)[places].astype(float)
                 own, bounds = np.asarray(row.own, np.int64)[places], np.frombuffer(row.bounds, "<f8")[places]
                 ids, far = np.frombuffer(row.ids, "<i8"), np.frombuffer(row.far, "<f8")
-                ys = np.frombuffer(row.xs, "<i4").reshape(-1, size).astype(float)
+                ys = np.frombuffer(row.xs, stored).reshape(-1, size).astype(float)
                 to, radius = _distances(x, np.zeros(len(x)), pivots[[row.pivot]])[:, 0], reach(x, bounds)
-                start, stop = np.searchsorted(far, to - radius - MARGIN), np.searchsorted(far, to + radius + MARGIN, "right")
+                start, stop = np.searchsorted(far, to - radius - margin), np.searchsorted(far, to + radius + margin, "right")
                 found = []
                 for i in range(len(x)):
                     near = slice(start[i], stop[i])

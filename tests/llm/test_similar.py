@@ -127,6 +127,28 @@ def test_top_k_defined_results(spark):
     assert topk.top_k(df.limit(1), F.col("vec_id") == 0).count() == 0
 
 
+@pytest.mark.parametrize("long", [9e6, 1.1e7])
+def test_top_k_with_a_very_long_vector(spark, long):
+    """Beyond 2^31 in integers, and beside it ordinary vectors, of which the nearest must be found all the same."""
+    rng = np.random.default_rng(5)
+    data = [(i, v.tolist()) for i, v in enumerate(rng.normal(0, 1, (120, 6)))] + [(500, [long, 1.0, 0.0, 0.0, 0.0, 0.5])]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    found = sorted(tuple(r) for r in topk.top_k(df, F.col("vec_id") % 20 == 0, 7).collect())
+    whole = [(i, [int(np.floor(256 * c)) for c in v]) for i, v in data]
+    expected = []
+    for q, x in whole:
+        if q % 20 == 0:
+            best = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in whole if i != q)[:7]
+            expected += [(q, rank + 1, i, -s) for rank, (s, i) in enumerate(best)]
+    assert found == sorted(expected)
+
+
+def test_top_k_stops_where_scores_do_not_fit(spark):
+    df = spark.createDataFrame([(0, [2e7, 0.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(ValueError, match="do not fit"):
+        topk.top_k(df, F.col("vec_id") == 0)
+
+
 def test_lattice_links_equal_brute_force(spark):
     data = vectors()
     df = spark.createDataFrame([*data, (2, data[90][1])], SCHEMA).repartition(3).withColumns({"v": F.lit(1), "node": F.lit(2), "cell": F.lit(""), "copies": F.lit(0)})
