@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from layerloom.llm import lattice, licenses, minhash, packing, recompression, suffixes, topk, toxicity, transducer, urls
+from layerloom.llm import lattice, licenses, minhash, packing, ranking, recompression, secrets, suffixes, topk, toxicity, transducer, urls, whitening
 from layerloom.llm.common import prepared, read
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -59,6 +59,18 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.round_trip(read(prepared(spark), sf_dir, "documents"), TOKENIZER)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.ranked_search(read(prepared(spark), sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(prepared(spark), sf_dir, "embeddings"))
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read(prepared(spark), sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,5 +84,8 @@ QUERIES = {
         op8_url_filters,
         op9_recompression_dedup,
         op10_bpe_round_trip,
+        op11_ranked_search,
+        op12_whitening,
+        op13_secret_scan,
     )
 }
