@@ -18,12 +18,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from layerloom.llm.common import whole_text
+from layerloom.llm.common import whole_text, written
 from layerloom.llm.shingles import mixed
 
 # Bounds of the sample and the model.
 SAMPLE_PER_LABEL = 3000
 FEATURES = 1024
+ROWS_AT_ONCE = 512  # of the sample, as doubles
 BEGINNINGS = (4, 5, 6)
 
 # Identity terms by kind. A swap takes the next term of the same kind.
@@ -110,9 +111,16 @@ def xlogx(n: np.ndarray, above: np.ndarray, below: np.ndarray) -> np.ndarray:
 
 
 def fit(
-    texts: list[np.ndarray], labels: np.ndarray, swaps: list[np.ndarray | None], features: int = FEATURES, fairness: float = 10.0, ridge: float = 1e-3
+    texts: list[np.ndarray],
+    labels: np.ndarray,
+    swaps: list[np.ndarray | None],
+    features: int = FEATURES,
+    fairness: float = 10.0,
+    ridge: float = 1e-3,
+    among: int | None = None,
 ) -> Model:
-    """Logistic regression on the most telling features, with the swap penalty; Newton steps. ``texts``: feature hashes of each."""
+    """Logistic regression on the most telling features, with the swap penalty; Newton steps. ``texts``: feature hashes of each; ``among``: how many
+    features there were, if these are a choice already."""
     labels = np.asarray(labels, float)
     n_pos, n_neg = labels.sum(), len(labels) - labels.sum()
     if not n_pos or not n_neg:  # one label only: its smoothed share
@@ -128,11 +136,12 @@ def fit(
     parts = ((pos, n_pos, pos + neg), (neg, n_neg, pos + neg), (n_pos - pos, n_pos, total - pos - neg), (n_neg - neg, n_neg, total - pos - neg))
     strength = 2 * sum(xlogx(seen, seen * total, np.maximum(size * margin, 1e-9)) for seen, size, margin in parts)
     chosen = np.argsort(-strength, kind="stable")[:features]
-    chosen = np.sort(chosen[strength[chosen] > 2 * np.log(len(names))])
+    chosen = np.sort(chosen[strength[chosen] > 2 * np.log(among or len(names))])
     column = np.full(len(names), -1)
     column[chosen] = np.arange(len(chosen))
-    x = np.zeros((len(texts), len(chosen) + 1))
+    x = np.zeros((len(texts), len(chosen) + 1), np.uint8)  # a byte each; doubles exist for a block of rows at a time
     x[:, -1] = 1
+    blocks = [slice(i, i + ROWS_AT_ONCE) for i in range(0, len(x), ROWS_AT_ONCE)]
     here = column[codes] >= 0
     x[owner[here], column[codes[here]]] = 1
     kept = names[chosen]
@@ -141,24 +150,32 @@ def fit(
         if other is not None:
             row = np.zeros(len(chosen) + 1)
             row[:-1][np.isin(kept, other)] = 1
-            changes.append(row - x[i] * (np.arange(len(chosen) + 1) < len(chosen)))
+            row -= x[i]
+            row[-1] = 0
+            changes.append(row.astype(np.int8))
     weight = np.where(labels == 1, 0.5 / n_pos, 0.5 / n_neg) * len(labels)
     weight /= len(labels)
     penalty = np.eye(len(chosen) + 1) * ridge
     penalty[-1, -1] = 1e-6
-    if changes:
-        d = np.asarray(changes)
-        penalty += fairness * (d.T @ d) / len(d)
+    for i in range(0, len(changes), ROWS_AT_ONCE):
+        d = np.asarray(changes[i : i + ROWS_AT_ONCE], float)
+        penalty += fairness * (d.T @ d) / len(changes)
     beta = np.zeros(len(chosen) + 1)
 
+    def raw_scores(b: np.ndarray) -> np.ndarray:
+        return np.concatenate([x[here].astype(float) @ b for here in blocks])
+
     def loss(b: np.ndarray) -> float:
-        raw = x @ b
+        raw = raw_scores(b)
         return float(weight @ (np.logaddexp(0, raw) - labels * raw) + 0.5 * b @ penalty @ b)
 
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (weight * (p - labels)) + penalty @ beta
-        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + penalty
+        p = 1 / (1 + np.exp(-np.clip(raw_scores(beta), -30, 30)))
+        gradient, hessian = penalty @ beta, penalty.copy()
+        for here in blocks:
+            own = x[here].astype(float)
+            gradient += own.T @ (weight * (p - labels))[here]
+            hessian += (own * (weight * p * (1 - p))[here, None]).T @ own
         step, size = np.linalg.solve(hessian + 1e-9 * np.eye(len(beta)), gradient), 1.0
         while size > 1e-4 and loss(beta - size * step) > loss(beta):
             size /= 2
@@ -172,7 +189,7 @@ def train(texts: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
     """Fit on at most ``per_label`` rows of each label. ``texts``: doc_id, text; ``labels``: doc_id, toxic.
 
     A document labelled twice counts as toxic if any label says so. Of an id with several rows one text is learnt from, that with the smallest
-    hash, chosen in the tasks that read them. The sample's feature hashes, not its texts, reach the driver.
+    hash, chosen in the tasks that read them. Features are counted and chosen in Spark; of each sampled row only its chosen features reach the driver.
     """
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     usable = usable.join(texts.select("doc_id").distinct(), "doc_id", "left_semi")
@@ -184,15 +201,40 @@ def train(texts: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL
         for batch in batches:
             words = [words_in(t) for t in batch.text]
             other = [_feature_array(swapped(w, terms)) if w & every else None for w in words]
-            yield pd.DataFrame({"doc_id": batch.doc_id, "toxic": batch.toxic, "features": [_feature_array(w).tobytes() for w in words],
-                                "swapped": [None if o is None else o.tobytes() for o in other]})
+            yield pd.DataFrame({"doc_id": batch.doc_id, "toxic": batch.toxic, "features": [_feature_array(w) for w in words], "swapped": other})
 
     chosen = F.min_by("text", F.struct(F.xxhash64("text"), "text"))
     sampled = texts.join(F.broadcast(sample), "doc_id").groupBy("doc_id", "toxic").agg(chosen.alias("text"))
-    rows = sampled.mapInPandas(extract, "doc_id long, toxic int, features binary, swapped binary")
-    found = rows.toPandas().sort_values(["doc_id", "features"], kind="stable")
+    rows = written(sampled.mapInPandas(extract, "doc_id long, toxic int, features array<long>, swapped array<long>"), "toxicity-sample")
+    telling, among = _telling(rows, FEATURES)
+
+    def restrict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keep = lambda a: None if a is None else np.intersect1d(a, telling, assume_unique=True).tobytes()
+        for batch in batches:
+            yield batch.assign(features=[keep(a) for a in batch.features], swapped=[keep(a) for a in batch.swapped])
+
+    found = rows.mapInPandas(restrict, "doc_id long, toxic int, features binary, swapped binary").toPandas()
+    found = found.sort_values(["doc_id", "features"], kind="stable")
     unpack = lambda data: None if data is None else np.frombuffer(data, np.int64)
-    return fit([unpack(f) for f in found.features], found.toxic.to_numpy(), [unpack(s) for s in found.swapped])
+    return fit([unpack(f) for f in found.features], found.toxic.to_numpy(), [unpack(s) for s in found.swapped], FEATURES, 10.0, 1e-3, among)
+
+
+def _telling(rows: DataFrame, features: int) -> tuple[np.ndarray, int]:
+    """The features of the sample with the highest likelihood-ratio statistic against the label, sorted, and the number of all. Counted in Spark: rows may
+    hold very many features."""
+    n_pos, n = rows.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
+    counts = rows.select("toxic", F.explode("features").alias("feature")).groupBy("feature")
+    counts = counts.agg(F.sum("toxic").alias("pos"), F.sum(1 - F.col("toxic")).alias("neg"))
+    pos, neg, seen = F.col("pos"), F.col("neg"), F.col("pos") + F.col("neg")
+
+    def part(k, size: int, margin):
+        below = F.greatest(margin * size, F.lit(1e-9))
+        return F.when(k > 0, k * F.log(k * n / below)).otherwise(0.0)
+
+    strength = part(pos, n_pos, seen) + part(neg, n - n_pos, seen) + part(n_pos - pos, n_pos, n - seen) + part(n - n_pos - neg, n - n_pos, n - seen)
+    counts = written(counts.select("feature", strength.alias("strength")), "toxicity-features")
+    best = counts.orderBy(F.desc("strength"), "feature").limit(features).select("feature").collect()
+    return np.sort(np.array([r.feature for r in best], dtype=np.int64)), counts.count()
 
 
 def score_documents(texts: DataFrame, model: Model) -> DataFrame:
