@@ -22,7 +22,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from layerloom.llm.common import parts_for, written
+from layerloom.llm.common import parts_for, whole_text, written
 from layerloom.llm.repeats import DOCUMENT, keyed_texts, merged, restricted, settle
 from layerloom.llm.shingles import mixed
 
@@ -286,20 +286,22 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text_column:
     A character that loses some of its bytes goes. A column n_chars, if there, is counted anew. Rows whose text loses nothing are as before (a null text
     stays null). Other defined results: see ``digests``.
     """
-    own = documents.withColumn("text_key", F.xxhash64(F.coalesce(F.col(text_column).cast("string"), F.lit("")), F.col(id_column).cast("long")))
+    columns = [f"own_{i}" for i in range(len(documents.columns))]  # own names cannot clash with what is joined
+    own = documents.toDF(*columns)
+    text, doc_id = (columns[documents.columns.index(c)] for c in (text_column, id_column))
     ranges = repeated_ranges(keyed_texts(documents, id_column, text_column), length).select("text_key", "ranges")
-    marked = own.join(ranges, "text_key", "left").drop("text_key")
-    columns = documents.columns
+    marked = own.withColumn("text_key", F.xxhash64(whole_text(text), F.col(doc_id).cast("long"))).join(ranges, "text_key", "left")
 
     @F.pandas_udf("string")
     def cut(texts: pd.Series, found: pd.Series) -> pd.Series:
         kept = [t if r is None else _cut_out(t.encode("utf-8", "surrogatepass"), r)[1].decode("utf-8", "ignore") for t, r in zip(texts, found)]
         return pd.Series(kept, dtype=object)
 
-    result = marked.withColumn(text_column, cut(F.col(text_column).cast("string"), "ranges"))
-    if "n_chars" in columns:
-        result = result.withColumn("n_chars", F.when(F.col("ranges").isNull(), F.col("n_chars")).otherwise(F.length(text_column).cast("long")))
-    return result.select(*columns)
+    result = marked.withColumn(text, cut(F.col(text).cast("string"), "ranges"))
+    if "n_chars" in documents.columns:
+        n_chars = columns[documents.columns.index("n_chars")]
+        result = result.withColumn(n_chars, F.when(F.col("ranges").isNull(), F.col(n_chars)).otherwise(F.length(text).cast("long")))
+    return result.select(*columns).toDF(*documents.columns)
 
 
 def digests(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH) -> DataFrame:
