@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from layerloom.llm import shingles as S
 from layerloom.llm.common import parts_for, whole_text, written
@@ -97,11 +97,12 @@ def _unpacked(data: bytes) -> np.ndarray:
     return raw.reshape(-1).view("<u8")
 
 
-def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """doc_id and ``held``, the elements of its weighted set, for the wanted ids. Few ids are sent to the documents, which then stay where they are;
-    beyond the bound both sides are shuffled."""
-    ids = written(wanted.distinct(), "minhash-wanted")
-    few = ids.count() <= IDS_SENT
+def _sets(documents: DataFrame, wanted: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
+    """rep and ``held``, the elements of its weighted set, for the wanted nodes. Each is read from the one document that stands for the text. Few nodes are sent to
+    the documents, which then stay where they are; beyond the bound both sides are shuffled."""
+    named = nodes.select("rep", F.col("first").alias("doc_id"), "copy").join(wanted.distinct(), "rep")
+    named = written(named, "minhash-wanted")
+    n = named.count()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in _slices(batches):
@@ -109,14 +110,15 @@ def _sets(documents: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
             cuts = np.searchsorted(owner, np.arange(1, len(batch)))
             small = [np.unique(x >> np.uint64(24)) for x in np.split(elements, cuts)]
             packed = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5].tobytes() for x in small]
-            yield pd.DataFrame({"doc_id": batch.doc_id, "held": packed})
+            yield pd.DataFrame({"rep": batch.rep, "held": packed})
 
-    chosen = documents.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi")
-    return written(chosen.select("doc_id", "text").mapInPandas(run, "doc_id long, held binary"), "minhash-sets")
+    chosen = documents.withColumn("copy", text_hash("text")).join(F.broadcast(named) if n <= IDS_SENT else named, ["doc_id", "copy"])
+    held = written(chosen.select("rep", "text").mapInPandas(run, "rep long, held binary"), "minhash-sets")
+    return held if held.count() == n else held.dropDuplicates(["rep"])  # repeated rows
 
 
 def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame:
-    """Those pairs (a, b) of ids whose weighted Jaccard similarity reaches the bound."""
+    """Those pairs (a, b) of nodes whose weighted Jaccard similarity reaches the bound."""
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -128,8 +130,8 @@ def _verified(pairs: DataFrame, held: DataFrame, similarity: float) -> DataFrame
                 good.append(common >= similarity * (len(x) + len(y) - common) and common > 0)
             yield batch.loc[good, ["a", "b"]]
 
-    first = held.select(F.col("doc_id").alias("a"), F.col("held").alias("held_a"))
-    second = held.select(F.col("doc_id").alias("b"), F.col("held").alias("held_b"))
+    first = held.select(F.col("rep").alias("a"), F.col("held").alias("held_a"))
+    second = held.select(F.col("rep").alias("b"), F.col("held").alias("held_b"))
     return pairs.join(second, "b").join(first, "a").mapInPandas(compare, "a long, b long")
 
 
@@ -182,7 +184,7 @@ def _within_homes(placed: DataFrame, held: DataFrame, similarity: float) -> Data
     homes = placed.groupBy("home").agg(F.count(F.lit(1)).alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
     homes = homes.where("low < high").select("home", F.ceil(F.col("n") / MEMBERS_PER_BLOCK).cast("int").alias("blocks"))
     rows = placed.join(homes, "home").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    rows = rows.join(held.withColumnRenamed("doc_id", "rep"), "rep")
+    rows = rows.join(held, "rep")
     sent = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select("home", "rep", "component", "held", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
     parts = 4 * parts_for(placed)
@@ -191,7 +193,6 @@ def _within_homes(placed: DataFrame, held: DataFrame, similarity: float) -> Data
     def run(part: pd.DataFrame) -> pd.DataFrame:
         out: list[tuple[int, int]] = []
         for _, block in part.groupby(["home", "low", "high"], sort=False):
-            block = block.drop_duplicates("rep")
             if block.component.nunique() > 1:
                 out += _spanning(block.rep.to_numpy(), block.component.to_numpy(), [_unpacked(h) for h in block.held], similarity)
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
@@ -199,30 +200,20 @@ def _within_homes(placed: DataFrame, held: DataFrame, similarity: float) -> Data
     return sent.groupBy("part").applyInPandas(run, "a long, b long")
 
 
-def near_duplicates(
-    documents: DataFrame,
-    id_column: str = "doc_id",
-    text_column: str = "text",
-    shingle: int = SHINGLE,
-    similarity: float = SIMILARITY,
-    bands: int = BANDS,
-    rows: int = ROWS,
-) -> DataFrame:
-    """One row per document: doc_id, class_id (the smallest id of its near-duplicate class), kept (whether it is that one).
+def text_hash(column: str) -> Column:
+    """The hash by which equal texts are known, as Python computes it too."""
+    return F.unhex(F.md5(F.col(column).cast("binary")))
 
-    Words are lower-cased and split at white space; the weight of a shingle is its number of occurrences.
 
-    Defined results: equal texts are one class. Null texts and texts without words are in no class but their own. Texts of fewer words than a
-    shingle are one shingle. Rows with equal ids count as one document with several texts: they get one row each, of the class of any. Rows
-    with null id are returned with null class and kept. An empty table gives no rows. Other columns are not read.
-    """
-    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
+def _classes(texts: DataFrame, shingle: int, similarity: float, bands: int, rows: int) -> tuple[DataFrame, DataFrame]:
+    """(every row's doc_id and copy, its text's hash; copy, first and root of every text with words and a known id). ``first`` is the smallest id that has the
+    text, ``root`` the (first, copy) that stands for the text's class: the smallest."""
     signed = written(_signed(texts, shingle, bands, rows), "minhash-signed")
     named = signed.where(F.col("doc_id").isNotNull() & (F.size("bands") > 0))
-    # Equal texts stand behind their smallest id, so a group of copies is one row from here on.
-    stand = written(named.groupBy("copy").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("rep")), "minhash-copies")
-    copies = named.select("copy", F.col("doc_id").alias("a")).join(stand.select("copy", F.col("rep").alias("b")), "copy")
-    copies = copies.where("a <> b").select("a", "b").distinct()
+    # Equal texts are one node, so a group of copies is one row from here on.
+    stand = named.groupBy("copy").agg(F.min_by("bands", "doc_id").alias("bands"), F.min("doc_id").alias("first"))
+    stand = written(stand.withColumn("rep", F.monotonically_increasing_id()), "minhash-copies")
+    nodes = stand.select("rep", "first", "copy")
 
     members = stand.select(F.explode("bands").alias("bucket"), "rep")
     shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -233,7 +224,7 @@ def near_duplicates(
     leader = written(ranked.groupBy("bucket").agg(best.alias("best")), "minhash-leaders")
     stars = members.join(leader, "bucket").select((-F.col("best.low")).alias("a"), F.col("rep").alias("b")).where("a <> b").distinct()
     stars = written(stars, "minhash-stars")
-    held = _sets(texts, stars.select(F.explode(F.array("a", "b")).alias("doc_id")), shingle)
+    held = _sets(texts, stars.select(F.explode(F.array("a", "b")).alias("rep")), nodes, shingle)
     links = written(_verified(stars, held, similarity), "minhash-links")
 
     # What the leaders left apart. A member's home is the leader of all its buckets with the most company; the members of a home, near copies of
@@ -255,25 +246,68 @@ def near_duplicates(
     across = across.where("ca < cb and ha <> hb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = links.unionByName(written(_verified(across, held, similarity), "minhash-more"))
 
-    found = components(links.unionByName(copies)).withColumnRenamed("node", "doc_id").withColumnRenamed("component", "class_id")
-    joined = signed.select("doc_id").join(found, "doc_id", "left")
+    own = nodes.join(components(links).withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    roots = own.groupBy("component").agg(F.min(F.struct("first", "copy")).alias("root"))
+    return signed.select("doc_id", "copy"), written(own.join(roots, "component").select("copy", "first", "root"), "minhash-classes")
+
+
+def near_duplicates(
+    documents: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    shingle: int = SHINGLE,
+    similarity: float = SIMILARITY,
+    bands: int = BANDS,
+    rows: int = ROWS,
+) -> DataFrame:
+    """One row per document: doc_id, class_id (the smallest id of its near-duplicate class), kept (whether it is that one).
+
+    Words are lower-cased and split at white space; the weight of a shingle is its number of occurrences.
+
+    Defined results: equal texts are one class. Null texts and texts without words are in no class but their own. Texts of fewer words than a
+    shingle are one shingle. Rows with equal ids count as one document with several texts: they get one row each, of the class of any. Rows
+    with null id are returned with null class and kept. An empty table gives no rows. Other columns are not read.
+    """
+    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
+    every, classes = _classes(texts, shingle, similarity, bands, rows)
+    alike = every.join(classes.select("copy", F.col("root.first").alias("root")), "copy").where("doc_id is not null")
+    found = written(alike.groupBy("doc_id").agg(F.min("root").alias("class_id"), F.max("root").alias("other")), "minhash-found")
+    several = found.where("class_id <> other or class_id > doc_id")
+    if several.limit(1).count():  # an id whose texts are of several classes joins them
+        joined = components(alike.select(F.col("doc_id").alias("a"), F.col("root").alias("b")).distinct())
+        found = joined.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
+    result = every.select("doc_id").join(found.select("doc_id", "class_id"), "doc_id", "left")
     class_id = F.coalesce("class_id", "doc_id")
-    return joined.select("doc_id", class_id.alias("class_id"), F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))
+    return result.select("doc_id", class_id.alias("class_id"), F.coalesce(class_id == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 def one_of_each_class(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``documents``, all columns, that stand for their near-duplicate class: those of the smallest id, and of an id that several rows
-    have, one row. Rows with null id stay."""
-    found = near_duplicates(documents, id_column, text_column)
-    dropped = written(found.where(~F.col("kept")).select(F.col("doc_id").alias("__dropped")).distinct(), "minhash-dropped")
-    own = F.col(id_column).cast("long")
-    few = dropped.count() <= IDS_SENT
-    kept = documents.join(F.broadcast(dropped) if few else dropped, own == F.col("__dropped"), "left_anti")
-    repeated = found.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    repeated = written(repeated.select(F.col("doc_id").alias("__repeated")), "minhash-repeated")
-    n = repeated.count()
-    if not n:
-        return kept
-    again = F.broadcast(repeated) if n <= IDS_SENT else repeated
-    once = kept.join(again, own == F.col("__repeated"), "left_semi").dropDuplicates([id_column])
-    return kept.join(again, own == F.col("__repeated"), "left_anti").unionByName(once)
+    """The rows of ``documents``, all columns, that stand for their near-duplicate class.
+
+    Defined results: rows are told apart by id and text. Of each class the row with the smallest id stays, and of several such rows with different texts the one
+    with the smallest hash. A row that resembles no other stays, whatever else has its id; null texts and texts without words resemble nothing. Of rows with equal id and
+    equal text one stays, the first by its columns written as JSON. Rows with null id stay. An empty table gives no rows; texts are read whole.
+    """
+    texts = documents.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text_column).alias("text"))
+    every, classes = _classes(texts, SHINGLE, SIMILARITY, BANDS, ROWS)
+    pairs = written(every.where("doc_id is not null").groupBy("doc_id", "copy").agg(F.count(F.lit(1)).alias("n")), "minhash-pairs")
+    judged = pairs.join(classes.select("copy", "root"), "copy", "left")
+    stays = F.coalesce((F.col("root.first") == F.col("doc_id")) & (F.col("root.copy") == F.col("copy")), F.lit(True))
+    judged = written(judged.select("doc_id", "copy", "n", stays.alias("stays")), "minhash-judged")
+    columns = [f"own_{i}" for i in range(len(documents.columns))]  # own names cannot clash with what is joined
+    own_id, own_text = (columns[documents.columns.index(c)] for c in (id_column, text_column))
+    own = documents.toDF(*columns).withColumns({"own_copy": F.unhex(F.md5(whole_text(own_text).cast("binary")))})
+
+    def where_listed(listed: DataFrame, how: str, rows: DataFrame) -> DataFrame:
+        listed = listed.select("doc_id", "copy")
+        few = listed.count() <= IDS_SENT
+        match = (F.col(own_id).cast("long") == F.col("doc_id")) & (F.col("own_copy") == F.col("copy"))
+        return rows.join(F.broadcast(listed) if few else listed, match, how)
+
+    kept = where_listed(judged.where(~F.col("stays")), "left_anti", own)
+    again = judged.where("stays and n > 1")
+    if again.limit(1).count():
+        whole = F.struct(*columns)
+        once = where_listed(again, "left_semi", kept).groupBy(own_id, "own_copy").agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+        kept = where_listed(again, "left_anti", kept).select(*columns).unionByName(once.select("row.*"))
+    return kept.select(*columns).toDF(*documents.columns)

@@ -61,10 +61,37 @@ def test_near_duplicates_defined_results(spark):
     found = sorted(minhash.near_duplicates(df).collect(), key=str)
     assert len(found) == 7
     assert {(r.doc_id, r.class_id, r.kept) for r in found} == {(5, 5, True), (9, 5, False), (None, None, True), (3, 3, True), (4, 4, True)}
-    assert sorted(str(r.doc_id) for r in minhash.one_of_each_class(df).collect()) == ["3", "4", "5", "None"]
+    stay = sorted((str(r.doc_id), str(r.text)) for r in minhash.one_of_each_class(df).collect())
+    assert stay == sorted([("3", "None"), ("4", ""), ("5", text), ("9", "other words entirely here now"), ("None", text)])
     assert minhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_links_of_an_id_with_several_texts(spark):
+    """Each text of an id is compared by itself, in blocks too; rows that resemble nothing stay."""
+    rng = random.Random(11)
+    base = [f"q{rng.randrange(400)}" for _ in range(60)]
+
+    def altered(n):
+        words = list(base)
+        for _ in range(n):
+            words[rng.randrange(len(words))] = f"z{rng.randrange(10**6)}"
+        return " ".join(words)
+
+    data = [(7 if i % 3 == 0 else 100 + i, altered(i % 4)) for i in range(60)]
+    data += [(7, f"alone {' '.join(f'u{j}x{k}' for k in range(9))}") for j in range(5)] + [(8, None), (8, ""), (8, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string").withColumns({"copy": F.lit("c"), "n": F.lit(0), "stays": F.lit(False), "root": F.lit(1)})
+    sets = weighted_sets([t for _, t in data], 5)
+    links = [(a, b) for a in range(len(sets)) for b in range(a) if sets[a] and sets[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    of_row = classes(list(range(len(data))), links)
+    of_id = classes(sorted({i for i, _ in data}), [(data[a][0], data[b][0]) for a, b in links])
+    assert {(r.doc_id, r.class_id) for r in minhash.near_duplicates(df).collect()} == {(i, of_id[i]) for i, _ in data}
+    kept = minhash.one_of_each_class(df)
+    assert kept.columns == df.columns
+    rows = [(r.doc_id, r.text or "") for r in kept.collect()]
+    assert len(rows) == len(set(rows)) == len({c for c, (_, t) in zip(of_row.values(), data) if t}) + 1
+    assert {(7, t) for i, t in data if t and t.startswith("alone")} <= set(rows) and (8, "") in rows
+
+
 def test_signatures_estimate_weighted_similarity():
     rng = random.Random(7)
     a = [rng.choice("abcdefgh") for _ in range(400)]
