@@ -9,9 +9,14 @@ over many.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import nullcontext
+from datetime import timedelta
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from layerloom.operators import changes
 from layerloom.operators.matching import null_safe_join
 from layerloom.session import scratch_path
 from layerloom.sources.tables import table_exists
@@ -54,27 +59,52 @@ def create_if_missing(spark: SparkSession, path: str, schema: T.StructType, part
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
 
 
-def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Full refresh: the whole table is replaced."""
-    _writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
-
-
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
-    """Replace just the partitions the new rows fall into; one statement for any number of days."""
-    _writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+def overwrite_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), *, record: bool = False) -> None:
+    """Full refresh: the whole table is replaced. ``record``: begin a record of changes, for those who read the table in deltas; one that is there is
+    kept in any case."""
+    kept = record or changes.has_record(df.sparkSession, path)
+    with changes.recorded_whole(df.sparkSession, path) if kept else nullcontext():
+        _writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str], *, stored: bool = False, parts: Sequence[str | None] | None = None) -> None:
+    """Replace just the partitions the new rows fall into; one statement for any number of days. If the table's changes are recorded, the rows are
+    staged first, so that what is recorded is what is written, unless they are a stored table or it is enough to record which ``parts`` they are."""
+    spark, staged, record = df.sparkSession, None, nullcontext()
+    if changes.has_record(spark, path):
+        if not stored and parts is None:
+            staged = scratch_path(spark, "partitions")
+            df.write.parquet(staged)
+            df = spark.read.schema(df.schema).parquet(staged)
+        record = changes.recorded(spark, path, df, partition_by[0], parts=parts)
+    with record:
+        _writer(df, partition_by).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    if staged:
+        release(spark, staged)
 
 
-def only_between(target: DataFrame, batch: DataFrame, column: str) -> DataFrame:
-    """The part of a target within the batch's range of a column.
+def only_between(target: DataFrame, batch: DataFrame, column: str, limit: int = 1000) -> DataFrame:
+    """The part of a target on the days of the batch, by a column of dates or times; without NULLs.
 
-    Exact for key lookups whenever the column is a function of the key: equal keys then mean equal values, and rows
-    outside the range cannot match. The two bounds are one small aggregate; as literals they prune partitions and row
-    groups of the target.
+    Exact for key lookups whenever the column is a function of the key: equal keys then mean equal values, and rows on other days cannot match. Days that follow one
+    another are one range, so one late row adds a day and not all that lies between. As literals the ranges prune partitions and row groups of the target. Beyond
+    ``limit`` days it is the range of all.
     """
-    low, high = batch.agg(F.min(column), F.max(column)).first()
-    if low is None:
+    day = F.to_date(column)
+    days = sorted(row[0] for row in batch.where(F.col(column).isNotNull()).select(day).distinct().limit(limit + 1).collect())
+    if not days:
         return target.limit(0)
-    return target.where(F.col(column).between(F.lit(low), F.lit(high)))
+    if len(days) > limit:
+        low, high = batch.agg(F.min(column), F.max(column)).first()
+        return target.where(F.col(column).between(F.lit(low), F.lit(high)))
+    ranges = [[days[0], days[0]]]
+    for found in days[1:]:
+        if found - ranges[-1][1] > timedelta(days=1):
+            ranges.append([found, found])
+        ranges[-1][1] = found
+    kind = target.schema[column].dataType
+    wanted = [(F.col(column) >= F.lit(low).cast(kind)) & (F.col(column) < F.lit(high + timedelta(days=1)).cast(kind)) for low, high in ranges]
+    return target.where(reduce(or_, wanted))
 
 
 def only_values(target: DataFrame, batch: DataFrame, column: str, limit: int = 1000) -> DataFrame:
@@ -106,7 +136,7 @@ def replace_slices(
     """
     by_slice = bool(partition_by) and set(partition_by) <= set(slice_keys)
     if not table_exists(spark, path):
-        overwrite_table(df, path, partition_by)
+        overwrite_table(df, path, partition_by, record=True)
         return
     if by_slice and set(partition_by) == set(slice_keys):
         replace_partitions(df, path, partition_by)
@@ -123,17 +153,16 @@ def replace_slices(
     kept.unionByName(new).write.parquet(staged + "/merged")
     merged = spark.read.schema(df.schema).parquet(staged + "/merged")
     if by_slice:
-        replace_partitions(merged, path, partition_by)
+        replace_partitions(merged, path, partition_by, stored=True)
     else:
-        overwrite_table(merged, path, partition_by)
+        overwrite_table(merged, path, partition_by, record=True)
     release(spark, staged + "/new", staged + "/merged")
 
 
 def release(spark: SparkSession, *paths: str) -> None:
     """Free the space of staged copies whose rows have reached their table: each is replaced by an empty table."""
     for path in paths:
-        schema = spark.read.parquet(path).schema
-        spark.createDataFrame([], schema).coalesce(1).write.mode("overwrite").parquet(path)
+        spark.createDataFrame([], "released boolean").coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def with_file_key(df: DataFrame) -> DataFrame:
@@ -188,13 +217,15 @@ def append_rows(
     The rows are staged in the shared folder first, so the check and the append see the same rows and the plan that
     made them runs once. Turn ``check_target`` off when the rows were just anti-joined with the target on that key.
     """
-    exists, staged = table_exists(spark, path), None
+    exists, staged, record = table_exists(spark, path), None, nullcontext()
+    told = changes.has_record(spark, path)
     if exists:
         check_schema(df, spark.read.parquet(path))
-    if unique_key:
+    if unique_key or told:
         staged = scratch_path(spark, "append")
         df.write.parquet(staged)
         df = spark.read.schema(df.schema).parquet(staged)
+    if unique_key:
         if duplicate_keys(df, unique_key).limit(1).count():
             raise DuplicateKeys(f"the new rows repeat a key of {list(unique_key)}")
         if exists and check_target:
@@ -202,9 +233,12 @@ def append_rows(
             known = df.select(*unique_key).join(present, list(unique_key), "left_semi")
             if known.limit(1).count():
                 raise DuplicateKeys(f"the target already holds a key of {list(unique_key)}")
-        if exists and df.isEmpty():
-            return
-    _writer(df, partition_by).mode("append").parquet(path)
+    if staged and exists and df.isEmpty():
+        return
+    if told:
+        record = changes.recorded(spark, path, df, next(iter(partition_by), None), replaces=False)
+    with record:
+        _writer(df, partition_by).mode("append").parquet(path)
     if staged:
         release(spark, staged)
 

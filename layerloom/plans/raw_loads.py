@@ -57,7 +57,7 @@ def load_all_charts(spark: SparkSession, root: str, landed: str, loaded_at: str)
     """Bulk load: the whole table is replaced."""
     text = delimited.read_text_columns(spark, landed, columns=list(delimited.CHART_COLUMNS))
     path = table_path(root, "raw", "spotify_charts")
-    sinks.overwrite_table(sinks.with_file_key(delimited.chart_rows(text, loaded_at)), path, ["file_key"])
+    sinks.overwrite_table(sinks.with_file_key(delimited.chart_rows(text, loaded_at)), path, ["file_key"], record=True)
 
 
 def load_charts_of_regions(

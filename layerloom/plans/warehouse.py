@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from layerloom.operators import facts, sinks, staging
 from layerloom.operators.calendar import FIRST_DAY, LAST_DAY, dim_date, dim_time
-from layerloom.operators.deltas import Delta
+from layerloom.operators.deltas import NAMED, Delta
 from layerloom.operators.history import one_per_repeated
 from layerloom.plans import domains
 from layerloom.sources.schemas import RAW_PARTITIONS
@@ -52,7 +52,7 @@ class Run:
     def delta(self, reader: str, layer: str, name: str, partition: str | None, load: str) -> Delta:
         """What changed in a table since ``reader`` last read it."""
         book = f"{self.root}/_read/{reader}/{name}"
-        return Delta(self.spark, self.read(layer, name), partition, load, book, everything=self.current(*self.place(reader)) is None)
+        return Delta(self.spark, self.read(layer, name), self.path(layer, name), partition, load, book, everything=self.current(*self.place(reader)) is None)
 
     def raw_partition(self, name: str) -> str | None:
         """Tables loaded by file are partitioned by it."""
@@ -140,7 +140,7 @@ def load_vault_table(run: Run, name: str) -> None:
         return
     stages = [run.stage(source, delta.rows()) for source, delta in zip(inputs, deltas)]
     if target is None:
-        sinks.overwrite_table(model(*stages), run.path(VAULT, name), partition_by)
+        sinks.overwrite_table(model(*stages), run.path(VAULT, name), partition_by, record=bool(partition_by))
     else:
         if bounded_by is not None:
             target = sinks.only_between(target, stages[0], bounded_by)
@@ -183,9 +183,10 @@ def load_detail_fact(run: Run, name: str) -> None:
         rows = one_per_repeated(rows, key, [F.desc("load_date"), *rest])
     rows = model(rows, run.read(STAR, dimension))
     if changed.first:
-        sinks.overwrite_table(rows, run.path(STAR, name), [partition])
+        sinks.overwrite_table(rows, run.path(STAR, name), [partition], record=True)
     else:
-        sinks.replace_partitions(rows, run.path(STAR, name), [partition])
+        parts = changed.parts if len(changed.parts) <= NAMED else None
+        sinks.replace_partitions(rows, run.path(STAR, name), [partition], parts=parts)
     changed.remember()
 
 
