@@ -20,7 +20,6 @@ _UNKNOWN = re.compile(f"[^{_KNOWN}]")
 _UNITS = re.compile(f" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[^\\s0-9{_LETTERS}]+|\\s+(?!\\S)|\\s+")
 
 SPECIAL = "<|endoftext|>"
-MEMORY = 300_000
 
 
 @cache

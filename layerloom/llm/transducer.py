@@ -13,6 +13,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -25,6 +26,11 @@ from layerloom.llm.common import whole_text
 
 PAIRS = 1_000_000
 SHORT = 64
+# Tokens kept while reading the first HEAD bytes of an input are remembered for this many beginnings.
+HEAD = 6
+HEADS = 200_000
+# Units that a worker remembers, in two generations: the older one is dropped when the newer is full.
+UNITS_KNOWN = 800_000
 
 
 class MergeList:
@@ -103,6 +109,7 @@ class Transducer:
 
     def __init__(self, merges: MergeList):
         self.merges = merges
+        self.heads: dict[bytes, list[int]] = {}
         self._start()
 
     def _start(self) -> None:
@@ -112,25 +119,43 @@ class Transducer:
 
     def feed(self, data: bytes) -> list[int]:
         out: list[int] = []
-        find, fits, known = self.merges.id_of.get, self.merges.fits, self.merges.known_pairs.get
-        longest, last, at = self.merges.lookahead, self.last, 0
+        at = 0
         while at < len(data):
             self.seen += data[at : at + 4096]
             at += 4096
-            seen = bytes(self.seen)
-            for end in range(len(last), len(seen) + 1):
-                for start in range(end - 1, max(end - longest, 0) - 1, -1):
-                    token = find(seen[start:end])
-                    if token is None:
-                        continue
-                    left = last[start]
-                    found = known(left << 32 | token)
-                    if found or found is None and fits(left, token):
-                        last.append(token)
-                        break
-            if len(last) > self.check_at:
+            self._read(bytes(self.seen))
+            if len(self.last) > self.check_at:
                 out += self._stable()
-                last = self.last
+        return out
+
+    def _read(self, seen: bytes) -> None:
+        """Find the token kept at every position of ``seen`` that has none yet."""
+        find, fits, known = self.merges.id_of.get, self.merges.fits, self.merges.known_pairs.get
+        longest, last = self.merges.lookahead, self.last
+        for end in range(len(last), len(seen) + 1):
+            for start in range(end - 1, max(end - longest, 0) - 1, -1):
+                token = find(seen[start:end])
+                if token is None:
+                    continue
+                left = last[start]
+                found = known(left << 32 | token)
+                if found or found is None and fits(left, token):
+                    last.append(token)
+                    break
+
+    def whole(self, data: bytes) -> list[int]:
+        """Ids of an input that is no longer than the lookahead, so that nothing is stable before its end. The tokens kept at the first
+        positions depend on the bytes up to there only; they are remembered."""
+        head = data[:HEAD]
+        self.last = self.heads.get(head, [-1])[:]
+        if len(self.last) == 1:
+            self._read(head)
+            if len(self.heads) >= HEADS:
+                self.heads.clear()
+            self.heads[head] = self.last[:]
+        self._read(data)
+        out = self._chain(len(data), 0)
+        self._start()
         return out
 
     def _chain(self, end: int, stop: int) -> list[int]:
@@ -163,19 +188,23 @@ class Transducer:
 class Codec:
     """Encodes and decodes whole texts in steps of bounded size; one per worker."""
 
-    def __init__(self, path: str, memory: int = pretokens.MEMORY):
+    def __init__(self, path: str, memory: int = UNITS_KNOWN):
         self.merges, self.tokenizer, self.memory = MergeList(path), pretokens.load(path), memory
         self.transducer = Transducer(self.merges)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.table = self.merges.bytes_of | {i: t.encode() for t, i in self.merges.special.items()}
 
     def _unit(self, unit: str) -> bytes:
-        data = unit.encode("utf-8", "surrogatepass")
-        ids = self.transducer.feed(data) + self.transducer.finish()
-        packed = np.asarray(ids, "<u4").tobytes()
+        packed = self.known.get(unit) or self.older.get(unit)
+        if packed is None:
+            data = unit.encode("utf-8", "surrogatepass")
+            short = len(data) <= self.merges.lookahead
+            ids = self.transducer.whole(data) if short else self.transducer.feed(data) + self.transducer.finish()
+            packed = np.asarray(ids, "<u4").tobytes() if len(ids) > 16 else array("I", ids).tobytes()
         if len(unit) <= SHORT:
-            if len(self.known) >= self.memory:
-                self.known.clear()
+            if len(self.known) >= self.memory // 2:
+                self.older, self.known = self.known, {}
             self.known[unit] = packed
         return packed
 

@@ -48,6 +48,15 @@ def test_the_transducer_emits_early_and_forgets():
     assert out == library(data.decode())
 
 
+def test_remembered_beginnings_and_units_change_no_id(monkeypatch):
+    monkeypatch.setattr(transducer, "HEADS", 20)
+    codec, rng = transducer.Codec(PATH, memory=40), random.Random(6)
+    words = ["".join(rng.choice("thenarisongé中") for _ in range(rng.randint(1, 70))) for _ in range(400)]
+    text = " ".join(rng.choice(words) for _ in range(3000))
+    assert b"".join(codec.encode(text)) == np.asarray(library(text), "<u4").tobytes()
+    assert len(codec.known) <= 20 and len(codec.older) <= 20 and len(codec.transducer.heads) <= 20
+
+
 def test_pairs_that_stay_apart_are_those_of_the_merge_list():
     merges = transducer.MergeList(PATH)
     rng, tokens = random.Random(4), sorted(merges.bytes_of)
