@@ -282,3 +282,39 @@ def audit_counters(queried: DataFrame, found: DataFrame, keys: Sequence[str], **
     )
     constants = {name: value if isinstance(value, Column) else F.lit(value) for name, value in labels.items()}
     return counters.select(*[column.alias(name) for name, column in constants.items()], *counters.columns)
+
+
+COUNTERS = ("total_queried", "total_found", "total_skipped")
+ARTISTS_PER_DOCUMENT = 50
+
+
+def write_artist_documents(
+    asked: DataFrame, found: DataFrame, path: str, *, source: str = "spotify-api", artists_per_document: int = ARTISTS_PER_DOCUMENT
+) -> None:
+    """Land snapshots as ``{artists[], _meta}`` documents, the run's counters in ``_meta``.
+
+    ``asked``: ``snapshot_date`` and ``artist_name``; ``found``: these and the attributes. A day is cut into ``checkpoints`` documents of bounded
+    size that all carry the counters of the day, so a run that found nobody still lands one document. Names are counted once each.
+    """
+    keys = ["snapshot_date", "artist_name"]
+    fields = ["artist_id", "artist_name", "genres", "popularity", "followers"]
+    spark = asked.sparkSession
+    staged = scratch_path(spark, "artists")
+    found.select("snapshot_date", *fields).write.parquet(staged)  # dealt into documents by a hash of the name, so a retried task deals alike
+    found = spark.read.schema(found.select("snapshot_date", *fields).schema).parquet(staged)
+    names = found.select(*keys).distinct().withColumn("_found", F.lit(1))
+    counted = null_safe_join(asked.select(*keys).distinct(), names, keys, "left").groupBy("snapshot_date").agg(
+        F.count("*").alias("total_queried"), F.count("_found").alias("total_found"), F.count_if(F.col("_found").isNull()).alias("total_skipped")
+    )
+    heads = counted.withColumn("checkpoints", F.ceil(F.col("total_found") / artists_per_document).cast("bigint"))
+    dealt = null_safe_join(found, heads.select("snapshot_date", "checkpoints"), ["snapshot_date"], "inner").withColumn(
+        "_document", F.pmod(F.xxhash64("artist_name"), F.col("checkpoints"))
+    )
+    documents = dealt.groupBy("snapshot_date", "_document").agg(
+        F.sort_array(F.collect_list(F.struct(*fields, "snapshot_date"))).alias("artists")
+    )
+    meta = F.struct("snapshot_date", F.lit(source).alias("source"), *COUNTERS, "checkpoints").alias("_meta")
+    landed = null_safe_join(heads, documents, ["snapshot_date"], "left")
+    empty = F.array().cast(documents.schema["artists"].dataType)
+    landed.select(F.coalesce("artists", empty).alias("artists"), meta).write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    release(spark, staged)

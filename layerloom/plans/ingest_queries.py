@@ -96,6 +96,31 @@ def audit_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.audit_counters(queried, found, ["key"], source="orders")
 
 
+@query(
+    "W11 S7",
+    """select snapshot_date, 'spotify-api' as source, total_queried, total_found, total_queried - total_found as total_skipped,
+        checkpoints, total_found as artists
+    from (select strftime(o_orderdate, '%Y-%m') as snapshot_date, count(distinct o_custkey) as total_queried,
+              count(distinct case when o_totalprice > 150000 then o_custkey end) as total_found,
+              cast(ceil(count(distinct case when o_totalprice > 150000 then o_custkey end) / 50) as bigint) as checkpoints
+          from orders group by 1)""",
+)
+def counters_in_artist_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot documents with the run's counters in their head, landed and read back: customers of a month as the names asked for."""
+    orders = b.table(spark, sf_dir, "orders").withColumn("snapshot_date", F.date_format("o_orderdate", "yyyy-MM"))
+    asked = orders.select("snapshot_date", F.col("o_custkey").cast("string").alias("artist_name")).distinct()
+    found = orders.where("o_totalprice > 150000").groupBy("snapshot_date", F.col("o_custkey").cast("string").alias("artist_name")).agg(
+        F.max("o_orderkey").cast("string").alias("artist_id")
+    )
+    nothing = {"genres": F.lit(""), "popularity": F.lit(None).cast("int"), "followers": F.lit(None).cast("bigint")}
+    path = scratch_path(spark, "artist-documents")
+    sinks.write_artist_documents(asked, found.withColumns(nothing), path)
+    read = landing.read_documents(spark, path, schemas.ARTIST_DOCUMENT, pretty=False)
+    return read.groupBy(*[f"_meta.{name}" for name in ("snapshot_date", "source", *sinks.COUNTERS, "checkpoints")]).agg(
+        F.sum(F.size("artists")).alias("artists")
+    )
+
+
 # --- CSV files --------------------------------------------------------------------------------------------------------
 
 _CHART_HEADER = list(delimited.CHART_COLUMNS)
@@ -144,6 +169,21 @@ def tracks_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delimited.track_rows(delimited.read_text_columns(spark, path), docs.LOADED_AT).drop("_source_file")
 
 
+@query(
+    "S6 S4",
+    """select o_orderkey as order_key, o_orderpriority || chr(10) || '"' || o_orderstatus || '", ' || chr(10) || o_orderdate::date as note
+    from orders""",
+)
+def notes_with_line_breaks_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quoted line breaks, read in splits: a record may span them."""
+    path = scratch_path(spark, "notes-csv")
+    parts = [F.col("o_orderpriority"), F.lit('\n"'), F.col("o_orderstatus"), F.lit('", \n'), F.to_date("o_orderdate").cast("string")]
+    orders = b.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("order_key"), F.concat(*parts).alias("note"))
+    orders.write.options(header=True, quoteAll=True, escape='"').csv(path)
+    text = delimited.read_text_columns(spark, path, columns=["order_key", "note"], multiline=True)
+    return text.select(F.col("order_key").cast("bigint").alias("order_key"), "note")
+
+
 # --- slices -----------------------------------------------------------------------------------------------------------
 
 _SLICE_COLUMNS = '"timestamp", date_key, hour, bidding_zone, price_eur_mwh'

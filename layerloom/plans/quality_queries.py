@@ -120,6 +120,17 @@ def deviating_temperatures(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("delta", q.F.round(q.F.round("delta", 10), 4))
 
 
+@query(
+    "Q10 G1",
+    """select cast(d as date) as missing_day from generate_series(
+        (select min(cast(o_orderdate as date)) from orders), (select max(cast(o_orderdate as date)) from orders),
+        interval 1 day) as days(d)
+    where cast(d as date) not in (select cast(o_orderdate as date) from orders)""",
+)
+def days_without_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.missing_days(b.table(spark, sf_dir, "orders"), "o_orderdate")
+
+
 @query(
     "Q10 G1",
     """select cast(d as date) as missing_day from generate_series(

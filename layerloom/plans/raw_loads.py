@@ -47,8 +47,8 @@ def load_artist_snapshots(spark: SparkSession, root: str, landed: str, loaded_at
 
 
 def load_tracks(spark: SparkSession, root: str, landed: str, loaded_at: str, *, multiline: bool = True) -> None:
-    """The rows of the source files are replaced; the table is partitioned by file, so no other file's rows are touched. ``multiline``: quoted
-    line breaks are allowed, which reads a file in one task; False lets Spark split large files."""
+    """The rows of the source files are replaced; the table is partitioned by file, so no other file's rows are touched. ``multiline``: line
+    breaks in quotes are allowed, which costs a pass that counts quotes; large files are read in splits either way."""
     text = delimited.read_text_columns(spark, landed, multiline=multiline)
     sinks.replace_source_files(spark, delimited.track_rows(text, loaded_at), table_path(root, "raw", "spotify_tracks"))
 

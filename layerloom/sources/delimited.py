@@ -7,6 +7,7 @@ nobody asks for and large files are split.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -18,7 +19,7 @@ from layerloom.functions.values import (
     safe_int,
     safe_long,
 )
-from layerloom.sources import schemas
+from layerloom.sources import quoted, schemas
 from layerloom.sources.landing import with_lineage
 
 # Source column -> raw column, and the regions the filtered chart load keeps.
@@ -53,25 +54,47 @@ def read_text_columns(
     encoding: str = "UTF-8",
     multiline: bool = False,
 ) -> DataFrame:
-    """A CSV file with a header, every column as text, plus ``_source_file``.
+    """CSV files with a header, every column as text, plus ``_source_file``.
 
     With ``columns`` the header is only checked, otherwise it is read first. Bytes that are invalid in the encoding
-    become the replacement character. ``multiline`` (line breaks inside quotes) keeps a file in one task, so leave it
-    off for large files that do not need it.
+    become the replacement character. ``multiline`` allows line breaks inside quotes: files that hold such are found by
+    counting quotes and read in splits too (``sources/quoted.py``); only a file whose quotes are not paired, or one in
+    another encoding than UTF-8, is read by a single task.
     """
-    reader = (
-        spark.read.option("header", True)
-        .option("sep", separator)
-        .option("encoding", encoding)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("mode", "PERMISSIVE")
-    )
+    form = {"sep": separator, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+    reader = spark.read.options(header=True, encoding=encoding, **form)
     if columns is not None:
         text = T.StructType([T.StructField(name, T.StringType()) for name in columns])
         reader = reader.schema(text).option("enforceSchema", False)
-    return reader.csv(path).select("*", F.col("_metadata.file_path").alias("_source_file"))
+    source = F.col("_metadata.file_path").alias("_source_file")
+    if not multiline:
+        return reader.csv(path).select("*", source)
+    if encoding.upper().replace("-", "") != "UTF8":
+        return reader.option("multiLine", True).csv(path).select("*", source)
+
+    files = quoted.files_by_quoting(spark, path)
+    plain = reader.csv(path).select("*", source)
+    found = [plain.where(F.col("_metadata.file_path").isin(*files["plain"]))] if files["plain"] else []
+    names = plain.columns[:-1]
+    if files["broken"]:
+        found.append(_quoted_rows(spark, path, files["broken"], names, form))
+    if files["unpaired"]:
+        whole = reader.schema(plain.drop("_source_file").schema).option("multiLine", True).csv(path)
+        found.append(whole.select("*", source).where(F.col("_metadata.file_path").isin(*files["unpaired"])))
+    return reduce(DataFrame.unionByName, found) if found else plain
+
+
+def _quoted_rows(spark: SparkSession, path: str, files: Sequence[str], names: Sequence[str], form: dict[str, str]) -> DataFrame:
+    """The rows of files with line breaks in quotes; all must have the same header."""
+    records = quoted.quoted_records(spark, path, files)
+    header = F.from_csv("value", ", ".join(f"_c{i} string" for i in range(len(names) + 1)), form)
+    expected = F.array(*[F.lit(name) for name in names], F.lit(None).cast("string"))
+    actual = F.array(*[header[f"_c{i}"] for i in range(len(names) + 1)])
+    other = records.where("_first").where(~actual.eqNullSafe(expected)).select("_file").limit(5).collect()
+    if other:
+        raise ValueError(f"files with another header than {list(names)}: {[row['_file'] for row in other]}")
+    row = quoted.parsed(F.col("value"), names, form)
+    return records.where("not _first").select(row.alias("row"), F.col("_file").alias("_source_file")).select("row.*", "_source_file")
 
 
 def typed_strict(text: Column, data_type: T.DataType) -> Column:
