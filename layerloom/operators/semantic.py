@@ -8,6 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from layerloom.operators import ranges
 from layerloom.operators.quality import repeated_values
 
 IDENTIFIER, FACT = "identifier", "fact"
@@ -157,6 +158,9 @@ def star_query(star: Star, items: Sequence[Item]) -> DataFrame:
 
     Fact items with aggregate "none" are not summarised: the query then lists rows instead of grouping them.
     """
+    inequality = _only_inequality(star, items)
+    if inequality is not None:
+        return _aggregates_by_inequality(star, items, *inequality)
     rows = joined(star, items)
     if any(item.usage == FACT and item.aggregate == "none" for item in items):
         return rows.select(*[item.reference().alias(item.name) for item in items])
@@ -164,16 +168,100 @@ def star_query(star: Star, items: Sequence[Item]) -> DataFrame:
     return rows.groupBy(*keys).agg(*_aggregates(items))
 
 
+def _only_inequality(star: Star, items: Sequence[Item]) -> tuple[str, str, str, str] | None:
+    """(fact column, operator, table, its column) if the fact's only way to the items' tables is one inequality and the items can be had without
+    forming its pairs: identifiers beyond it, mergeable aggregates of the fact."""
+    path = [r for r in _relationships_to(star, {item.table for item in items} | {star.fact}) if star.fact in (r.left, r.right)]
+    if len(path) != 1 or len(path[0].links) != 1 or path[0].join_type != "none":
+        return None
+    relation, (left, right, operator) = path[0], path[0].links[0]
+    if operator not in ranges.SWAPPED:
+        return None
+    for item in items:
+        if (item.table == star.fact) != (item.usage == FACT) or item.usage == FACT and item.aggregate not in ranges.PARTS:
+            return None
+    return (left, operator, relation.right, right) if relation.left == star.fact else (right, ranges.SWAPPED[operator], relation.left, left)
+
+
+def _aggregates_by_inequality(star: Star, items: Sequence[Item], key: str, operator: str, table: str, bound: str) -> DataFrame:
+    """Aggregates of the fact's rows that compare with a table's rows, by identifiers of that side; every pair counts, none is formed."""
+    measures = {item.name: (item.aggregate, item.column) for item in items if item.usage == FACT}
+    identifiers = [item for item in items if item.usage == IDENTIFIER]
+    others = [r for r in star.relationships if star.fact not in (r.left, r.right)]
+    side = joined(Star(table, star.tables, others), [*identifiers, Item(table, bound)])
+    limit = qualified(table, bound)
+    parts = ranges.first_parts(measures)
+    found = ranges.parts_by_inequality(star.tables[star.fact], key, operator, side, limit, parts)
+    # rows of the table that share a value and its identifiers are counted before they meet their sums
+    names = [item.name for item in identifiers]
+    rows = side.groupBy(limit, *[item.reference().alias(item.name) for item in identifiers]).agg(F.count("*").alias("_copies"))
+    times = [
+        (F.col(f"`{name}`") * (F.col("_copies") if name.split(":")[0] in ("sum", "count") else F.lit(1))).alias(name) for name in parts
+    ]
+    met = rows.join(found.where("rows > 0"), limit).select(*names, *times)
+    return met.groupBy(*names).agg(*ranges.merged_parts(list(parts))).select(*names, *ranges.measures_of(measures))
+
+
+def several_facts_query(star: Star, identifiers: Sequence[Item], facts: Mapping[str, Sequence[Item]]) -> DataFrame:
+    """Facts of several grains side by side: each is grouped by the shared identifiers on its own, then the groups are brought together.
+
+    A row of one fact is never repeated by another. From each fact only relationships towards a "one" side are followed. A group
+    that a fact has no rows in has NULL for its items. NULL identifiers are one group.
+    """
+    keys = [item.name for item in identifiers]
+    parts = []
+    for fact, items in facts.items():
+        own = _reachable_towards_one(fact, star.relationships)
+        parts.append(star_query(Star(fact, star.tables, own), [*identifiers, *items]))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    # at most one row per fact and group, so any aggregate that skips NULL takes its value over
+    return stacked.groupBy(*keys).agg(*[F.max(item.name).alias(item.name) for items in facts.values() for item in items])
+
+
+def _reachable_towards_one(fact: str, relationships: Sequence[Relationship]) -> list[Relationship]:
+    """The relationships that lead from a fact to tables each of its rows meets at most once."""
+    reached, own, frontier = {fact}, [], [fact]
+    while frontier:
+        here = frontier.pop(0)
+        for relation in relationships:
+            steps = ((relation.left, relation.right, relation.right_maxcard), (relation.right, relation.left, relation.left_maxcard))
+            for near, far, maxcard in steps:
+                if near == here and far not in reached and maxcard == "one":
+                    reached.add(far)
+                    own.append(relation)
+                    frontier.append(far)
+    return own
+
+
 def drill_query(star: Star, path: Sequence[Item], facts: Sequence[Item]) -> DataFrame:
     """Subtotals along a hierarchy (year, month, date): one row per member of every level and one grand total.
 
-    ``drill_level`` is the number of levels shown: 0 for the grand total.
+    ``drill_level`` is the number of levels shown: 0 for the grand total, which is there without any rows too. The joined rows are shuffled once, reduced
+    to the finest level and the columns counted distinctly; every level is then rolled up from the level below it.
     """
     rows = joined(star, [*path, *facts])
-    keys = [item.reference().alias(item.name) for item in path]
-    named = rows.select(*keys, *[item.reference() for item in facts])
-    shown = sum((F.lit(1) - F.grouping(item.name).cast("int") for item in path), F.lit(0))
-    return named.rollup(*[item.name for item in path]).agg(shown.alias("drill_level"), *_aggregates(facts))
+    names = [item.name for item in path]
+    facts = [item for item in facts if item.usage == FACT and item.aggregate != "none"]
+    types = rows.agg(*_aggregates(facts)).schema
+    measures = {item.name: (item.aggregate, qualified(item.table, item.column)) for item in facts if item.aggregate in ranges.PARTS}
+    counted = {item.name: qualified(item.table, item.column) for item in facts if item.aggregate == "countDistinct"}
+    distinct, parts = list(dict.fromkeys(counted.values())), ranges.first_parts(measures)
+
+    level = rows.groupBy(*[item.reference().alias(item.name) for item in path], *distinct).agg(
+        F.count("*").alias("rows"), *[column.alias(name) for name, column in parts.items()]
+    )
+    levels = []
+    for shown in range(len(names), -1, -1):
+        kept = names[:shown]
+        if shown < len(names):
+            level = level.groupBy(*kept, *distinct).agg(*ranges.merged_parts(["rows", *parts]))
+        sums = level.groupBy(*kept).agg(
+            *ranges.merged_parts(list(parts)), *[F.count_distinct(F.col(column)).alias(name) for name, column in counted.items()], F.lit(1).alias("_")
+        )
+        found = sums.select(*kept, F.lit(shown).alias("drill_level"), *ranges.measures_of(measures), *counted)
+        levels.append(found.select(*kept, "drill_level", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in types]))
+    result = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), levels)
+    return result.select(*names, "drill_level", *[item.name for item in facts])
 
 
 def cardinality_breaches(star: Star) -> DataFrame:

@@ -357,6 +357,63 @@ def sales_drill_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    "J9 B1",
+    f"""select c_mktsegment as segment, count(o_orderkey) as dearer, sum(cents)::bigint as cents, min(cents) as lowest,
+        {rounded('avg(cents)', 2)} as mean
+    from customer join (select o_orderkey, cast(round(o_totalprice * 100) as bigint) as cents from orders)
+        on c_acctbal * 100 < cents
+    group by 1""",
+)
+def orders_dearer_than_balances(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A relationship of one inequality: every pair of customer and dearer order counts, none is formed."""
+    orders = b.table(spark, sf_dir, "orders").withColumn("cents", F.round(F.col("o_totalprice") * 100).cast("bigint"))
+    customers = b.table(spark, sf_dir, "customer").withColumn("balance", F.col("c_acctbal") * 100)
+    links = [sem.Relationship("customer", "orders", [("balance", "cents", "lessThan")])]
+    fact = lambda column, aggregate, alias: sem.Item("orders", column, sem.FACT, aggregate, alias)
+    result = sem.star_query(
+        sem.Star("orders", {"orders": orders, "customer": customers}, links),
+        [
+            sem.Item("customer", "c_mktsegment", alias="segment"),
+            fact("o_orderkey", "count", "dearer"),
+            fact("cents", "total", "cents"),
+            fact("cents", "minimum", "lowest"),
+            fact("cents", "average", "mean"),
+        ],
+    )
+    return result.withColumn("mean", F.round(F.round("mean", 8), 2))
+
+
+@query(
+    "B1 A12",
+    f"""select nation, segment, orders, order_value, quantity, parts
+    from (select n_name as nation, c_mktsegment as segment, count(o_orderkey) as orders, {rounded('sum(o_totalprice)', 2)} as order_value
+          from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey group by 1, 2)
+    full join (select n_name as nation, c_mktsegment as segment, sum(l_quantity) as quantity, count(distinct l_partkey) as parts
+               from lineitem join orders on l_orderkey = o_orderkey join customer on o_custkey = c_custkey
+                   join nation on c_nationkey = n_nationkey where l_discount > 0.05 group by 1, 2) using (nation, segment)""",
+)
+def orders_and_lines_by_nation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two facts of different grain in one query: order values are not multiplied by their lines."""
+    base = _star(spark, sf_dir)
+    star = sem.Star("lineitem", {**base.tables, "lineitem": base.tables["lineitem"].where("l_discount > 0.05")}, base.relationships)
+    result = sem.several_facts_query(
+        star,
+        [sem.Item("nation", "n_name", alias="nation"), sem.Item("customer", "c_mktsegment", alias="segment")],
+        {
+            "orders": [
+                sem.Item("orders", "o_orderkey", sem.FACT, "count", "orders"),
+                sem.Item("orders", "o_totalprice", sem.FACT, "total", "order_value"),
+            ],
+            "lineitem": [
+                sem.Item("lineitem", "l_quantity", sem.FACT, "total", "quantity"),
+                sem.Item("lineitem", "l_partkey", sem.FACT, "countDistinct", "parts"),
+            ],
+        },
+    )
+    return result.withColumn("order_value", F.round(F.round("order_value", 6), 2))
+
+
 @query(
     "B3 Q2",
     """select 'supplier_lineitem' as relationship, 'supplier' as table_name, cast(s_nationkey as varchar) as key,
