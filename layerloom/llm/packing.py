@@ -2,7 +2,7 @@
 
 Hierarchical residual packing: each partition packs its pieces best-fit (longest first) into bins and emits the bins that are nearly full.
 The underfull bins are the items of the next round, packed again best-fit in fewer partitions, until one small partition is left or merging no longer
-helps. Full pieces are sequences at once. Every round's result is a written table.
+helps. The first round has a leaf for every partition of the session, of at least ``LEAF`` pieces, whatever the size of the input. Full pieces are sequences at once. Every round's result is a written table.
 """
 
 from __future__ import annotations
@@ -17,14 +17,16 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from layerloom.llm import pretokens
-from layerloom.llm.common import whole_text, written
+from layerloom.llm.common import parts_for, whole_text, written
 
 END = 2
 SEQUENCE = 1024
 # A bin with at most this much room is final.
 SLACK = 4
-# Bins that one task of a merging round takes, about.
+# Bins that one task of a round takes, about.
 BINS_PER_TASK = 200_000
+# Pieces that a leaf of the first round has at least: fewer would be too few to fill bins well.
+LEAF = 500
 # Units that a worker remembers.
 UNITS_KNOWN = 800_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -171,7 +173,7 @@ def pack(pieces: DataFrame, capacity: int = SEQUENCE, bins_per_task: int = BINS_
     )
     finished = [full.select("doc_id", "piece", "start", "length", "ids_crc32", "part", "bin", "offset")]
     left, number, before = items.count(), 1, None
-    parts = -(-left // bins_per_task) * 4 if left > bins_per_task else 1
+    parts = max(left // bins_per_task * 4, min(parts_for(pieces), -(-left // LEAF)))
     while left:
         # the last round is one part, or one in which merging no longer helps
         final = parts == 1 or (before is not None and left > 0.9 * before)
