@@ -30,15 +30,18 @@ def load_prices(spark: SparkSession, root: str, landed: str, loaded_at: str, *,
 
 
 def load_missing_prices(spark: SparkSession, root: str, landed: str, loaded_at: str, *, pretty: bool = True) -> None:
-    """Backfill: only documents whose day and zone the raw table does not hold yet."""
-    documents = landing.read_documents(spark, landed, schemas.PRICE_DOCUMENT, pretty=pretty)
-    rows = landing.price_rows(documents, loaded_at)
+    """Backfill: only documents whose day and zone the raw table does not hold yet. Files that it holds as they are now are not opened."""
     keys = schemas.RAW_SLICES["energy_price_hourly"]
-    if table_exists(spark, table_path(root, "raw", "energy_price_hourly")):
-        loaded = read_table(spark, root, "raw", "energy_price_hourly")
-        missing = sinks.slices_to_load(rows.select(*keys).distinct(), loaded, keys)
-        rows = rows.join(missing, keys, "left_semi")
-    _replace(spark, root, "energy_price_hourly", rows)
+    if not table_exists(spark, table_path(root, "raw", "energy_price_hourly")):
+        return load_prices(spark, root, landed, loaded_at, pretty=pretty)
+    loaded = read_table(spark, root, "raw", "energy_price_hourly")
+    files = landing.files_not_loaded(spark, landed, loaded)
+    if not files:
+        return
+    documents = landing.read_documents(spark, landed, schemas.PRICE_DOCUMENT, pretty=pretty, files=files)
+    rows = landing.price_rows(documents, loaded_at)
+    missing = sinks.slices_to_load(rows.select(*keys).distinct(), loaded, keys)
+    _replace(spark, root, "energy_price_hourly", rows.join(missing, keys, "left_semi"))
 
 
 def load_artist_snapshots(spark: SparkSession, root: str, landed: str, loaded_at: str, *, pretty: bool = True) -> None:

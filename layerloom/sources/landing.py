@@ -6,7 +6,7 @@ driver-side loop over files, and a directory of any number of documents is one r
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -16,23 +16,46 @@ from layerloom.sources import schemas
 DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
 
 
+def files_not_loaded(spark: SparkSession, path: str, loaded: DataFrame) -> list[str]:
+    """The ``.json`` files below a path that a raw table does not hold as they are now: it has no row of the file, or the file was written after
+    its rows were loaded. Only names and times are read; a list of files is on the driver for every read of a folder."""
+    files = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.json")
+        .option("recursiveFileLookup", True)
+        .load(path)
+        .select(F.col("_metadata.file_path").alias("_source_file"), F.col("modificationTime").cast("timestamp_ntz").alias("_written"))
+    )
+    known = loaded.groupBy("_source_file").agg(F.min("_loaded_at").alias("_loaded_at"))
+    left = files.join(known, "_source_file", "left").where(F.col("_loaded_at").isNull() | (F.col("_loaded_at") <= F.col("_written")))
+    return [row["_source_file"] for row in left.select("_source_file").collect()]
+
+
 def read_documents(
-    spark: SparkSession, path: str, schema: T.StructType, *, pretty: bool = True, mode: str = "FAILFAST"
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    pretty: bool = True,
+    mode: str = "FAILFAST",
+    files: Sequence[str] | None = None,
 ) -> DataFrame:
     """All ``.json`` documents below a path, with the file they came from.
 
     ``pretty``: one document per file, possibly over many lines. False: one document per line, which lets Spark split
-    large files.
+    large files. ``files``: only these are opened.
     """
-    return (
+    documents = (
         spark.read.schema(schema)
         .option("multiLine", pretty)
         .option("mode", mode)
         .option("pathGlobFilter", "*.json")
         .option("recursiveFileLookup", True)
         .json(path)
-        .select("*", F.col("_metadata.file_path").alias("_source_file"))
     )
+    if files is not None:  # a condition on the file alone: the others drop out when the scan lists its files
+        documents = documents.where(F.col("_metadata.file_path").isin(*files) if files else F.lit(False))
+    return documents.select("*", F.col("_metadata.file_path").alias("_source_file"))
 
 
 def day_in_file_name(source_file: Column) -> Column:

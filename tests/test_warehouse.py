@@ -1,6 +1,7 @@
 """The whole warehouse on small raw tables: built, built again, and built after late rows."""
 
 import datetime as dt
+import os
 import json
 
 import pytest
@@ -206,6 +207,27 @@ def test_raw_loads(spark, tmp_path, rows):
     ]
 
 
+def test_backfill_opens_only_files_that_are_not_loaded(spark, tmp_path, rows):
+    """A loaded file that did not change is not read again, not even one that cannot be read any more; a changed one is."""
+    root, prices = str(tmp_path / "root"), tmp_path / "prices"
+    prices.mkdir()
+    landed_prices(prices, 1, "AT", [1.0])
+    landed_prices(prices, 2, "AT", [2.0])
+    raw_loads.load_missing_prices(spark, root, str(prices), "2024-02-01 00:00:00")
+    for file in prices.glob("*.json"):
+        file.write_text("no json")
+        os.utime(file, (1_600_000_000, 1_600_000_000))
+    raw_loads.load_missing_prices(spark, root, str(prices), "2024-02-02 00:00:00")
+    landed_prices(prices, 3, "AT", [3.0])
+    raw_loads.load_missing_prices(spark, root, str(prices), "2024-02-03 00:00:00")
+    found = read_table(spark, root, "raw", "energy_price_hourly")
+    assert rows(found, "price_eur_mwh") == [(1.0,), (2.0,), (3.0,)]
+    for file in prices.glob("*.json"):
+        os.utime(file)  # written again after it was loaded
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        raw_loads.load_missing_prices(spark, root, str(prices), "2024-02-04 00:00:00")
+
+
 def test_query_result_loads(spark, tmp_path, rows):
     root, landed = str(tmp_path / "root"), str(tmp_path / "landed")
     report = spark.sql("select 'A' as SCHEMA_NAME, 'T' as TABLE_NAME, 'T' as TABLE_TYPE, 0L as ESTIMATED_ROWS, cast(null as int) as DATA_PAGES, '' as REMARKS")
