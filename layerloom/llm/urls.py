@@ -3,10 +3,11 @@
 Level 1 encodes the listed keys, level 2 the keys of the corpus that level 1 takes for listed though they are not, level 3
 the listed keys that level 2 takes for such false positives, and so on until a level has nothing to encode. A key of the corpus
 is listed if the first level that does not hold it is an even one (levels count from 1). The answer is exact for every key that was part of the
-universe the cascade was built over; here that is every (host suffix, path prefix) of every url.
+universe the cascade was built over; here that is every (host suffix, path prefix) of every url that is as long as one of some rule: a
+suffix with another number of labels, or a prefix of another length, is no rule's, so a very long host costs no more than a short one.
 
-All steps are built-in functions. Each level is a bit array of bounded size (``max_bits``; building stops with an error beyond it) and
-goes into the plan as a constant.
+All steps are built-in functions. Each level is a bit array of bounded size (``max_bits``) and goes into the plan as a constant. Keys that need
+larger levels, or more of them than ``MAX_LEVELS``, are judged by a shuffled join of the different (host, path) with the rules instead; the rows are the same.
 """
 
 from __future__ import annotations
@@ -19,6 +20,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 HASHES = 4
 BITS_PER_KEY = 8
 MAX_BITS = 1 << 27
+MAX_LEVELS = 40
+
+
+class TooManyKeys(ValueError):
+    """The keys do not fit into a cascade of bounded levels."""
 
 
 @dataclass(frozen=True)
@@ -80,7 +86,7 @@ def _level(keys: DataFrame, number: int, max_bits: int) -> Level | None:
         return None
     size = _size(n)
     if size > max_bits:
-        raise ValueError(f"level {number} needs {size} bits for {n} keys; the bound is {max_bits}")
+        raise TooManyKeys(f"level {number} needs {size} bits for {n} keys; the bound is {max_bits}")
     bit = F.explode(F.array(*_bits(F.col("key"), number, size)))
     words = (
         keys.select(bit.alias("bit"))
@@ -104,7 +110,7 @@ class Cascade:
         return answer
 
 
-def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS, max_levels: int = 40) -> Cascade:
+def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BITS, max_levels: int = MAX_LEVELS) -> Cascade:
     """``listed`` and ``universe``: frames with one column ``key``; repeated and null keys are allowed and do not matter.
 
     Only the first level sees the whole universe, in one pass without a shuffle; what passes it is a small share.
@@ -126,28 +132,39 @@ def build_cascade(listed: DataFrame, universe: DataFrame, max_bits: int = MAX_BI
         levels.append(level)
         # the other side's keys that this level takes for its own are next
         right, wrong = wrong, right.where(level.holds(F.col("key")))
-    raise ValueError(f"no end after {max_levels} levels")
+    raise TooManyKeys(f"no end after {max_levels} levels")
 
 
-def url_keys(host: Column, path: Column, prefixes: list[int]) -> Column:
-    """Keys of a url: each suffix of whole host labels with each path prefix of the given lengths."""
-    labels = F.split(host, r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")
-    )
+def url_keys(host: Column, path: Column, labels: list[int], prefixes: list[int]) -> Column:
+    """Keys of a url: its host's last labels, as many as given, each with the path prefixes of the given lengths. A url that has fewer labels or a shorter
+    path has no such key."""
+    parts = F.split(host, r"\.")
+
+    def key(n: int, length: int) -> Column:
+        suffix = F.array_join(F.slice(parts, -n, n), ".")
+        return F.when((F.size(parts) >= n) & (F.length(path) >= length), F.concat(suffix, F.substring(path, 1, length)))
+
+    return F.array_compact(F.array(*[key(n, length) for n in labels for length in prefixes]))
 
-    def with_prefix(n: int) -> Column:
-        keys = F.transform(suffixes, lambda s: F.concat(s, F.substring(path, 1, n)))
-        return F.when(F.length(path) >= n, keys).otherwise(F.array().cast("array<string>"))
 
-    return F.concat(*map(with_prefix, prefixes))
+def _judged_by_join(keyed: DataFrame, rules: list[Rule]) -> DataFrame:
+    """The best rule by a join on the key; urls of one host and path are one row in it, however many there are."""
+    listed = keyed.sparkSession.createDataFrame([(r.text, r.verdict) for r in rules], "key string, verdict string")
+    pairs = keyed.select("host", "path", F.explode("keys").alias("key")).distinct()
+    best = F.max(F.struct(F.length("key").alias("n"), F.col("key").alias("rule"), "verdict")).alias("best")
+    found = pairs.join(listed, "key").groupBy("host", "path").agg(best)
+    return keyed.join(found, ["host", "path"], "left")
 
 
-def judge_urls(pages: DataFrame, rules: list[Rule], id_column: str = "page_id", url_column: str = "url") -> DataFrame:
+def _hits(verdict: str, cascade: Cascade) -> Column:
+    return F.transform(F.filter("keys", cascade.holds), lambda k: F.struct(F.length(k).alias("n"), k.alias("rule"), F.lit(verdict).alias("verdict")))
+
+
+def judge_urls(pages: DataFrame, rules: list[Rule], id_column: str = "page_id", url_column: str = "url", max_bits: int = MAX_BITS) -> DataFrame:
     """(id, host, path, rule, verdict) of every row: the longest rule that fits, else no rule and verdict ``allow``.
 
     Defined results: null url or no ``://``: empty host and path, no rule. Repeated rows are judged each. An empty table or an empty
-    rule list gives no rules. Other columns are not read. Rules of one key with different verdicts are an error.
+    rule list gives no rules. A host may have any number of labels. Other columns are not read. Rules of one key with different verdicts are an error.
     """
     if len({(r.host, r.path) for r in rules}) != len(rules):
         raise ValueError("two rules with the same host and path")
@@ -155,22 +172,18 @@ def judge_urls(pages: DataFrame, rules: list[Rule], id_column: str = "page_id",
     base = pages.select(F.col(id_column).alias("page_id"), F.col(url_column).cast("string").alias("__url"))
     host, path = host_and_path(F.col("__url"))
     parsed = base.select("page_id", host.alias("host"), path.alias("path"))
-    prefixes = sorted({len(r.path) for r in rules})
+    labels, prefixes = sorted({r.host.count(".") + 1 for r in rules}), sorted({len(r.path) for r in rules})
     if not rules:
         return parsed.select("*", F.lit(None).cast("string").alias("rule"), F.lit("allow").alias("verdict"))
-    keyed = parsed.withColumn("keys", url_keys(F.col("host"), F.col("path"), prefixes))
+    keyed = parsed.withColumn("keys", url_keys(F.col("host"), F.col("path"), labels, prefixes))
     universe = keyed.select(F.explode("keys").alias("key"))
     verdicts = sorted({r.verdict for r in rules})
-    cascades = {
-        v: build_cascade(spark.createDataFrame([(r.text,) for r in rules if r.verdict == v], "key string"), universe)
-        for v in verdicts
-    }
-
-    def hits(verdict: str) -> Column:
-        listed = F.filter("keys", cascades[verdict].holds)
-        return F.transform(listed, lambda k: F.struct(F.length(k).alias("n"), k.alias("rule"), F.lit(verdict).alias("verdict")))
-
-    best = keyed.withColumn("best", F.array_max(F.concat(*map(hits, verdicts))))
+    listed = {v: spark.createDataFrame([(r.text,) for r in rules if r.verdict == v], "key string") for v in verdicts}
+    try:
+        cascades = {v: build_cascade(listed[v], universe, max_bits) for v in verdicts}
+        best = keyed.withColumn("best", F.array_max(F.concat(*[_hits(v, cascades[v]) for v in verdicts])))
+    except TooManyKeys:
+        best = _judged_by_join(keyed, rules)
     return best.select(
         "page_id", "host", "path", F.col("best.rule").alias("rule"), F.coalesce("best.verdict", F.lit("allow")).alias("verdict")
     )

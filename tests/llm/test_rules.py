@@ -49,6 +49,18 @@ def test_many_rules(spark):
     assert found == {i: plain_judgement(u, rules) for i, u in data}
 
 
+    joined = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(df, rules, max_bits=64).collect()}
+    assert joined == found  # beyond the levels' size a join finds the same rules
+
+
+def test_hosts_of_very_many_labels(spark):
+    long = "a." * 100_000
+    data = [(1, f"http://{long}example.net/en/x"), (2, f"http://{long}net/"), (3, f"http://{long}org/en/"), (4, "http://" + "." * 100_000 + "com/de/")]
+    df = spark.createDataFrame(data * 5, "page_id long, url string")
+    found = {r.page_id: (r.host, r.path, r.rule, r.verdict) for r in urls.judge_urls(df, RULES).collect()}
+    assert found == {i: plain_judgement(u, RULES) for i, u in data}
+
+
 def test_a_cascade_is_exact_over_its_universe(spark, monkeypatch):
     monkeypatch.setattr(urls, "BITS_PER_KEY", 1)  # many false positives, so many levels
     universe = spark.range(5000).select(F.concat(F.lit("k"), "id").alias("key"))
