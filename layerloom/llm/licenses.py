@@ -1,8 +1,9 @@
 """Licence phrases and templates in texts, found through a positional index of rare words; built-in functions only.
 
 Every template has words and a mandatory key phrase (a run of its words). A first pass counts in how many documents each licence word
-occurs. The rarest word of a template's key phrase (the highest inverse document frequency) is looked up in each document; its places give
-relative positions, template start = place - position in the template; a place counts if the whole key phrase stands there.
+occurs. Each document gets postings (places) of the licence words that are rarest in the corpus, by inverse document frequency: the two rarest of every
+template's key phrase. A posting says where the template would start, place - position in the template; the starts that both words agree on
+are candidates, and a candidate counts if the whole key phrase stands there. A document without one of the rarest words is not cut into words at all.
 All of it stays in the document's row: no join, no shuffle but that of the few counts.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -82,11 +84,25 @@ def inverse_frequencies(texts: DataFrame, vocabulary: list[str]) -> dict[str, fl
     return {w: math.log(max(row["n"], 1) / max(row[f"c{i}"], 1)) for i, w in enumerate(vocabulary)}
 
 
-def _starts(t: Template, anchor: int) -> Column:
-    """Zero-based starts of the key phrase in ``words``, by looking up the word at ``anchor`` of the phrase."""
+# Words of a key phrase whose postings are intersected.
+LOOKED_UP = 2
+
+
+def rarest_places(t: Template, frequency: dict[str, float]) -> list[int]:
+    """The places in the key phrase of its rarest different words, rarest first; ties: the longer word, then the alphabet."""
+    first = {w: i for i, w in reversed(list(enumerate(t.key)))}
+    return sorted(first.values(), key=lambda i: (frequency[t.key[i]], len(t.key[i]), t.key[i]), reverse=True)[:LOOKED_UP]
+
+
+def _starts(t: Template, places: list[int]) -> Column:
+    """Zero-based starts of the key phrase in ``words``: those on which the postings of the words at ``places`` of the phrase agree, verified."""
     key, n = F.array(*map(F.lit, t.key)), len(t.key)
-    places = F.transform(F.col("postings")[t.key[anchor]], lambda p: p - F.lit(anchor))
-    return F.filter(places, lambda s: (s >= 0) & (F.slice("words", F.greatest(s, F.lit(0)) + 1, n) == key))
+
+    def told(at: int) -> Column:
+        return F.transform(F.col("postings")[t.key[at]], lambda p: p - F.lit(at))
+
+    agreed = reduce(F.array_intersect, map(told, places))
+    return F.filter(agreed, lambda s: (s >= 0) & (F.slice("words", F.greatest(s, F.lit(0)) + 1, n) == key))
 
 
 def scan_licenses(
@@ -106,25 +122,24 @@ def scan_licenses(
     texts = documents.select(F.col(id_column).alias("doc_id"), whole_text(text_column).alias("text"))
     templates = [*base, *notices]
     frequency = inverse_frequencies(texts, sorted({w for t in templates for w in t.key}))
-    # ties: the longer word, then the alphabet
-    anchor = {t: max(range(len(t.key)), key=lambda i: (frequency[t.key[i]], len(t.key[i]), t.key[i])) for t in templates}
-    rare = sorted({t.key[anchor[t]] for t in templates})
-    has_rare = F.col("text").rlike("(?i)" + "|".join(rare))
+    places = {t: rarest_places(t, frequency) for t in templates}
+    has_rare = F.col("text").rlike("(?i)" + "|".join(sorted({t.key[places[t][0]] for t in templates})))
+    indexed = sorted({t.key[at] for t in templates for at in places[t]})
     read = texts.select(
         "doc_id",
         F.regexp_count("text", F.lit(WORD)).cast("long").alias("n_words"),
         F.when(has_rare, words_of(F.col("text"))).otherwise(F.array().cast("array<string>")).alias("words"),
     )
-    found = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.get(F.col("words"), i - 1).isin(rare))
-    places = F.when(F.size("words") > 0, F.transform(found, lambda i: i - 1)).otherwise(F.array().cast("array<int>"))
-    read = read.withColumn("places", places)
+    found = F.filter(F.sequence(F.lit(1), F.size("words")), lambda i: F.get(F.col("words"), i - 1).isin(indexed))
+    standing = F.when(F.size("words") > 0, F.transform(found, lambda i: i - 1)).otherwise(F.array().cast("array<int>"))
+    read = read.withColumn("places", standing)
 
     def places_of(word: str) -> Column:
         return F.filter("places", lambda p: F.get(F.col("words"), p) == word)
 
-    by_word = [places_of(w).alias(w) for w in rare]
+    by_word = [places_of(w).alias(w) for w in indexed]
     read = read.withColumn("postings", F.struct(*by_word))
-    starts = {t: _starts(t, anchor[t]) for t in templates}
+    starts = {t: _starts(t, places[t]) for t in templates}
     read = read.select(
         "doc_id",
         "n_words",

@@ -118,6 +118,16 @@ def test_licences_equal_a_plain_version(spark):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+def test_postings_agree_on_a_start(spark):
+    rng = random.Random(5)
+    words = ["mit", "license", "apache", "general", "public", "gnu", "cc", "by", "nc", "creative", "commons", "attribution", "x"]
+    data = [(i, rng.choice([" ", "-", ", "]).join(rng.choices(words, k=rng.randint(1, 400)))) for i in range(300)]
+    found = licenses.scan_licenses(spark.createDataFrame(data, "doc_id long, text string")).collect()
+    assert {r[0]: tuple(r)[1:] for r in found} == {i: plain_scan(t) for i, t in data}
+    t = licenses.template("x", "a rare phrase rare", "a rare phrase rare")
+    assert licenses.rarest_places(t, {"a": 0.1, "rare": 2.0, "phrase": 1.0}) == [1, 2]
+
+
 def sentences(n, seed, bias):
     """Toxic texts hold an insult; with a bias many of them, and few clean ones, name a group too."""
     rng = random.Random(seed)
