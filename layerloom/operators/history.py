@@ -3,8 +3,9 @@
 The plain way is a window per key, which sends all rows of a key to one task. That is right for all keys but hot ones:
 keys that hold a large share of the rows. Those are looked for first (one column, counted before the shuffle). If there
 are none, the plain window is all that runs. The rows of hot keys take another way to the same result: they are cut
-into chunks of time, the window runs inside each chunk, one summary row per chunk is lined up across chunks, and both
-are joined. No task then holds more than one chunk of a hot key.
+into chunks at quantiles of the order, the window runs inside each chunk, one summary row per chunk is lined up across chunks, and both
+are joined. No task then holds more than one chunk of a hot key. Chunks hold about the same number of rows however the key's rows lie in
+time, all in one day or over years; only rows of one instant cannot be parted.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from layerloom.functions.keys import dimension_sk
 from layerloom.operators.matching import null_safe_join
@@ -28,14 +29,19 @@ MAX_COMPARED_VERSIONS = 200
 MAX_SENT_VERSIONS = 100_000
 
 CHUNK = "_chunk"
+# Chunks of a hot key, and bounds of all hot keys together, which are sent to every task (a few MB); with very many hot keys each gets fewer, never below the least.
+CHUNKS, LEAST_CHUNKS = 1024, 16
+MAX_BOUNDS = 1_000_000
+# Bounds are looked up in two steps, among every so many of them and then in between.
+STEP = 32
 
 
 @dataclass(frozen=True)
 class HotKeys:
-    """The hot keys as a small local frame (None: there are none) and the unit of time their rows are cut by."""
+    """The hot keys as a small local frame (None: there are none). Their rows are cut at quantiles, or by a unit of time if ``grain`` names one."""
 
     frame: DataFrame | None = None
-    grain: str = "day"
+    grain: str | None = None
 
 
 def hot_key_counts(df: DataFrame, keys: Sequence[str], share: float, min_rows: int) -> DataFrame:
@@ -54,7 +60,7 @@ def find_hot_keys(
     *,
     share: float = HOT_SHARE,
     min_rows: int = MIN_HOT_ROWS,
-    grain: str = "day",
+    grain: str | None = None,
 ) -> HotKeys:
     """Look for hot keys now. The list that comes back to the driver has at most 1/share rows, whatever the data.
 
@@ -73,10 +79,35 @@ def split_by_heat(df: DataFrame, keys: Sequence[str], hot: HotKeys) -> tuple[Dat
     return tuple(null_safe_join(df, hot.frame, keys, how, few=True) for how in ("left_anti", "left_semi"))
 
 
-def chunked(df: DataFrame, order: str, grain: str) -> DataFrame:
-    """Rows with a NULL order are a chunk of their own before all others, as a window sorts them."""
-    start = F.date_trunc(grain, F.col(order)).cast("timestamp_ntz")
-    return df.withColumn(CHUNK, F.coalesce(start, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
+def quantile_bounds(df: DataFrame, keys: Sequence[str], order: str, chunks: int) -> DataFrame:
+    """Where the rows of each key are cut: ``_bounds`` at the quantiles of the order, ``_starts`` every STEP-th of them.
+
+    Approximate quantiles are merged from partial ones, so no task sees all rows of a key. The bounds (``chunks`` per key at most) are held as a
+    local frame: every plan made from it, and every task run again, cuts alike.
+    """
+    fractions = [i / chunks for i in range(1, chunks)]
+    found = df.where(F.col(order).isNotNull()).groupBy(*keys).agg(F.percentile_approx(order, fractions, 10 * chunks).alias("_bounds"))
+    found = found.withColumn("_bounds", F.array_sort(F.array_distinct("_bounds")))
+    rows = [(*row, row["_bounds"][::STEP]) for row in found.collect()]
+    bounds = found.schema["_bounds"]
+    return df.sparkSession.createDataFrame(rows, T.StructType([*found.schema.fields, T.StructField("_starts", bounds.dataType)]))
+
+
+def chunked(df: DataFrame, keys: Sequence[str], order: str, hot: HotKeys) -> DataFrame:
+    """Rows of hot keys with the number (or start) of their chunk, which rises with the order.
+
+    Rows with a NULL order are a chunk of their own before all others, as a window sorts them. At quantiles: runs a job over the order of these rows.
+    """
+    if hot.grain is not None:
+        start = F.date_trunc(hot.grain, F.col(order)).cast("timestamp_ntz")
+        return df.withColumn(CHUNK, F.coalesce(start, F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
+    chunks = max(LEAST_CHUNKS, min(CHUNKS, MAX_BOUNDS // hot.frame.count()))
+    marked = null_safe_join(df, quantile_bounds(df.select(*keys, order), keys, order, chunks), keys, "left", few=True)
+    block = F.size(F.filter("_starts", lambda bound: bound <= F.col(order)))
+    inside = F.slice("_bounds", F.greatest((F.col("_block") - 1) * STEP, F.lit(0)) + 1, STEP)
+    place = (F.col("_block") - 1) * STEP + F.size(F.filter(inside, lambda bound: bound <= F.col(order)))
+    number = F.when(F.col(order).isNull(), -1).when(F.col("_block") == 0, 0).otherwise(place)
+    return marked.withColumn("_block", block).select(*df.columns, number.alias(CHUNK))
 
 
 def neighbours(
@@ -100,7 +131,7 @@ def neighbours(
     result = _in_one_window(cold_rows, keys, order, *wanted)
     if hot_rows is None:
         return result
-    return result.unionByName(_in_chunks(hot_rows, keys, order, hot.grain, *wanted))
+    return result.unionByName(_in_chunks(hot_rows, keys, order, hot, *wanted))
 
 
 def _in_one_window(df, keys, order, previous, following, position) -> DataFrame:
@@ -112,8 +143,8 @@ def _in_one_window(df, keys, order, previous, following, position) -> DataFrame:
     return df.withColumns(columns)
 
 
-def _in_chunks(df, keys, order, grain, previous, following, position) -> DataFrame:
-    cut = chunked(df, order, grain)
+def _in_chunks(df, keys, order, hot, previous, following, position) -> DataFrame:
+    cut = chunked(df, keys, order, hot)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(order)
     local = cut.withColumns(
         {
@@ -126,7 +157,7 @@ def _in_chunks(df, keys, order, grain, previous, following, position) -> DataFra
     first = F.min_by(F.struct(order, *_distinct(following.values(), order)), F.struct(order))
     last = F.max_by(F.struct(order, *_distinct(previous.values(), order)), F.struct(order))
     ends = cut.groupBy(*keys, CHUNK).agg(F.count("*").alias("_rows"), first.alias("_first"), last.alias("_last"))
-    # One row per chunk: a key has as many rows here as its history has days (or whatever the grain is).
+    # One row per chunk: a key has at most CHUNKS rows here, or as many as its history has units of time.
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     earlier = across.rowsBetween(Window.unboundedPreceding, -1)
     ends = ends.select(
@@ -196,7 +227,7 @@ def changes_only(
     # Brought together by key at once, both steps (and a with_validity that follows) share one shuffle and one sort.
     compared = _in_one_window(reduced(cold_rows.repartition(*keys)), keys, load, *wanted)
     if hot_rows is not None:
-        compared = compared.unionByName(_in_chunks(reduced(hot_rows), keys, load, hot.grain, *wanted))
+        compared = compared.unionByName(_in_chunks(reduced(hot_rows), keys, load, hot, *wanted))
     return compared.where(~F.col("_before_hash").eqNullSafe(F.col(hashdiff))).drop("_before_hash")
 
 
@@ -319,7 +350,7 @@ def carry_forward_join(
     cold_rows, hot_rows = split_by_heat(lined_up, keys, hot)
     found = cold_rows.withColumn("_version", F.last("_version", ignorenulls=True).over(_up_to_here(keys)))
     if hot_rows is not None:
-        found = found.unionByName(_carried_in_chunks(hot_rows, keys, hot.grain))
+        found = found.unionByName(_carried_in_chunks(hot_rows, keys, hot))
     valid = F.col("_version._v_to").isNull() | (F.col("_at") < F.col("_version._v_to"))
     found = found.where(F.col("_fact").isNotNull() & F.col("_version").isNotNull()).where(valid)
     return found.select(
@@ -334,8 +365,8 @@ def _up_to_here(keys: Sequence[str]):
     return window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def _carried_in_chunks(lined_up: DataFrame, keys: Sequence[str], grain: str) -> DataFrame:
-    cut = chunked(lined_up, "_at", grain)
+def _carried_in_chunks(lined_up: DataFrame, keys: Sequence[str], hot: HotKeys) -> DataFrame:
+    cut = chunked(lined_up, keys, "_at", hot)
     here = F.last("_version", ignorenulls=True).over(_up_to_here([*keys, CHUNK]))
     local = cut.withColumn("_here", here)
     versioned = F.when(F.col("_version").isNotNull(), F.col("_at"))

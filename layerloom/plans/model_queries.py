@@ -300,7 +300,7 @@ def dim_artist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dim_artist_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """dim_artist with the history of every busy artist cut into months, so that the plan for hot keys runs on small
     data too; same result."""
-    hot = _hot_artists(spark, sf_dir, min_rows=8, grain="month")
+    hot = _hot_artists(spark, sf_dir, min_rows=8)
     profile = d.s_artist_profile(stg_artist_snapshot(spark, sf_dir), hot=hot)
     return d.dim_artist(h_artist(spark, sf_dir), profile, hot=hot)
 
@@ -342,7 +342,7 @@ def state_at_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
 def state_at_shipment_in_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plan for large version tables, with busy customers cut into months."""
     shipments = _shipments(spark, sf_dir)
-    hot = history.find_hot_keys(shipments, ["artist_bk"], min_rows=30, grain="month")
+    hot = history.find_hot_keys(shipments, ["artist_bk"], min_rows=30)
     return history.carry_forward_join(
         shipments, _stored_dimension(spark, sf_dir, dim_artist), ["artist_bk"], "l_shipdate",
         attributes=["genres", "popularity", "version_number"], hot=hot,

@@ -17,7 +17,7 @@ def snapshots(spark, rows):
     return spark.createDataFrame(rows, "hk string, load_date timestamp_ntz, hashdiff string")
 
 
-def hot(spark, df, keys=("hk",), min_rows=1, grain="day"):
+def hot(spark, df, keys=("hk",), min_rows=1, grain=None):
     found = history.find_hot_keys(df, list(keys), min_rows=min_rows, grain=grain)
     assert found.frame is not None
     return found
@@ -62,7 +62,7 @@ def random_history(seed, size=400):
     return [(key, time, value) for (key, time), value in found.items()]
 
 
-@pytest.mark.parametrize("seed, grain", [(1, "day"), (2, "hour"), (3, "month")])
+@pytest.mark.parametrize("seed, grain", [(1, "day"), (2, "hour"), (3, "month"), (4, None)])
 def test_chunks_give_the_same_history(spark, rows, seed, grain):
     df = snapshots(spark, random_history(seed))
     cut = hot(spark, df, min_rows=15, grain=grain)
@@ -92,6 +92,18 @@ def test_intervals_do_not_overlap_and_one_version_is_current(spark):
         assert all(a.hashdiff != b.hashdiff for a, b in zip(versions, versions[1:]))
 
 
+def test_a_key_with_all_rows_in_one_day_is_cut(spark, rows):
+    data = [("hot", START + dt.timedelta(seconds=i), f"h{i // 3}") for i in range(20_000)] + [("x", at(d), "A") for d in range(5)]
+    data += [("hot", START + dt.timedelta(seconds=20_000), f"s{i}") for i in range(50)]  # one instant
+    df = spark.createDataFrame(data, "hk string, load_date timestamp_ntz, hashdiff string")
+    cut = hot(spark, df, min_rows=100)
+    sizes = history.chunked(df.where("hk = 'hot'"), ["hk"], "load_date", cut).groupBy(history.CHUNK).count().collect()
+    assert len(sizes) > 500 and max(row["count"] for row in sizes) < 200
+    versions = history.changes_only(df, ["hk"], "load_date", "hashdiff", hot=cut)
+    assert rows(versions) == rows(history.changes_only(df, ["hk"], "load_date", "hashdiff", hot=NONE))
+    assert rows(history.with_validity(versions, ["hk"], "load_date", hot=cut)) == rows(history.with_validity(versions, ["hk"], "load_date", hot=NONE))
+
+
 def test_hot_keys_are_a_bounded_list(spark):
     df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     assert history.find_hot_keys(df, ["k"], share=0.1, min_rows=10).frame.collect()[0].k == "hot"
@@ -148,7 +160,7 @@ def test_null_orders_and_keys_stay_for_hot_keys(spark, rows):
     options = {"previous": {"before": "id"}, "following": {"after": "id"}, "position": "n"}
     plain = rows(history.neighbours(df, ["hk"], "t", hot=NONE, **options))
     assert len(plain) == 10
-    for grain in ("hour", "day", "month"):
+    for grain in ("hour", "day", "month", None):
         assert rows(history.neighbours(df, ["hk"], "t", hot=history.HotKeys(heat.frame, grain), **options)) == plain
 
 
