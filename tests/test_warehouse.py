@@ -119,6 +119,7 @@ def test_first_build(spark, root, rows):
 def test_rules_hold(spark, root):
     report = rules.check(spark, root)
     assert rules.failing(report).collect() == []
+    assert sorted(map(str, rules.check_changed(spark, root).collect())) == sorted(map(str, report.collect()))
     kinds = {row.rule: row.n for row in report.groupBy("rule").agg(F.count("*").alias("n")).collect()}
     assert kinds["not_null"] > 88 and kinds["unique"] > 14 and kinds["relationships"] > 15 and kinds["complete"] == 2
 
@@ -157,6 +158,44 @@ def test_rules_find_defects(spark, tmp_path):
     }
 
 
+def test_a_check_reads_the_partitions_that_changed(spark, tmp_path, monkeypatch):
+    root, counted = str(tmp_path), []
+    place = lambda name: table_path(root, "business_vault", name)
+
+    def day(date, hours, temperature="20.0D", hk="'h'"):
+        return spark.sql(
+            f"select 'x' as location_sk, {hk} as location_hk, 20240101 as date_id, cast(id * 4 as int) as time_id, timestamp_ntz'2024-01-01' as measured_at, "
+            f"{temperature} as temperature_2m, 10.0D as apparent_temperature, 50.0D as relative_humidity_2m, timestamp_ntz'2024-02-01' as load_date, "
+            f"date'{date}' as date_key from range({hours})"
+        )
+
+    days = day("2024-01-01", 24).unionByName(day("2024-01-02", 24)).unionByName(day("2024-01-03", 23, hk="cast(null as string)"))
+    sinks.overwrite_table(days, place("fact_weather_hourly"), ["date_key"], record=True)
+    sinks.overwrite_table(dim_date(spark, AS_OF), place("dim_date"))
+    sinks.overwrite_table(dim_time(spark), place("dim_time"))
+    location = "select 'y' as location_sk, '{}' as location_hk, 'k' as location_key, 1.0D as latitude, 1.0D as longitude, timestamp_ntz'2024-01-01' as valid_from"
+    sinks.overwrite_table(spark.sql(location.format("h")), place("dim_location"))
+    count = q.counts_of_partitions
+
+    def counting(df, *rest):
+        counted.append(df.groupBy(F.col("date_key").cast("string").alias("d")).count().orderBy("d").collect())
+        return count(df, *rest)
+
+    monkeypatch.setattr(q, "counts_of_partitions", counting)
+    both = lambda: [{tuple(r) for r in f(spark, root).collect()} for f in (rules.check, rules.check_changed)]
+    whole, kept = both()
+    assert whole == kept and ("complete", "business_vault.fact_weather_hourly", "location_hk, date_key", 1) in kept
+    assert [r.d for r in counted.pop()] == ["2024-01-01", "2024-01-02", "2024-01-03"]
+    assert both()[1] == whole and not counted
+    sinks.replace_partitions(day("2024-01-02", 30, "60.0D", "'lost'"), place("fact_weather_hourly"), ["date_key"])
+    whole, kept = both()
+    assert whole == kept and ("relationships", "business_vault.fact_weather_hourly", "location_hk", 30) in kept
+    assert [(r.d, r["count"]) for r in counted.pop()] == [("2024-01-02", 30)]
+    sinks.overwrite_table(spark.sql(location.format("lost")), place("dim_location"))  # another parent: nothing of the fact is read
+    whole, kept = both()
+    assert whole == kept and ("relationships", "business_vault.fact_weather_hourly", "location_hk", 24) in kept and not counted
+
+
 def test_marts(spark, root, rows):
     mart = read_table(spark, root, "marts", "artist_chart_performance")
     assert rows(mart, "granularity", "period_label", "chart_entries", "best_position", "total_streams", "distinct_tracks", "distinct_regions") == [
