@@ -239,6 +239,47 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_MONTHLY_LINES = "(select *, cast(date_trunc('month', l_shipdate) as date) as ship_month from lineitem)"
+
+
+@query(
+    "Q11 Q2 Q3 Q6",
+    " union all ".join(
+        [
+            _report_line("not_above_tax", "lineitem", "l_discount", "select count(*) from lineitem where l_discount > l_tax"),
+            _report_line("in_range", "lineitem", "l_quantity", "select count(*) from lineitem where l_quantity < 2 or l_quantity > 48"),
+            _report_line(
+                "unique", "lineitem", "part_and_month",
+                f"select count(*) from (select l_partkey, ship_month from {_MONTHLY_LINES} group by 1, 2 having count(*) > 1)",
+            ),
+            _report_line(
+                "relationships", "lineitem", "l_partkey",
+                "select count(*) from lineitem where l_partkey is not null and l_partkey not in (select p_partkey from part where p_size <= 25)",
+            ),
+            _report_line(
+                "complete", "lineitem", "ship_month, l_suppkey",
+                f"select count(*) from (select ship_month, l_suppkey from {_MONTHLY_LINES} group by 1, 2 having count(*) not in (1, 2, 3))",
+            ),
+        ]
+    ),
+)
+def rules_of_lines_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rules counted per month of shipment, as they are kept for later checks, and added up; parts are looked up once per part."""
+    month = F.trunc(F.col("l_shipdate").cast("date"), "month")
+    lines = b.table(spark, sf_dir, "lineitem").withColumn("ship_month", month)
+    lines = lines.withColumn("part_and_month", F.when(F.col("l_partkey").isNotNull(), F.concat("l_partkey", F.lit(" "), "ship_month")))
+    small = b.table(spark, sf_dir, "part").where("p_size <= 25")
+    rules = [
+        q.holds("not_above_tax", "l_discount", F.col("l_discount") <= F.col("l_tax")),
+        q.in_range("l_quantity", 2, 48),
+        q.unique(lines, "part_and_month"),
+        q.relationship(lines, "l_partkey", small, "p_partkey"),
+        q.complete(lines, ["ship_month", "l_suppkey"], [1, 2, 3]),
+    ]
+    counts = q.counts_of_partitions(lines, "ship_month", rules)
+    return q.kept_failures(counts, rules).select("rule", F.lit("lineitem").alias("table_name"), "column_name", "failures")
+
+
 # --- star queries -----------------------------------------------------------------------------------------------------
 
 
