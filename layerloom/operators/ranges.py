@@ -6,7 +6,7 @@ in as one row per band. A value that a third of the rows share is one row, and n
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -34,11 +34,16 @@ def merged_parts(names: list[str], over=None) -> list[Column]:
     return [(column if over is None else column.over(over)).alias(name) for name, column in merged.items()]
 
 
-def measures_of(measures: Mapping[str, tuple[str, str]]) -> list[Column]:
-    """The measures from their merged parts."""
+def measures_of(measures: Mapping[str, tuple[str, str]], widened: Collection[str] = ()) -> list[Column]:
+    """The measures from their merged parts. Sums in ``widened`` are integers kept as decimals; their averages are doubles, as of integers."""
+
+    def divided(name: str) -> Column:
+        total = F.col(f"`sum:{name}`")
+        return F.try_divide(total.cast("double") if f"sum:{name}" in widened else total, F.col(f"`count:{name}`"))
+
     value = {
         "total": lambda name: F.col(f"`sum:{name}`"),
-        "average": lambda name: F.try_divide(F.col(f"`sum:{name}`"), F.col(f"`count:{name}`")),
+        "average": divided,
         "minimum": lambda name: F.col(f"`min:{name}`"),
         "maximum": lambda name: F.col(f"`max:{name}`"),
         "count": lambda name: F.coalesce(F.col(f"`count:{name}`"), F.lit(0)),
@@ -83,11 +88,10 @@ def parts_by_inequality(
     within = W.partitionBy("_band").orderBy(order, "_at").rowsBetween(W.unboundedPreceding, W.currentRow)
     inside = events.select("_value", "_band", "_at", *merged_parts(names, within)).where(F.col("_at") == bounds_at)
 
-    # one row per band, so this window is bounded by the number of bands
-    per_band = reduced.groupBy("_band").agg(*merged_parts(names))
-    spine = spark.range(len(cuts) + 1).select(F.col("id").cast("int").alias("_band"))
-    earlier = W.orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
-    before = spine.join(per_band, "_band", "left").select("_band", *merged_parts(names, earlier))
+    # each band's row is handed to all later bands, which is bounded by the number of bands and needs no window over all of them
+    per_band = reduced.groupBy("_band").agg(*merged_parts(names)).where(F.col("_band") < len(cuts))
+    later = F.explode(F.sequence(F.col("_band") + 1, F.lit(len(cuts)))).alias("_band")
+    before = per_band.select(later, *[F.col(f"`{name}`") for name in names]).groupBy("_band").agg(*merged_parts(names))
     both = inside.drop("_at").unionByName(
         inside.select("_value", "_band").join(F.broadcast(before), "_band")
     )  # two rows per bound: its own band and the bands before it

@@ -6,12 +6,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from layerloom.operators import ranges
 from layerloom.operators.quality import repeated_values
 
 IDENTIFIER, FACT = "identifier", "fact"
+# Holds sums of integers over pairs of rows.
+WIDE = "decimal(38,0)"
 
 # Names of the default aggregates, join filter types and comparison operators of a star declaration.
 AGGREGATES = {
@@ -195,11 +197,19 @@ def _aggregates_by_inequality(star: Star, items: Sequence[Item], key: str, opera
     # rows of the table that share a value and its identifiers are counted before they meet their sums
     names = [item.name for item in identifiers]
     rows = side.groupBy(limit, *[item.reference().alias(item.name) for item in identifiers]).agg(F.count("*").alias("_copies"))
-    times = [
-        (F.col(f"`{name}`") * (F.col("_copies") if name.split(":")[0] in ("sum", "count") else F.lit(1))).alias(name) for name in parts
-    ]
+    # a sum over pairs outgrows the type that holds one over rows, so sums of integers go on as decimals
+    widened = [name for name in parts if name.startswith("sum:") and isinstance(found.schema[name].dataType, T.IntegralType)]
+    part = {name: F.col(f"`{name}`").cast(WIDE) if name in widened else F.col(f"`{name}`") for name in parts}
+    times = [(part[name] * (F.col("_copies") if name.split(":")[0] in ("sum", "count") else F.lit(1))).alias(name) for name in parts]
     met = rows.join(found.where("rows > 0"), limit).select(*names, *times)
-    return met.groupBy(*names).agg(*ranges.merged_parts(list(parts))).select(*names, *ranges.measures_of(measures))
+    return met.groupBy(*names).agg(*ranges.merged_parts(list(parts))).select(*names, *ranges.measures_of(measures, widened))
+
+
+def narrowed(result: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Totals over pairs as bigint where every one fits, as they are where one does not. Reads ``result``: pass a stored one."""
+    low, high = (F.lit(str(bound)).cast(WIDE) for bound in (-(2**63), 2**63 - 1))
+    fit = result.agg(*[F.coalesce(F.bool_and(F.col(name).between(low, high)), F.lit(True)).alias(name) for name in columns]).first()
+    return result.withColumns({name: F.col(name).cast("bigint") for name in columns if fit[name]})
 
 
 def several_facts_query(star: Star, identifiers: Sequence[Item], facts: Mapping[str, Sequence[Item]]) -> DataFrame:

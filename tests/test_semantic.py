@@ -126,3 +126,23 @@ def test_drill_of_no_rows_is_the_grand_total(spark, rows):
     empty = sem.Star("f", {"f": base.tables["f"].limit(0)}, [])
     found = sem.drill_query(empty, [sem.Item("f", "y")], [sem.Item("f", "v", sem.FACT, "total", "v"), sem.Item("f", "d", sem.FACT, "countDistinct", "d")])
     assert rows(found) == [(None, 0, None, 0)]
+
+
+def test_totals_over_pairs_beyond_a_bigint(spark):
+    """As many pairs as make the total greater than a bigint: it is a decimal, and its average a double; a total that fits becomes a bigint."""
+    facts = spark.createDataFrame([(1, 2**61), (2, 2**61), (3, 2**61)], "day int, v long")
+    sides = spark.createDataFrame([("a", 9), ("a", 9), ("b", 2)], "name string, until int")
+    links = [sem.Relationship("side", "facts", [("until", "day", "greaterThanOrEqualTo")])]
+    items = [sem.Item("side", "name"), sem.Item("facts", "v", sem.FACT, "total", "v"), sem.Item("facts", "v", sem.FACT, "average", "mean")]
+    found = sem.star_query(sem.Star("facts", {"facts": facts, "side": sides}, links), items)
+    assert {r["name"]: (int(r["v"]), r["mean"]) for r in found.collect()} == {"a": (6 * 2**61, 2.0**61), "b": (2 * 2**61, 2.0**61)}
+    assert dict(sem.narrowed(found, ["v"]).dtypes)["v"] == "decimal(38,0)"
+    small = sem.narrowed(found.where("name = 'b'"), ["v"])
+    assert dict(small.dtypes)["v"] == "bigint" and small.first()["v"] == 2**62
+    assert dict(sem.narrowed(found.where("name = 'c'"), ["v"]).dtypes)["v"] == "bigint"
+
+
+def test_bands_need_no_window_over_all(spark):
+    facts = spark.createDataFrame([(i % 50, i) for i in range(200)], "k int, v int")
+    found = ranges.parts_by_inequality(facts, "k", "lessThan", facts.select(F.col("k").alias("b")), "b", ranges.first_parts({"t": ("total", "v")}), 7)
+    assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()
