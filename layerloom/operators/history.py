@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from layerloom.functions.keys import dimension_sk
 from layerloom.operators.matching import null_safe_join
+from layerloom.session import scratch_path
 
 # A key with more than this share of all rows is hot. At most 1 / HOT_SHARE keys can be, which bounds the list of hot
 # keys (100,000 hash keys, a few MB). Below MIN_HOT_ROWS rows a key is never worth cutting.
@@ -27,6 +28,8 @@ MIN_HOT_ROWS = 1_000_000
 MAX_COMPARED_VERSIONS = 200
 # Versions that are sent to every task, at most.
 MAX_SENT_VERSIONS = 100_000
+# Hashes of repeated keys that are sent to every task, at most (8 bytes each).
+MAX_SENT_HASHES = 500_000
 
 CHUNK = "_chunk"
 # Chunks of a hot key, and bounds of all hot keys together, which are sent to every task (a few MB); with very many hot keys each gets fewer, never below the least.
@@ -197,11 +200,23 @@ def one_per(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str | Column
 
 
 def one_per_repeated(df: DataFrame, keys: Sequence[str], newest_by: Sequence[str | Column], same: Sequence[str] | None = None) -> DataFrame:
-    """As one_per, for keys that hardly ever repeat: keys are counted first, on their own, and only the rows of those that repeat are ranked,
-    so the rows as such are neither sorted nor shuffled. ``same``: columns in which copies agree, if these are more than the keys."""
-    repeated = df.groupBy(*keys).agg(F.count("*").alias("_copies")).where("_copies > 1").select(*keys)
-    several = one_per(null_safe_join(df, repeated, keys, "left_semi"), list(same or keys), newest_by)
-    return null_safe_join(df, repeated, keys, "left_anti").unionByName(several)
+    """As one_per, for keys that hardly ever repeat: hashes of the keys are counted first, now and on their own, and only the rows of hashes that repeat
+    are ranked, so the rows as such are neither sorted nor shuffled. ``same``: columns in which copies agree, if these are more than the keys.
+
+    Keys that share a hash by chance are ranked too, each on its own. The repeated hashes are stored; up to MAX_SENT_HASHES are sent to every task,
+    more are joined by a shuffle."""
+    spark, own = df.sparkSession, F.xxhash64(*keys).alias("_hash")
+    found = df.select(own).groupBy("_hash").agg(F.count("*").alias("_copies")).where("_copies > 1").select("_hash")
+    path = scratch_path(spark, "repeated-keys")
+    found.write.parquet(path)
+    repeated = spark.read.schema(found.schema).parquet(path)
+    number = repeated.count()
+    if number == 0:
+        return df
+    marks = F.broadcast(repeated) if number <= MAX_SENT_HASHES else repeated
+    hashed = df.withColumn("_hash", own)
+    several = one_per(hashed.join(marks, "_hash", "left_semi").drop("_hash"), list(same or keys), newest_by)
+    return hashed.join(marks, "_hash", "left_anti").drop("_hash").unionByName(several)
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], load: str, tiebreak: Sequence[str]) -> DataFrame:

@@ -15,6 +15,7 @@ from layerloom.functions.keys import with_keys
 from layerloom.operators.history import HotKeys, changes_only, find_hot_keys, one_per_repeated
 from layerloom.operators.matching import null_safe_join
 from layerloom.operators.sinks import new_rows
+from layerloom.session import scratch_path
 
 LOADED = "_loaded_at"
 
@@ -105,6 +106,12 @@ def _satellite_rows(staging: DataFrame, columns: Sequence[str]) -> DataFrame:
     return staging.select(*columns, "_source_file", F.col(LOADED).alias("load_date"), "record_source")
 
 
+def _stored(rows: DataFrame) -> DataFrame:
+    path = scratch_path(rows.sparkSession, "satellite-rows")
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def load_event_satellite(
     staging: DataFrame, columns: Sequence[str], hashdiff: str, target: DataFrame | None = None, *, whole_rows: bool = False
 ) -> DataFrame:
@@ -114,9 +121,9 @@ def load_event_satellite(
     with ``whole_rows`` only rows equal in every column are, and entries that differ in any of them all stay.
 
     Hardly any row is a copy, so the rows are not sorted to find them: hashdiffs are counted first, on their own, and
-    only the rows of those that repeat are ranked.
+    only the rows of those that repeat are ranked. The batch's rows are stored first, so they are joined and hashed once.
     """
-    rows = _satellite_rows(staging, columns)
+    rows = _stored(_satellite_rows(staging, columns))
     same = [*columns, "record_source"] if whole_rows else [hashdiff]
     rest = [name for name in rows.columns if name not in (*same, "load_date", "_source_file")]
     kept = one_per_repeated(rows, [hashdiff], ["load_date", "_source_file", *rest], same)

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from layerloom.operators import history
+from layerloom.operators import dims, history
 
 START = dt.datetime(2024, 1, 1)
 
@@ -181,3 +181,18 @@ def test_many_versions_of_one_key_are_not_compared_pairwise(spark):
 def test_latest_row_with_a_tie(spark, rows):
     df = snapshots(spark, [("x", at(1), "A"), ("x", at(1), "B"), ("x", at(0), "C")])
     assert rows(history.latest_per_key(df, ["hk"], "load_date", ["hashdiff"])) == [("x", at(1), "B")]
+
+
+@pytest.mark.parametrize("sent", [0, 500_000])
+def test_rows_of_keys_that_hardly_repeat_are_not_shuffled(spark, rows, monkeypatch, sent):
+    """One row per key, NULL a key too; hashes of repeated keys are sent to the rows up to a bound, and joined by a shuffle beyond it."""
+    monkeypatch.setattr(history, "MAX_SENT_HASHES", sent)
+    entries = [("a", 1, "x"), ("a", 2, "y"), ("b", 1, "x"), (None, 3, "z"), (None, 3, "w"), ("c", None, "x"), ("c", None, "x")]
+    df = spark.createDataFrame(entries, "k string, n int, v string")
+    assert rows(history.one_per_repeated(df, ["k"], ["n", "v"])) == rows(history.one_per(df, ["k"], ["n", "v"]))
+    assert rows(history.one_per_repeated(df, ["k"], ["n", "v"], ["k", "v"])) == rows(history.one_per(df, ["k", "v"], ["n", "v"]))
+    alone = df.where("k = 'b'")
+    assert rows(history.one_per_repeated(alone, ["k"], ["n"])) == [("b", 1, "x")]
+    if sent:  # what is left of the rows goes on as it was read: the anti join's side is no exchange
+        plan = history.one_per_repeated(df, ["k"], ["n", "v"])._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
