@@ -81,10 +81,11 @@ def current_dimension(
     """The latest state of each entity.
 
     The satellite is reduced to its latest row per key before the join, so the join sees one row per key on both
-    sides. Equal load times are decided by the hashdiff.
+    sides. Equal load times are decided by the hashdiff. Both sides grow with the entities, so the join is by merging, whatever size Spark guesses:
+    neither is sent to every task through the driver.
     """
     latest = latest_per_key(satellite.select(hk, hashdiff, "load_date", *attributes), [hk], "load_date", [hashdiff])
-    rows = hub.select(hk, F.col(bk).alias(alias)).join(latest, hk)
+    rows = hub.select(hk, F.col(bk).alias(alias)).join(latest.hint("merge"), hk)
     return with_dimension_sk(rows.select(hk, alias, *attributes, F.col("load_date").alias("valid_from")), sk, hk)
 
 
@@ -107,7 +108,7 @@ def current_dimension_with_extra(
     side = latest_per_key(
         extra.select(hk, extra_hashdiff, "load_date", *extra_attributes), [hk], "load_date", [extra_hashdiff]
     ).select(hk, *extra_attributes)
-    return rows.join(side, hk, "left").select(sk, hk, alias, *attributes, *extra_attributes, "valid_from")
+    return rows.join(side.hint("merge"), hk, "left").select(sk, hk, alias, *attributes, *extra_attributes, "valid_from")
 
 
 def versioned_dimension(
@@ -124,12 +125,12 @@ def versioned_dimension(
     """SCD2: every version of an entity with validity interval, version number, current flag and its own key.
 
     Rows that repeat the state before them are merged and one row is kept per load time, so no version has zero
-    length. Versions join their hub last, when each is final.
+    length. Versions join their hub last, when each is final; a hub grows with its entities and is not sent to every task.
     """
     history = satellite.select(hk, hashdiff, *attributes, "load_date")
     hot = find_hot_keys(satellite, [hk]) if hot is None else hot
     versions = changes_only(history, [hk], "load_date", hashdiff, hot=hot)
     dated = with_validity(versions, [hk], "load_date", hot=hot)
-    rows = dated.join(hub.select(hk, bk), hk)
+    rows = dated.join(hub.select(hk, bk).hint("merge"), hk)
     rows = with_dimension_sk(rows, sk, hk)
     return rows.select(sk, hk, bk, *attributes, "valid_from", "valid_to", "version_number", "is_current")

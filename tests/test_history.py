@@ -196,3 +196,17 @@ def test_rows_of_keys_that_hardly_repeat_are_not_shuffled(spark, rows, monkeypat
     if sent:  # what is left of the rows goes on as it was read: the anti join's side is no exchange
         plan = history.one_per_repeated(df, ["k"], ["n", "v"])._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
+def test_dimensions_are_not_sent_through_the_driver(spark, rows):
+    """Hub and satellites of a dimension grow with the entities; even small ones are joined without a broadcast."""
+    hub = spark.createDataFrame([(h, h.upper()) for h in "abc"], "hk string, bk string")
+    satellite = spark.createDataFrame([("a", "1", at(0), 5), ("b", "2", at(0), 6), ("a", "3", at(1), 7)], "hk string, d string, load_date timestamp_ntz, v int")
+    extra = spark.createDataFrame([("a", "9", at(0), 8)], "hk string, e string, load_date timestamp_ntz, w int")
+    found = dims.current_dimension_with_extra(
+        hub, satellite, extra, "sk", "hk", "bk", "id", hashdiff="d", attributes=["v"], extra_hashdiff="e", extra_attributes=["w"]
+    )
+    assert rows(found, "id", "v", "w") == [("A", 7, 8), ("B", 6, None)]
+    versions = dims.versioned_dimension(hub, satellite, "sk", "hk", "bk", "d", ["v"])
+    for df in (found, versions):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
