@@ -256,6 +256,8 @@ def drill_query(star: Star, path: Sequence[Item], facts: Sequence[Item]) -> Data
     measures = {item.name: (item.aggregate, qualified(item.table, item.column)) for item in facts if item.aggregate in ranges.PARTS}
     counted = {item.name: qualified(item.table, item.column) for item in facts if item.aggregate == "countDistinct"}
     distinct, parts = list(dict.fromkeys(counted.values())), ranges.first_parts(measures)
+    # a level holds each value of an only counted column once per group, so no second table of them is needed to count them
+    number = F.count if len(distinct) == 1 else F.count_distinct
 
     level = rows.groupBy(*[item.reference().alias(item.name) for item in path], *distinct).agg(
         F.count("*").alias("rows"), *[column.alias(name) for name, column in parts.items()]
@@ -266,7 +268,7 @@ def drill_query(star: Star, path: Sequence[Item], facts: Sequence[Item]) -> Data
         if shown < len(names):
             level = level.groupBy(*kept, *distinct).agg(*ranges.merged_parts(["rows", *parts]))
         sums = level.groupBy(*kept).agg(
-            *ranges.merged_parts(list(parts)), *[F.count_distinct(F.col(column)).alias(name) for name, column in counted.items()], F.lit(1).alias("_")
+            *ranges.merged_parts(list(parts)), *[number(F.col(column)).alias(name) for name, column in counted.items()], F.lit(1).alias("_")
         )
         found = sums.select(*kept, F.lit(shown).alias("drill_level"), *ranges.measures_of(measures), *counted)
         levels.append(found.select(*kept, "drill_level", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in types]))

@@ -146,3 +146,13 @@ def test_bands_need_no_window_over_all(spark):
     facts = spark.createDataFrame([(i % 50, i) for i in range(200)], "k int, v int")
     found = ranges.parts_by_inequality(facts, "k", "lessThan", facts.select(F.col("k").alias("b")), "b", ranges.first_parts({"t": ("total", "v")}), 7)
     assert "SinglePartition" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_counted_column_is_counted_from_its_level(spark):
+    """Copies, NULL values and NULL members count as by count(distinct); the plan holds no second distinct aggregate."""
+    sales = spark.createDataFrame([(1, 1, 5), (1, 1, 5), (1, 2, 5), (1, 2, None), (None, 1, 7), (2, 1, None)], "y int, m int, p int")
+    item = lambda column, *more: sem.Item("sales", column, *more)
+    found = sem.drill_query(sem.Star("sales", {"sales": sales}), [item("y"), item("m")], [item("p", sem.FACT, "countDistinct", "parts")])
+    plain = sales.rollup("y", "m").agg(F.count_distinct("p").alias("parts"), (2 - F.grouping("y") - F.grouping("m")).cast("int").alias("drill_level"))
+    assert sorted(map(str, found.select("y", "m", "drill_level", "parts").collect())) == sorted(map(str, plain.select("y", "m", "drill_level", "parts").collect()))
+    assert "distinct" not in found._jdf.queryExecution().optimizedPlan().toString().lower()
