@@ -27,29 +27,33 @@ SLACK = 4
 BINS_PER_TASK = 200_000
 # Pieces that a leaf of the first round has at least: fewer would be too few to fill bins well.
 LEAF = 500
-# Units that a worker remembers.
-UNITS_KNOWN = 800_000
+# Units in each of the two generations that a worker remembers. Workers outlive a stage, so this memory (about 25 MB) stays beside whatever runs next.
+UNITS_KNOWN = 75_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 BINNED = PIECES + ", part long, bin long, offset long, done boolean"
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizer itself, which sees each distinct unit once per worker (in a memory of bounded size)."""
+    """Ids of whole texts by the tokenizer itself, which sees a unit again only if it was not met lately (two generations of bounded size)."""
 
     def __init__(self, path: str, memory: int = UNITS_KNOWN):
         self.tokenizer, self.memory = pretokens.load(path), memory
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.shown = {b: c for c, b in pretokens.byte_characters().items()}
 
     def _learn(self, units: list[str]) -> None:
         if len(self.known) > self.memory:
-            self.known.clear()
+            self.older, self.known = self.known, {}
         model, shown = self.tokenizer.model, self.shown
         for unit in set(units):
             if unit not in self.known:
-                # the splitter's work is done; the model wants a printable character for each byte
-                tokens = model.tokenize(unit.encode("utf-8", "surrogatepass").decode("latin-1").translate(shown))
-                self.known[unit] = array("I", [t.id for t in tokens]).tobytes()
+                ids = self.older.get(unit)
+                if ids is None:
+                    # the splitter's work is done; the model wants a printable character for each byte
+                    tokens = model.tokenize(unit.encode("utf-8", "surrogatepass").decode("latin-1").translate(shown))
+                    ids = array("I", [t.id for t in tokens]).tobytes()
+                self.known[unit] = ids
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""

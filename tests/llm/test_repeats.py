@@ -1,6 +1,7 @@
 """Suffix-array and recompression operators against plain versions."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -111,3 +112,18 @@ def test_every_window_of_a_repeat_shares_its_anchor():
 
 def test_covered_parts():
     assert covered_parts(["abcab"], 2) == [[True, True, False, True, True]]
+
+
+def test_anchors_of_many_texts_take_little_memory():
+    rng = random.Random(12)
+    texts = [bytes(rng.choices(b"abcde fgh", k=3000)) for _ in range(1000)]
+    found, whole = 0, 0
+    tracemalloc.start()
+    for _, group in suffixes._batched(texts):
+        sizes = np.cumsum([0, *map(len, group)]).tolist()
+        found += len(suffixes.anchors_of(b"".join(group), list(zip(sizes, sizes[1:])), 400))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    for text in texts[:50]:
+        whole += len(suffixes.anchors_of(text, [(0, len(text))], 400))
+    assert found > 15 * whole and peak < 20e6

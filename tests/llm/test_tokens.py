@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import numpy as np
@@ -34,6 +35,16 @@ def test_both_encoders_equal_the_library():
         assert "".join(codec.decode(codec.encode(text))) == text
 
 
+def test_what_a_packing_worker_remembers_is_small():
+    own, rng = packing.Encoder(PATH), random.Random(8)
+    for _ in range(200):
+        text = " ".join("".join(rng.choices("thenarisongdby", k=9)) for _ in range(2500))
+        ids = own.encode(text)
+    assert ids == np.asarray(library(text), "<u4").tobytes()
+    kept = [d for d in vars(own).values() if isinstance(d, dict)]
+    assert sum(sys.getsizeof(d) + sum(sys.getsizeof(x) for item in d.items() for x in item) for d in kept) < 40e6
+
+
 def test_the_transducer_emits_early_and_forgets():
     merges = transducer.MergeList(PATH)
     rng = random.Random(3)
