@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from brute import covered_parts, suffix_digests, word_digests
 from layerloom.llm import recompression, suffixes
 
@@ -82,6 +83,47 @@ def test_removal_keeps_the_other_columns(spark):
     assert kept[1].text == "one:" and kept[2].n_chars == 4 and kept[3].text is None and kept[3].lang == "c"
 
 
+def test_passages_of_short_words_go_from_the_pipeline(spark):
+    """51 words of any length are a passage, though they are fewer than 400 bytes."""
+    rng = random.Random(6)
+    own = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    passages = [" ".join("".join(rng.choices("klmnopqrst", k=k)) for _ in range(51)) for k in (1, 3, 5, 6)]
+    shared = [(p, own(20), own(20)) for text in passages for p in (text, text.replace(" ", "\n"))]
+    assert max(map(len, passages)) < 400
+    data = [(i, f"{before} {p} {after}") for i, (p, before, after) in enumerate(shared)]
+    few = " ".join(f"u{k}" for k in range(45))
+    rest = [(100, own(90)), (101, None), (102, ""), *[(i, f"{own(9)} {few} {own(9)}") for i in (103, 104)]]
+    docs = spark.createDataFrame(data + rest, "doc_id long, text string")
+    kept = {r.doc_id: r.text for r in corpus_pipeline.drop_repeated_passages(spark, docs, "").collect()}
+    assert len(kept) == len(data + rest) and all(kept[i] == text for i, text in rest)
+    for i, (p, before, after) in enumerate(shared):
+        # a word that begins or ends like its counterpart may lose that part
+        assert kept[i].startswith(before[:-3]) and kept[i].endswith(after[3:]) and len(kept[i]) <= len(before) + len(after) + 2, i
+
+
+@pytest.mark.parametrize("words", WORDS)
+def test_passages_by_words_equal_brute_force(spark, words):
+    """Nothing that goes by bytes stays when passages are sought by words too."""
+    data = [(i, t) for i, t in corpus(5, words) if t is not None]
+    few = " ".join(f"u{k}" for k in range(18))  # 18 words, 61 bytes
+    data += [(950, "x" * 47 + "y" * 90 + " tail"), (951, "q" * 33 + " " + "y" * 90 + "z" * 60), (952, " " * 300), (955, f"one {few} end"), (956, f"two {few}")]
+    data += [(953, "\u3000\u00e9" * 90 + "q"), (954, "w" + "\u3000\u00e9" * 80)]
+    raw = [t.encode() for _, t in data]
+    wide = [suffixes.spread(d, 8) for d in raw]
+    by_bytes, by_words = covered_parts(raw, 120), covered_parts(wide, 113)
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    kept = {r.doc_id: r.text for r in suffixes.remove_repeats(docs, length=120, words=15).where("doc_id < 1000").collect()}
+    only_words = 0
+    for (i, _), d, w, plain, padded in zip(data, raw, wide, by_bytes, by_words):
+        places = [k for k in range(len(w)) if w[k] != suffixes.PAD]
+        assert len(places) == len(d) and bytes(w[k] for k in places) == d.translate(bytes.maketrans(b"\t\n\v\f\r", b" " * 5))
+        assert suffixes.unspread(d, 8, np.array(places, np.int64)).tolist() == list(range(len(d)))
+        gone = [plain[j] or padded[k] for j, k in enumerate(places)]
+        only_words += sum(padded[k] and not plain[j] for j, k in enumerate(places))
+        assert kept[i] == bytes(b for b, g in zip(d, gone) if not g).decode("utf-8", "ignore"), i
+    assert only_words > 50
+
+
 def test_the_intervals_of_a_prefix_tree():
     assert list(suffixes.intervals([3, 1, 2])) == [(3, 0, 1), (2, 2, 3), (1, 0, 3)]
     assert list(suffixes.intervals([])) == []
