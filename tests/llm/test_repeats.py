@@ -4,12 +4,13 @@ import random
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from brute import covered_parts, suffix_digests, word_digests
-from layerloom.llm import recompression, suffixes
+from brute import covered_parts, spans_of, suffix_digests, word_digests
+from layerloom.llm import queries, recompression, suffixes
 
 
 def corpus(seed, words, n=60):
@@ -101,6 +102,61 @@ def test_passages_of_short_words_go_from_the_pipeline(spark):
         assert kept[i].startswith(before[:-3]) and kept[i].endswith(after[3:]) and len(kept[i]) <= len(before) + len(after) + 2, i
 
 
+def test_query_tells_of_passages_of_short_words(spark, tmp_path):
+    """51 words that two documents share show in op4's rows, though the contract's columns know 400 bytes only."""
+    rng = random.Random(8)
+    own = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    passages = [" ".join("".join(rng.choices("klmnopqrst", k=k)) for _ in range(51)) for k in (1, 3, 5, 6)]
+    data = [(i, f"{own(20)} {passages[i // 2]} {own(20)}") for i in range(8)]
+    data += [(100, own(90)), (101, None), (102, ""), (103, own(9) + " end"), (104, "ab" * 300), (None, "x" * 500)]
+    few = " ".join(f"u{k}" for k in range(45))
+    data += [(105, f"{own(9)} {few} {own(9)}"), (106, f"{own(30)} {few} {own(30)}")]
+    spark.createDataFrame(data, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r.doc_id: r for r in queries.op4_suffix_array_dedup(spark, str(tmp_path)).collect()}
+    assert sorted((tuple(r[:5]) for r in found.values()), key=str) == sorted(suffix_digests(data, 400), key=str)
+    for i, text in enumerate(passages * 2):
+        row = found[2 * (i % 4) + i // 4]
+        # a word that begins or ends like its counterpart may count in part
+        assert row.n_removed == 0 and row.n_passages == 1 and len(text) <= row.n_passage_bytes < len(text) + 8
+    for i in (100, 101, 102, 103, 105, 106):
+        assert (found[i].n_passages, found[i].n_passage_bytes) == (0, 0)
+    for i in (104, None):
+        assert (found[i].n_passages, found[i].n_passage_bytes) == (1, len(dict(data)[i]))
+
+
+@pytest.mark.parametrize("words", WORDS)
+def test_digests_with_passages_equal_brute_force(spark, rows, words):
+    data = corpus(7, words)
+    raw = [(t or "").encode() for _, t in data]
+    wide = [suffixes.spread(d, 8) for d in raw]
+    expected = []
+    for own, d, w, plain, padded in zip(suffix_digests(data, 120), raw, wide, covered_parts(raw, 120), covered_parts(wide, 113)):
+        places = [k for k in range(len(w)) if w[k] != suffixes.PAD]
+        gone = [plain[j] or padded[k] for j, k in enumerate(places)]
+        expected.append((*own, spans_of(gone), sum(gone)))
+    df = spark.createDataFrame(data, "doc_id long, text string").repartition(3)
+    found = rows(suffixes.digests(df, length=120, words=15))
+    assert found == sorted(expected, key=lambda r: tuple((v is None, str(v)) for v in r))
+    assert sum(r[6] - r[2] for r in found) > 50
+    assert suffixes.digests(df.limit(0), words=50).count() == 0
+
+
+def test_anchors_of_a_text_longer_than_a_batch(monkeypatch):
+    """Its pieces choose the anchors that the whole text has."""
+    class Texts:
+        def mapInPandas(self, run, schema):
+            frame = pd.DataFrame({"doc_id": [1, None, 3], "text_key": [7, 8, 9], "text": texts})
+            return pd.concat(run(iter([frame])))
+
+    rng = random.Random(9)
+    texts = ["".join(rng.choices("abcde fgh", k=k)) for k in (900, 7000, 500)]
+    whole = suffixes.find_anchors(Texts(), 400)
+    monkeypatch.setattr(suffixes, "BATCH_BYTES", 1500)
+    apart = suffixes.find_anchors(Texts(), 400)
+    assert apart.astype("Int64").values.tolist() == whole.astype("Int64").values.tolist()
+    assert whole.text_key.value_counts()[8] > 30 and whole.doc_id.isna().sum() == whole.text_key.eq(8).sum()
+
+
 @pytest.mark.parametrize("words", WORDS)
 def test_passages_by_words_equal_brute_force(spark, words):
     """Nothing that goes by bytes stays when passages are sought by words too."""
