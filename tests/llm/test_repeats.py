@@ -185,6 +185,21 @@ def test_the_intervals_of_a_prefix_tree():
     assert list(suffixes.intervals([])) == []
 
 
+def test_pairs_at_once_equal_the_tree():
+    rng = random.Random(10)
+    text = lambda k: bytes(rng.choices(b"ab", weights=(9, 1), k=k))
+    before, after = [], []
+    for _ in range(300):
+        left, right = text(rng.randint(0, 30)), b"key" + text(rng.randint(0, 37))
+        for _ in range(2):
+            before.append(text(rng.randint(0, 3)) + left[rng.randint(0, len(left)) :])
+            after.append((right[: rng.randint(3, 60)] + text(rng.randint(0, 9)))[:40])
+    back, ahead = suffixes.pair_repeats(before, after, 40)
+    trees = [suffixes.maximal_repeats(before[i : i + 2], after[i : i + 2], 40) for i in range(0, len(before), 2)]
+    assert back.tolist() == [int(x) for t in trees for x in t[0]] and ahead.tolist() == [int(x) for t in trees for x in t[1]]
+    assert 50 < (ahead > 0).sum() < 500
+
+
 def test_equal_windows_have_equal_signs():
     """The sign of a window depends on its words alone."""
     rng = np.random.default_rng(5)
