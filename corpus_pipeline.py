@@ -13,6 +13,9 @@ from layerloom.llm import minhash, packing, suffixes, toxicity
 from layerloom.llm.common import prepared, read, written
 from layerloom.llm.queries import TOKENIZER
 
+# Passages of this many words go although they are shorter than the bytes that suffixes.LENGTH asks for.
+PASSAGE_WORDS = 50
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Without the documents that the classifier, fitted on the labelled ones among ``docs``, scores 0.5 or higher."""
@@ -28,7 +31,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts without the passages of 400 bytes or 50 words or more that occur elsewhere too; every document stays, if need be with an empty text."""
     prepared(spark)
-    return suffixes.remove_repeats(docs, words=suffixes.PASSAGE_WORDS)
+    return suffixes.remove_repeats(docs, words=PASSAGE_WORDS)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
